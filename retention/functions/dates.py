@@ -1,0 +1,62 @@
+"""Date helpers for the two day-count conventions of the reference.
+
+* elapsed days: whole 24-hour periods between two datetimes (pandas
+  ``Timedelta.days``, floor), used by the pandas flavour;
+* calendar days: difference of the calendar dates (MySQL ``DATEDIFF``),
+  used by the SQL flavour.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+AS_OF_DELIVERED_PLUS_1D = "delivered_plus_1d"   # max delivered timestamp + 1 day (pandas flavour)
+AS_OF_ALL_ORDERS = "all_orders"                 # max calendar date over every order (SQL flavour)
+
+
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def month_start(ts) -> Column:
+    """First day of the month as a DATE."""
+    return F.trunc(_c(ts).cast("date"), "month")
+
+
+def to_day(ts) -> Column:
+    return _c(ts).cast("date")
+
+
+def elapsed_days(end, start) -> Column:
+    """Whole 24-hour days from ``start`` to ``end`` (floor; both NTZ timestamps)."""
+    e, s = _c(end), _c(start)
+    d = F.timestamp_diff("DAY", s, e)
+    # timestamp_diff truncates toward zero; floor for negative spans
+    return F.when(F.timestamp_add("DAY", d, s) > e, d - 1).otherwise(d)
+
+
+def calendar_days(end, start) -> Column:
+    return F.datediff(_c(end).cast("date"), _c(start).cast("date"))
+
+
+def month_diff(later_month, earlier_month) -> Column:
+    """Whole calendar months between two month starts (MySQL TIMESTAMPDIFF(MONTH) on month starts)."""
+    a, b = _c(earlier_month), _c(later_month)
+    return (F.year(b) - F.year(a)) * 12 + (F.month(b) - F.month(a))
+
+
+def as_of_date(orders: DataFrame, mode: str = AS_OF_DELIVERED_PLUS_1D,
+               status_col: str = "order_status", delivered: str = "delivered",
+               ts_col: str = "order_purchase_timestamp") -> Column:
+    """Analysis date of divergence D1 as a scalar-subquery Column.
+
+    Spark evaluates it once (partial max per task, one row shuffled) and
+    substitutes the value; no join or cross product is planned.
+    """
+    if mode == AS_OF_DELIVERED_PLUS_1D:
+        return (orders.filter(F.col(status_col) == delivered)
+                .agg(F.timestamp_add("DAY", F.lit(1), F.max(ts_col))).scalar())
+    if mode == AS_OF_ALL_ORDERS:
+        return orders.agg(F.max(F.col(ts_col).cast("date"))).scalar()
+    raise ValueError(f"unknown as_of mode {mode!r}")

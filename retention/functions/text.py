@@ -1,0 +1,45 @@
+"""Text helpers: accent folding (I2) and word tokenising.
+
+Word characters follow Python's Unicode ``\\w``: letters, digits, ``_``.
+"""
+
+from __future__ import annotations
+
+import unicodedata
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+NON_WORD = r"[^\p{L}\p{N}_]+"
+
+
+def _fold(value):
+    if value is None or (isinstance(value, float) and pd.isna(value)):
+        return None
+    return unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii")
+
+
+@F.pandas_udf(T.StringType())
+def nfkd_ascii(s: pd.Series) -> pd.Series:
+    """NFKD decomposition, then drop every non-ASCII code point (Arrow batches)."""
+    return s.map(_fold)
+
+
+def clean_text(col) -> Column:
+    """strip, lower, NFKD, ASCII-only; NULL stays NULL (reference ``clean_text``)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return nfkd_ascii(F.lower(F.trim(c)))
+
+
+def normalize_review_text(col) -> Column:
+    """NULL -> '', strip surrounding white space, lower case."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.lower(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)^\s+|\s+$", ""))
+
+
+def tokens(col) -> Column:
+    """Array of word tokens (empty strings removed)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.filter(F.split(c, NON_WORD), lambda t: F.length(t) > 0)

@@ -1,0 +1 @@
+"""Analytics operators: DataFrame(s) + keyword parameters -> DataFrame."""

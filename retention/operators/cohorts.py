@@ -1,0 +1,108 @@
+"""Monthly cohorts.
+
+Orders are first reduced to one row per (person, month) with a partial
+aggregate; the per-person minimum month is a window over that grain, whose
+size per person is bounded by the number of calendar months, so a person
+holding a third of all orders is still a small group.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from retention.functions.dates import month_diff, month_start
+from retention.functions.numeric import money_pct, pct
+from retention.schemas import MONEY
+
+DELIVERED = "delivered"
+PERSON = "customer_unique_id"
+
+
+def _delivered(orders: DataFrame) -> DataFrame:
+    return orders.filter((F.col("order_status") == DELIVERED) & F.col(PERSON).isNotNull())
+
+
+def person_months(orders: DataFrame) -> DataFrame:
+    """(person, order_month, revenue, cohort_month, months_since_first_purchase)."""
+    pm = (_delivered(orders)
+          .withColumn("order_month", month_start("order_purchase_timestamp"))
+          .groupBy(PERSON, "order_month")
+          .agg(F.sum("order_revenue").alias("revenue")))
+    w = Window.partitionBy(PERSON)
+    return (pm.withColumn("cohort_month", F.min("order_month").over(w))
+            .withColumn("months_since_first_purchase", month_diff("order_month", "cohort_month")))
+
+
+def cohort_assign(orders: DataFrame) -> DataFrame:
+    """Every delivered order with its person's cohort month and month offset.
+
+    The cohort (one row per person, from the person-month grain) is joined
+    back on the person; AQE splits a skewed person partition on the order side.
+    """
+    cohorts = person_months(orders).groupBy(PERSON).agg(F.min("cohort_month").alias("cohort_month"))
+    o = (_delivered(orders).select("order_id", PERSON, "order_purchase_timestamp", "order_revenue")
+         .withColumn("order_month", month_start("order_purchase_timestamp")))
+    return (o.join(cohorts, PERSON, "inner")
+            .withColumn("months_since_first_purchase", month_diff("order_month", "cohort_month")))
+
+
+def cohort_retention_long(orders: DataFrame) -> DataFrame:
+    """Per cohort and offset: active customers, revenue, size, month-0 revenue, retention %."""
+    counts = (person_months(orders)
+              .groupBy("cohort_month", "months_since_first_purchase")
+              .agg(F.count(F.lit(1)).alias("active_customers"),
+                   F.sum("revenue").cast(MONEY).alias("revenue")))
+    # cohort x offset sized (months^2 at most): a window per cohort is cheap
+    w = Window.partitionBy("cohort_month")
+    base = F.when(F.col("months_since_first_purchase") == 0, F.col("active_customers"))
+    base_rev = F.when(F.col("months_since_first_purchase") == 0, F.col("revenue"))
+    return (counts.withColumn("cohort_size", F.max(base).over(w))
+            .withColumn("month_0_revenue", F.max(base_rev).over(w))
+            .withColumn("retention_pct", pct("active_customers", "cohort_size"))
+            .withColumn("revenue_retention_pct", money_pct("revenue", "month_0_revenue"))
+            .select("cohort_month", "months_since_first_purchase", "active_customers", "revenue",
+                    "cohort_size", "month_0_revenue", "retention_pct", "revenue_retention_pct"))
+
+
+def retention_trend(orders: DataFrame, offset: int = 1) -> DataFrame:
+    """Month-``offset`` retention of every cohort (0 when nobody came back)."""
+    long = cohort_retention_long(orders)
+    sizes = long.filter(F.col("months_since_first_purchase") == 0).select("cohort_month", "cohort_size")
+    at = long.filter(F.col("months_since_first_purchase") == offset).select("cohort_month", "active_customers")
+    return (sizes.join(at, "cohort_month", "left")
+            .withColumn("months_since_first_purchase", F.lit(offset))
+            .withColumn("active_customers", F.coalesce("active_customers", F.lit(0)).cast("long"))
+            .withColumn("retention_pct", pct("active_customers", "cohort_size")))
+
+
+def cohort_retention_sql(orders: DataFrame) -> DataFrame:
+    """C4 (query 7): cohort size from the offset-0 row; same rows as C3."""
+    return cohort_retention_long(orders).select(
+        "cohort_month", "months_since_first_purchase", "cohort_size", "active_customers", "retention_pct")
+
+
+def cohort_revenue_retention_sql(orders: DataFrame) -> DataFrame:
+    """C5 (query 8)."""
+    return cohort_retention_long(orders).select(
+        "cohort_month", "months_since_first_purchase", "revenue", "month_0_revenue", "revenue_retention_pct")
+
+
+def _matrix(long: DataFrame, value: str, offsets: list[int] | None) -> DataFrame:
+    if offsets is None:
+        # pivot values from the cohort x offset table (months-sized), as Spark itself would
+        offsets = sorted(r[0] for r in long.select("months_since_first_purchase").distinct().collect())
+    m = (long.groupBy("cohort_month")
+         .pivot("months_since_first_purchase", offsets)
+         .agg(F.first(value)))
+    return m.fillna(0, subset=[str(o) for o in offsets])
+
+
+def cohort_retention_matrix(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
+    """Cohort x offset retention %, 0-filled; only observed offsets unless ``offsets`` is given."""
+    return _matrix(cohort_retention_long(orders), "retention_pct", offsets)
+
+
+def cohort_revenue_matrix(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
+    """Cohort x offset revenue retention %."""
+    return _matrix(cohort_retention_long(orders), "revenue_retention_pct", offsets)

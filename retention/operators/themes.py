@@ -1,0 +1,63 @@
+"""T5: complaint themes in negative reviews per value tier.
+
+The reference concatenates all text of a tier into one string and counts
+whole-word regex matches.  Here each review is tokenised on non-word
+characters, tokens are exploded and joined to a small broadcast
+(theme, keyword) table, and matches are counted per (tier, theme): no text
+is ever gathered in one place.  For single-word keywords this equals
+counting ``\\bkeyword\\b`` occurrences.
+"""
+
+from __future__ import annotations
+
+import regex
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from retention.functions.text import tokens
+from retention.operators.sentiment import MIXED, NEGATIVE
+
+PERSON = "customer_unique_id"
+
+# Complaint themes and keywords of the reference.
+COMPLAINT_THEMES = {
+    "quality": ["quality", "qualidade", "defeito", "quebrado", "danificado"],
+    "delivery": ["delivery", "entrega", "entregue", "atraso", "atrasado", "frete"],
+    "price": ["price", "preco", "preço", "caro", "valor"],
+    "expectations": ["expectations", "expectativa", "esperava", "decepcion", "decepção"],
+    "service": ["service", "servico", "serviço", "atendimento", "suporte"],
+}
+
+_WORD = regex.compile(r"^[\p{L}\p{N}_]+$")
+
+
+def theme_table(spark, themes: dict[str, list[str]]) -> DataFrame:
+    rows = []
+    for theme, words in themes.items():
+        for w in words:
+            if not _WORD.match(w):
+                raise ValueError(f"keyword {w!r} is not a single word")
+            rows.append((theme, w))
+    return spark.createDataFrame(rows, "complaint_theme string, keyword string")
+
+
+def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
+                           themes: dict[str, list[str]] | None = None,
+                           text_col: str = "review_comment_message") -> DataFrame:
+    """Negative and mixed reviews per tier (null tier -> 'Unknown'): mentions per theme, zeros included."""
+    themes = themes or COMPLAINT_THEMES
+    spark = labeled.sparkSession
+    neg = (labeled.filter(F.col("sentiment_label").isin(NEGATIVE, MIXED))
+           .join(rfm.select(PERSON, "value_tier"), PERSON, "left")
+           .withColumn("value_tier", F.coalesce("value_tier", F.lit("Unknown"))))
+    counts = neg.groupBy("value_tier").agg(F.count(F.lit(1)).alias("negative_review_count"))
+    kw = F.broadcast(theme_table(spark, themes))   # a handful of fixed keywords
+    mentions = (neg.select("value_tier", F.explode(tokens(text_col)).alias("keyword"))
+                .join(kw, "keyword", "inner")
+                .groupBy("value_tier", "complaint_theme").agg(F.count(F.lit(1)).alias("mention_count")))
+    grid = counts.select("value_tier", "negative_review_count",
+                         F.explode(F.array(*[F.lit(t) for t in themes])).alias("complaint_theme"))
+    return (grid.join(mentions, ["value_tier", "complaint_theme"], "left")
+            .withColumn("mention_count", F.coalesce("mention_count", F.lit(0)).cast("long"))
+            .select("value_tier", "complaint_theme", "mention_count", "negative_review_count"))

@@ -1,0 +1 @@
+"""Compositions: the modelled tables, dashboard datasets and the query catalog."""

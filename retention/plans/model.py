@@ -1,0 +1,68 @@
+"""Lazily built modelled tables, shared by the analyses (one Spark plan per use).
+
+``orders`` and ``rfm`` are the reused nodes; ``rfm`` is materialised by the
+checkpoints of its exact rankings, so later joins re-read it instead of
+re-ranking.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from retention.operators import churn, clean, rfm as rfm_ops
+from retention.sources import testdata as td
+
+
+@dataclass
+class Model:
+    spark: SparkSession
+    raw_customers: DataFrame
+    raw_orders: DataFrame
+    raw_items: DataFrame
+    raw_products: DataFrame
+    raw_translations: DataFrame
+    raw_reviews: DataFrame
+    persons: DataFrame            # SQL-flavour customer dimension (one row per person)
+    churn_days: int = churn.CHURN_DAYS
+
+    @classmethod
+    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Model":
+        return cls(spark=spark,
+                   raw_customers=td.raw_customers(spark, sf_dir),
+                   raw_orders=td.raw_orders(spark, sf_dir),
+                   raw_items=td.raw_order_items(spark, sf_dir),
+                   raw_products=td.raw_products(spark, sf_dir),
+                   raw_translations=td.translations(spark),
+                   raw_reviews=td.raw_reviews(spark, sf_dir),
+                   persons=td.raw_persons(spark, sf_dir))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return clean.standardize_customers(self.raw_customers)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.products_clean(self.raw_products, self.raw_translations)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return clean.orders_clean(self.raw_orders, self.customers, self.raw_items)
+
+    @cached_property
+    def customers_clean(self) -> DataFrame:
+        return clean.customers_clean(self.customers, self.orders)
+
+    @cached_property
+    def rfm(self) -> DataFrame:
+        return rfm_ops.rfm_segmentation(self.orders, self.customers_clean)
+
+    @cached_property
+    def churn(self) -> DataFrame:
+        return churn.customer_churn_clv(self.orders, self.customers_clean, self.rfm, self.churn_days)
+
+    @cached_property
+    def sales_fact(self) -> DataFrame:
+        return clean.sales_fact(self.raw_orders, self.customers, self.raw_items, self.products)

@@ -1,0 +1,45 @@
+"""I1 ``read_raw`` and I14 ``write_table`` / ``write_extract``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def read_raw(spark: SparkSession, path: str, schema: T.StructType,
+             timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """Header CSV with optional double quotes, doubled-quote escapes, embedded
+    newlines, CRLF, UTF-8 BOM; empty fields read as NULL; fixed schema (never inferred).
+
+    ``multiLine`` makes every file one split; real exports are many files, so
+    parallelism comes from the file count.
+    """
+    return (spark.read.schema(schema)
+            .option("header", True)
+            .option("multiLine", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("encoding", "UTF-8")
+            .option("timestampNTZFormat", timestamp_format)
+            .option("timestampFormat", timestamp_format)
+            .option("mode", "PERMISSIVE")
+            .csv(path))
+
+
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                mode: str = "overwrite") -> None:
+    """Hand-off table: Parquet, written in parallel, optionally partitioned (e.g. by order_month)."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def write_extract(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Dashboard extract as CSV with header.
+
+    ``single_file`` is meant for aggregate-sized results only (segments, months,
+    states); row-sized tables are written by every task in parallel.
+    """
+    out = df.coalesce(1) if single_file else df
+    out.write.mode(mode).option("header", True).csv(path)
