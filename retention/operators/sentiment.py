@@ -66,7 +66,9 @@ def lexicon_polarity(reviews: DataFrame, lexicon: DataFrame, negators: list[str]
     lex = lexicon.select(F.col("token").alias("tok"), F.col("valence").cast("decimal(10,4)").alias("valence"))
     lex = _checked_broadcast(lex, MAX_BROADCAST_LEXICON_ROWS)
     base = reviews.withColumn(text_col, normalize_review_text(text_col))
-    ann = base.select(id_col, F.explode(_annotated_tokens(tokens(text_col), list(negators), list(boosters)))
+    # tokens are materialised once per review; the lambda below only indexes into them
+    toks = base.select(id_col, tokens(text_col).alias("_toks"))
+    ann = toks.select(id_col, F.explode(_annotated_tokens(F.col("_toks"), list(negators), list(boosters)))
                       .alias("a")).select(id_col, "a.*")
     v = F.col("valence")
     signed_boost = F.when(v > 0, F.col("boost")).when(v < 0, -F.col("boost")).otherwise(F.lit(0))

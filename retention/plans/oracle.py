@@ -216,14 +216,14 @@ rnorm AS (
   FROM rwc),
 rtok AS (
   SELECT review_id, toks, generate_subscripts(toks, 1) AS i, unnest(toks) AS tok
-  FROM (SELECT review_id, list_filter(regexp_split_to_array(t, '[^\p{{L}}\p{{N}}_]+'), x -> length(x) > 0) AS toks FROM rnorm)),
+  FROM (SELECT review_id, list_filter(regexp_split_to_array(t, '[^\p{{L}}\p{{N}}_]+'), lambda x: length(x) > 0) AS toks FROM rnorm)),
 rhit AS (
   SELECT k.review_id, l.valence,
-         (list_contains({_arr(DEMO_NEGATORS)}, k.toks[k.i - 1]) IS TRUE OR list_contains({_arr(DEMO_NEGATORS)}, k.toks[k.i - 2]) IS TRUE
-          OR list_contains({_arr(DEMO_NEGATORS)}, k.toks[k.i - 3]) IS TRUE) AS negated,
-         CAST(0.293 * ((CASE WHEN list_contains({_arr(DEMO_BOOSTERS)}, k.toks[k.i - 1]) IS TRUE THEN 1.0 ELSE 0.0 END)
-                     + (CASE WHEN list_contains({_arr(DEMO_BOOSTERS)}, k.toks[k.i - 2]) IS TRUE THEN 0.95 ELSE 0.0 END)
-                     + (CASE WHEN list_contains({_arr(DEMO_BOOSTERS)}, k.toks[k.i - 3]) IS TRUE THEN 0.9 ELSE 0.0 END))
+         (list_contains({_arr(DEMO_NEGATORS)}, (CASE WHEN k.i > 1 THEN k.toks[k.i - 1] END)) IS TRUE OR list_contains({_arr(DEMO_NEGATORS)}, (CASE WHEN k.i > 2 THEN k.toks[k.i - 2] END)) IS TRUE
+          OR list_contains({_arr(DEMO_NEGATORS)}, (CASE WHEN k.i > 3 THEN k.toks[k.i - 3] END)) IS TRUE) AS negated,
+         CAST(0.293 * ((CASE WHEN list_contains({_arr(DEMO_BOOSTERS)}, (CASE WHEN k.i > 1 THEN k.toks[k.i - 1] END)) IS TRUE THEN 1.0 ELSE 0.0 END)
+                     + (CASE WHEN list_contains({_arr(DEMO_BOOSTERS)}, (CASE WHEN k.i > 2 THEN k.toks[k.i - 2] END)) IS TRUE THEN 0.95 ELSE 0.0 END)
+                     + (CASE WHEN list_contains({_arr(DEMO_BOOSTERS)}, (CASE WHEN k.i > 3 THEN k.toks[k.i - 3] END)) IS TRUE THEN 0.9 ELSE 0.0 END))
               AS DECIMAL(10,6)) AS boost
   FROM rtok k JOIN lex l ON k.tok = l.token),
 rsum AS (
