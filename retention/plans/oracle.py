@@ -561,3 +561,82 @@ ORACLE_SQL["region_repeat_rate_all_states"] = _repeat_rate(1)
 ORACLE_SQL["lexicon_polarity"] = q(
     "SELECT s.review_id, s.polarity FROM scored s").replace("FROM r_raw r JOIN oc o ON r.order_id = o.order_id",
                                                            "FROM r_raw r LEFT JOIN oc o ON r.order_id = o.order_id")
+
+
+ORACLE_SQL.update({
+    "kpi_cards": ORACLE_SQL["executive_kpis"],
+    "revenue_by_month": q("""
+, mr AS (SELECT order_month AS revenue_month, CAST(sum(order_revenue) AS DECIMAL(18,2)) AS revenue
+         FROM oc WHERE order_status = 'delivered' GROUP BY order_month)
+SELECT revenue_month, revenue, CAST(sum(revenue) OVER (ORDER BY revenue_month) AS DECIMAL(18,2)) AS running_revenue FROM mr"""),
+    "revenue_by_state": q("""
+, sf AS (SELECT d.order_id, c.customer_state, CAST(i.price + i.freight_value AS DECIMAL(18,2)) AS line_revenue
+         FROM o_raw d LEFT JOIN c_std c ON d.customer_id = c.customer_id JOIN i_raw i ON d.order_id = i.order_id
+         WHERE d.order_status = 'delivered')
+SELECT customer_state, CAST(sum(line_revenue) AS DECIMAL(18,2)) AS revenue, count(DISTINCT order_id) AS orders_count,
+       count(*) AS item_rows
+FROM sf GROUP BY customer_state"""),
+    "tier_profile": q(f"""
+SELECT value_tier, count(DISTINCT customer_unique_id) AS customers, CAST(sum(monetary) AS DECIMAL(18,2)) AS revenue,
+       {money_mean('CAST(sum(monetary) AS DECIMAL(18,2))', 'count(monetary)', 6)} AS avg_clv,
+       {ratio('sum(recency_days)', 'count(recency_days)', 1, 6)} AS avg_recency_days,
+       {pct('count(DISTINCT customer_unique_id)', '(SELECT count(DISTINCT customer_unique_id) FROM rfm WHERE value_tier IS NOT NULL)')} AS customer_share_pct
+FROM rfm WHERE value_tier IS NOT NULL GROUP BY value_tier"""),
+    "cohort_heatmaps": q("SELECT cohort_month, months_since_first_purchase, retention_pct, revenue_retention_pct FROM cohort_long"),
+    "returning_customers_by_month": q(f"""
+, pm AS (SELECT DISTINCT customer_unique_id, order_month FROM dlv),
+f AS (SELECT customer_unique_id, min(order_month) AS first_month FROM dlv GROUP BY customer_unique_id)
+SELECT pm.order_month, count(*) AS active_customers, count_if(f.first_month = pm.order_month) AS new_customers,
+       count_if(f.first_month < pm.order_month) AS returning_customers,
+       {pct('count_if(f.first_month < pm.order_month)', 'count(*)')} AS returning_pct
+FROM pm JOIN f ON pm.customer_unique_id = f.customer_unique_id GROUP BY pm.order_month"""),
+    "churn_dashboard": q(f"""
+SELECT 'value_tier' AS dimension, value_tier AS dimension_value, count(DISTINCT customer_unique_id) AS customers,
+       count_if(is_churned) AS churned_customers,
+       {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS churn_rate_pct,
+       CAST(sum(estimated_revenue_at_risk) AS DECIMAL(28,6)) AS revenue_at_risk
+FROM churn WHERE value_tier IS NOT NULL GROUP BY value_tier
+UNION ALL
+SELECT 'customer_state', customer_state, count(DISTINCT customer_unique_id), count_if(is_churned),
+       {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')},
+       CAST(sum(estimated_revenue_at_risk) AS DECIMAL(28,6))
+FROM churn WHERE customer_state IS NOT NULL GROUP BY customer_state"""),
+    "rfm_scatter_bins": q("""
+SELECT frequency, CAST(floor(monetary / 50) * 50 AS BIGINT) AS monetary_bin, value_tier, count(*) AS customers
+FROM rfm GROUP BY frequency, CAST(floor(monetary / 50) * 50 AS BIGINT), value_tier"""),
+    "vip_customers": q("""
+SELECT customer_unique_id, customer_state, customer_city, frequency, monetary, recency_days FROM rfm WHERE value_tier = 'VIP'"""),
+    "churned_revenue_by_state": q("""
+SELECT customer_state, count(*) AS churned_customers, CAST(sum(historical_clv) AS DECIMAL(18,2)) AS churned_historical_revenue
+FROM churn WHERE is_churned AND customer_state IS NOT NULL GROUP BY customer_state"""),
+    "active_retention_by_state": q(f"""
+SELECT customer_state, count(DISTINCT customer_unique_id) AS customers, count_if(is_churned) AS churned_customers,
+       {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS churn_rate_pct,
+       {pct('count(DISTINCT customer_unique_id) - count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS active_rate_pct
+FROM churn WHERE customer_state IS NOT NULL GROUP BY customer_state HAVING count(DISTINCT customer_unique_id) >= 100"""),
+    "return_rate_all_customers": q(f"""
+, co AS (SELECT customer_unique_id, order_purchase_timestamp,
+                lag(order_purchase_timestamp) OVER (PARTITION BY customer_unique_id ORDER BY order_purchase_timestamp) AS prev_ts
+         FROM dlv),
+g AS (SELECT customer_unique_id,
+             min(date_diff('day', CAST(prev_ts AS DATE), CAST(order_purchase_timestamp AS DATE))) AS min_gap
+      FROM co GROUP BY customer_unique_id)
+SELECT count(*) AS delivered_customers, count_if(min_gap <= 90) AS returned_within_90_days,
+       {pct('count_if(min_gap <= 90)', 'count(*)')} AS returned_within_90_days_pct
+FROM g"""),
+    "action_list": q("""
+SELECT customer_unique_id, value_tier,
+       CASE value_tier WHEN 'VIP' THEN 'VIP protection' WHEN 'Loyal' THEN 'Loyal upsell'
+            WHEN 'At Risk' THEN 'At Risk reactivation' WHEN 'Lost' THEN 'Lost win-back' END AS action,
+       monetary, monetary_score, recency_days, customer_state,
+       (monetary_score >= 4 AND recency_days > 180) AS win_back_target
+FROM rfm WHERE value_tier IN ('VIP', 'Loyal', 'At Risk', 'Lost')"""),
+    "sales_by_category_month": q("""
+, sf AS (SELECT d.order_id, i.price, CAST(i.price + i.freight_value AS DECIMAL(18,2)) AS line_revenue,
+                p.product_category_english, CAST(date_trunc('month', d.order_purchase_timestamp) AS DATE) AS order_month
+         FROM o_raw d JOIN i_raw i ON d.order_id = i.order_id LEFT JOIN p_clean p ON i.product_id = p.product_id
+         WHERE d.order_status = 'delivered')
+SELECT product_category_english, order_month, CAST(sum(price) AS DECIMAL(18,2)) AS item_revenue,
+       CAST(sum(line_revenue) AS DECIMAL(18,2)) AS line_revenue, count(*) AS items_sold, count(DISTINCT order_id) AS orders_count
+FROM sf GROUP BY product_category_english, order_month"""),
+})
