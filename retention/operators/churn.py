@@ -8,6 +8,8 @@ table) and running sums over the calendar spine give the answer.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,10 +120,15 @@ def churn_trend(orders: DataFrame, churn_days: int = CHURN_DAYS, normalize: bool
     d = _delivered(orders)
     v = d.groupBy(PERSON).agg(F.min("order_purchase_timestamp").alias("first"),
                               F.max("order_purchase_timestamp").alias("last"))
-    bounds = d.agg(F.min("order_purchase_timestamp").alias("lo"), F.max("order_purchase_timestamp").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    tod = F.lit(0).cast("long") if normalize else F.timestamp_diff("MICROSECOND", lo.cast("date").cast("timestamp_ntz"), lo)
+    # two scalars for the month-end calendar, fetched once (a global partial aggregate)
+    lo_v, hi_v = d.agg(F.min("order_purchase_timestamp"), F.max("order_purchase_timestamp")).first()
+    spark = orders.sparkSession
+    if lo_v is None:
+        return spark.createDataFrame([], "month date, known_customers bigint, churned_customers bigint, "
+                                         "churn_rate_pct double")
+    lo, hi = F.lit(lo_v).cast("timestamp_ntz"), F.lit(hi_v).cast("timestamp_ntz")
+    midnight = lo_v.replace(hour=0, minute=0, second=0, microsecond=0)
+    tod = F.lit(0 if normalize else (lo_v - midnight) // timedelta(microseconds=1)).cast("long")
 
     events = (v.select(_first_month_end_on_or_after(F.col("first"), tod).alias("month"),
                        F.lit(1).alias("dk"), F.lit(0).alias("dc"))
@@ -129,8 +136,8 @@ def churn_trend(orders: DataFrame, churn_days: int = CHURN_DAYS, normalize: bool
                   _first_month_end_on_or_after(F.timestamp_add("DAY", F.lit(churn_days + 1), F.col("last")), tod)
                   .alias("month"), F.lit(0).alias("dk"), F.lit(1).alias("dc")))
               .groupBy("month").agg(F.sum("dk").alias("dk"), F.sum("dc").alias("dc")))
-    spine = (bounds.select(F.explode(F.sequence(month_start(F.col("lo")), month_start(F.col("hi")),
-                                                F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    spine = (spark.range(1).select(F.explode(F.sequence(month_start(lo), month_start(hi),
+                                                        F.expr("INTERVAL 1 MONTH"))).alias("month"))
              .filter(_month_end(F.col("month"), tod) <= hi)
              .filter(_month_end(F.col("month"), tod) >= lo))
     w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)   # calendar-sized input

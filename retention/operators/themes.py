@@ -51,11 +51,17 @@ def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
     neg = (labeled.filter(F.col("sentiment_label").isin(NEGATIVE, MIXED))
            .join(rfm.select(PERSON, "value_tier"), PERSON, "left")
            .withColumn("value_tier", F.coalesce("value_tier", F.lit("Unknown"))))
-    counts = neg.groupBy("value_tier").agg(F.count(F.lit(1)).alias("negative_review_count"))
     kw = F.broadcast(theme_table(spark, themes))   # a handful of fixed keywords
-    mentions = (neg.select("value_tier", F.explode(tokens(text_col)).alias("keyword"))
-                .join(kw, "keyword", "inner")
-                .groupBy("value_tier", "complaint_theme").agg(F.count(F.lit(1)).alias("mention_count")))
+    # one pass: every review emits a NULL header token (counts the review) and its tokens
+    toks = F.concat(F.array(F.lit(None).cast("string")), tokens(text_col))
+    agg = (neg.select("value_tier", F.explode(toks).alias("keyword"))
+           .join(kw, "keyword", "left")
+           .filter(F.col("keyword").isNull() | F.col("complaint_theme").isNotNull())
+           .groupBy("value_tier", "complaint_theme").agg(F.count(F.lit(1)).alias("n")))
+    counts = agg.filter(F.col("complaint_theme").isNull()).select(
+        "value_tier", F.col("n").alias("negative_review_count"))
+    mentions = agg.filter(F.col("complaint_theme").isNotNull()).select(
+        "value_tier", "complaint_theme", F.col("n").alias("mention_count"))
     grid = counts.select("value_tier", "negative_review_count",
                          F.explode(F.array(*[F.lit(t) for t in themes])).alias("complaint_theme"))
     return (grid.join(mentions, ["value_tier", "complaint_theme"], "left")
