@@ -70,12 +70,17 @@ def ntile_score(rank: Column, n: Column, q: int = 5) -> Column:
 
 
 def quantile_scores(df: DataFrame, specs: list[tuple[str, Column, bool]], id_col: str,
-                    method: str = "qcut", q: int = 5) -> DataFrame:
+                    method: str = "qcut", q: int = 5, materialize_input: bool = True) -> DataFrame:
     """Add one score column per ``(out_col, value, descending)`` spec.
 
     Ties are broken by ``id_col`` ascending, also for descending values (D20).
+    ``materialize_input`` checkpoints the (person-sized) input first, so the
+    range-bound sampling and the ranking pass do not both recompute the
+    order-sized plan above it.
     """
     fn = qcut_score if method == "qcut" else ntile_score
+    if materialize_input:
+        df = reliable_checkpoint(df)
     for out, value, descending in specs:
         key = value.desc() if descending else value.asc()
         df = global_row_number(df, [key, F.col(id_col).asc()], out="_rn", total="_n")
