@@ -126,7 +126,9 @@ def churn_trend(orders: DataFrame, churn_days: int = CHURN_DAYS, normalize: bool
     if lo_v is None:
         return spark.createDataFrame([], "month date, known_customers bigint, churned_customers bigint, "
                                          "churn_rate_pct double")
-    lo, hi = F.lit(lo_v).cast("timestamp_ntz"), F.lit(hi_v).cast("timestamp_ntz")
+    # literals from text: independent of the session and driver time zones
+    lo = F.lit(lo_v.isoformat(sep=" ")).cast("timestamp_ntz")
+    hi = F.lit(hi_v.isoformat(sep=" ")).cast("timestamp_ntz")
     midnight = lo_v.replace(hour=0, minute=0, second=0, microsecond=0)
     tod = F.lit(0 if normalize else (lo_v - midnight) // timedelta(microseconds=1)).cast("long")
 

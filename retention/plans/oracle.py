@@ -640,3 +640,36 @@ SELECT product_category_english, order_month, CAST(sum(price) AS DECIMAL(18,2))
        CAST(sum(line_revenue) AS DECIMAL(18,2)) AS line_revenue, count(*) AS items_sold, count(DISTINCT order_id) AS orders_count
 FROM sf GROUP BY product_category_english, order_month"""),
 })
+
+
+def _bigint_count_if(sql: str) -> str:
+    """Wrap every count_if(...) in CAST(... AS BIGINT): DuckDB returns HUGEINT, Spark BIGINT."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
+ORACLE_SQL = {k: _bigint_count_if(v) for k, v in ORACLE_SQL.items()}
+ORACLE_SQL["sentiment_distribution"] = ORACLE_SQL["sentiment_distribution"].replace(
+    "sum(customers) OVER (PARTITION BY value_tier) AS segment_customers",
+    "CAST(sum(customers) OVER (PARTITION BY value_tier) AS BIGINT) AS segment_customers")
+ORACLE_SQL["top_customers"] = (ORACLE_SQL["top_customers"]
+                               .replace("rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank",
+                                        "CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank")
+                               .replace("dense_rank() OVER (PARTITION BY customer_state ORDER BY total_revenue DESC) AS state_revenue_rank",
+                                        "CAST(dense_rank() OVER (PARTITION BY customer_state ORDER BY total_revenue DESC) AS INTEGER) AS state_revenue_rank"))
