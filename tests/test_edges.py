@@ -232,3 +232,32 @@ def test_theme_counts_equal_regex(spark):
 def test_theme_rejects_phrases(spark):
     with pytest.raises(ValueError):
         themes.theme_table(spark, {"x": ["two words"]})
+
+
+def test_as_of_modes_latest_order_not_delivered(spark):
+    from retention.operators import rfm
+    rows = [(1, "delivered", datetime(2018, 1, 10, 12), 10), (2, "delivered", datetime(2018, 1, 1, 8), 5),
+            (3, "shipped", datetime(2018, 2, 1, 9), 1)]
+    o = orders_df(spark, rows)
+    py = {r.customer_unique_id: r.recency_days for r in rfm.customer_metrics(o).collect()}
+    assert py == {1: 1, 2: 10}            # latest delivered + 1 day, 24 h days
+    sq = {r.customer_unique_id: r.recency_days
+          for r in rfm.customer_metrics(o, as_of="all_orders").collect()}
+    assert sq == {1: 22, 2: 31}           # latest date of any order, calendar days
+
+
+def test_unknown_tier_in_themes_and_null_keys_dropped(spark):
+    df = spark.createDataFrame([(1, 7, "atraso", "Negative"), (2, 8, "frete frete", "Mixed Negative"),
+                                (3, 8, "valor", "Positive")],
+                               "review_id long, customer_unique_id long, review_comment_message string, sentiment_label string")
+    rfm = spark.createDataFrame([(7, "VIP")], "customer_unique_id long, value_tier string")
+    got = {(r.value_tier, r.complaint_theme): (r.mention_count, r.negative_review_count)
+           for r in themes.negative_review_themes(df, rfm).collect()}
+    assert got[("Unknown", "delivery")] == (2, 1) and got[("VIP", "delivery")] == (1, 1)
+    assert got[("VIP", "price")] == (0, 1) and len(got) == 10
+    ch = spark.createDataFrame([(1, None, "VIP", True, Decimal("1"), Decimal("1")),
+                                (2, "SP", None, False, Decimal("2"), Decimal("0"))],
+                               "customer_unique_id long, customer_state string, value_tier string, is_churned boolean, "
+                               "historical_clv decimal(18,2), estimated_revenue_at_risk decimal(20,6)")
+    assert [r.value_tier for r in churn.churn_by_segment(ch).collect()] == ["VIP"]
+    assert [r.customer_state for r in churn.churn_by_region(ch).collect()] == ["SP"]
