@@ -3,8 +3,8 @@
 The reference concatenates all text of a tier into one string and counts
 whole-word regex matches.  Here each review is tokenised on non-word
 characters, tokens are exploded and joined to a small broadcast
-(theme, keyword) table, and matches are counted per (tier, theme): no text
-is ever gathered in one place.  For single-word keywords this equals
+(theme, keyword) table and counted per (person, theme) map-side; only those
+counts meet the tier table.  No text is gathered in one place or shuffled.  For single-word keywords this equals
 counting ``\\bkeyword\\b`` occurrences.
 """
 
@@ -48,18 +48,21 @@ def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
     """Negative and mixed reviews per tier (null tier -> 'Unknown'): mentions per theme, zeros included."""
     themes = themes or COMPLAINT_THEMES
     spark = labeled.sparkSession
-    neg = (labeled.filter(F.col("sentiment_label").isin(NEGATIVE, MIXED))
-           .join(rfm.select(PERSON, "value_tier"), PERSON, "left")
-           .withColumn("value_tier", F.coalesce("value_tier", F.lit("Unknown"))))
     kw = F.broadcast(theme_table(spark, themes))   # a handful of fixed keywords
-    # one pass: every review emits a NULL header token (counts the review) and its tokens
+    neg = labeled.filter(F.col("sentiment_label").isin(NEGATIVE, MIXED))
+    # Tokens are matched where the review rows already are; only (person, theme)
+    # counts cross a shuffle, never the text.  Every review emits a NULL header
+    # token, which counts the review itself.
     toks = F.concat(F.array(F.lit(None).cast("string")), tokens(text_col))
-    agg = (neg.select("value_tier", F.explode(toks).alias("keyword"))
-           .join(kw, "keyword", "left")
-           .filter(F.col("keyword").isNull() | F.col("complaint_theme").isNotNull())
-           .groupBy("value_tier", "complaint_theme").agg(F.count(F.lit(1)).alias("n")))
+    per_person = (neg.select(PERSON, F.explode(toks).alias("keyword"))
+                  .join(kw, "keyword", "left")
+                  .filter(F.col("keyword").isNull() | F.col("complaint_theme").isNotNull())
+                  .groupBy(PERSON, "complaint_theme").agg(F.count(F.lit(1)).alias("n")))
+    agg = (per_person.join(rfm.select(PERSON, "value_tier"), PERSON, "left")
+           .withColumn("value_tier", F.coalesce("value_tier", F.lit("Unknown")))
+           .groupBy("value_tier", "complaint_theme").agg(F.sum("n").alias("n")))
     counts = agg.filter(F.col("complaint_theme").isNull()).select(
-        "value_tier", F.col("n").alias("negative_review_count"))
+        "value_tier", F.col("n").cast("long").alias("negative_review_count"))
     mentions = agg.filter(F.col("complaint_theme").isNotNull()).select(
         "value_tier", "complaint_theme", F.col("n").alias("mention_count"))
     grid = counts.select("value_tier", "negative_review_count",
