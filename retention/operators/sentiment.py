@@ -100,6 +100,7 @@ def lexicon_polarity(reviews: DataFrame, lexicon: DataFrame, negators: list[str]
             .groupBy(id_col).agg(F.sum(scaled).alias("_s")))
     s = F.col("_s").cast("double")
     compound = F.round(s / F.sqrt(s * s + NORMALIZATION_ALPHA), 4)
+    compound = F.when(compound == 0, F.lit(0.0)).otherwise(compound)   # no negative zero
     return (base.join(sums, id_col, "left")
             .withColumn("polarity", F.coalesce(compound, F.lit(0.0)))
             .drop("_s"))

@@ -231,7 +231,7 @@ rsum AS (
                             ELSE valence + sign(valence) * boost END) AS s
   FROM rhit GROUP BY review_id),
 scored AS (
-  SELECT r.*, coalesce(round(CAST(s.s AS DOUBLE) / sqrt(CAST(s.s AS DOUBLE) * CAST(s.s AS DOUBLE) + 15), 4), 0.0) AS polarity
+  SELECT r.*, coalesce(CASE WHEN round(CAST(s.s AS DOUBLE) / sqrt(CAST(s.s AS DOUBLE) * CAST(s.s AS DOUBLE) + 15), 4) = 0 THEN 0.0 ELSE round(CAST(s.s AS DOUBLE) / sqrt(CAST(s.s AS DOUBLE) * CAST(s.s AS DOUBLE) + 15), 4) END, 0.0) AS polarity
   FROM rnorm r LEFT JOIN rsum s ON r.review_id = s.review_id),
 labeled AS (
   SELECT *, length(t) > 0 AS has_comment,

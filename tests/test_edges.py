@@ -6,7 +6,6 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from retention.functions.dates import elapsed_days
 from retention.operators import churn, clean, ranking, revenue, sentiment, themes
