@@ -1,6 +1,6 @@
 """Column-level helpers (built-in Spark expressions only, except NFKD folding)."""
 
-from retention.functions.dates import (  # noqa: F401
+from basketlens.functions.dates import (  # noqa: F401
     as_of_date, calendar_days, elapsed_days, month_diff, month_start, to_day,
 )
-from retention.functions.numeric import half_up_ratio, pct, round_half_up_units  # noqa: F401
+from basketlens.functions.numeric import half_up_ratio, pct, round_half_up_units  # noqa: F401

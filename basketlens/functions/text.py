@@ -15,16 +15,23 @@ from pyspark.sql import types as T
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
-def _fold(value):
-    if value is None or (isinstance(value, float) and pd.isna(value)):
-        return None
-    return unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii")
+def _make_nfkd_ascii():
+    """Build the Arrow UDF from nested functions: they are pickled by value, so
+    Python workers need only the standard library and pandas, not this package."""
 
+    def fold(value):
+        if value is None or (isinstance(value, float) and value != value):
+            return None
+        return unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii")
 
-@F.pandas_udf(T.StringType())
-def nfkd_ascii(s: pd.Series) -> pd.Series:
-    """NFKD decomposition, then drop every non-ASCII code point (Arrow batches)."""
-    return s.map(_fold)
+    def nfkd_ascii(s: pd.Series) -> pd.Series:
+        return s.map(fold)
+
+    return F.pandas_udf(nfkd_ascii, T.StringType())
+
+
+# NFKD decomposition, then drop every non-ASCII code point (Arrow batches).
+nfkd_ascii = _make_nfkd_ascii()
 
 
 def clean_text(col) -> Column:

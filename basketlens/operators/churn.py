@@ -13,10 +13,10 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.functions.dates import (AS_OF_ALL_ORDERS, AS_OF_DELIVERED_PLUS_1D, as_of_date,
+from basketlens.functions.dates import (AS_OF_ALL_ORDERS, AS_OF_DELIVERED_PLUS_1D, as_of_date,
                                        calendar_days, elapsed_days, month_start)
-from retention.functions.numeric import half_up_ratio, money_mean_dec, pct
-from retention.schemas import MONEY
+from basketlens.functions.numeric import half_up_ratio, money_mean_dec, pct
+from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
 PERSON = "customer_unique_id"

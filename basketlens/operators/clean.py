@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.dates import month_start
-from retention.functions.text import nfkd_ascii
-from retention.schemas import MONEY
+from basketlens.functions.dates import month_start
+from basketlens.functions.text import nfkd_ascii
+from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
 

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.functions.dates import month_diff, month_start
-from retention.functions.numeric import money_pct, pct
-from retention.schemas import MONEY
+from basketlens.functions.dates import month_diff, month_start
+from basketlens.functions.numeric import money_pct, pct
+from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
 PERSON = "customer_unique_id"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.numeric import money_mean
-from retention.schemas import MONEY
+from basketlens.functions.numeric import money_mean
+from basketlens.schemas import MONEY
 
 
 def reviews_with_customer(reviews: DataFrame, orders: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.session import reliable_checkpoint
+from basketlens.session import reliable_checkpoint
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position in partition
 
@@ -115,5 +115,5 @@ def top_customers(orders: DataFrame, persons: DataFrame, n: int = 100,
 
 
 def _money_mean6(sum_col: str, cnt_col: str) -> Column:
-    from retention.functions.numeric import money_mean
+    from basketlens.functions.numeric import money_mean
     return money_mean(sum_col, cnt_col, digits=6)

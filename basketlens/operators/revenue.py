@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retention.functions.dates import month_start
-from retention.functions.numeric import cents, pct
-from retention.schemas import MONEY
+from basketlens.functions.dates import month_start
+from basketlens.functions.numeric import cents, pct
+from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
 PERSON = "customer_unique_id"

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.dates import (AS_OF_ALL_ORDERS, AS_OF_DELIVERED_PLUS_1D, as_of_date,
+from basketlens.functions.dates import (AS_OF_ALL_ORDERS, AS_OF_DELIVERED_PLUS_1D, as_of_date,
                                        calendar_days, elapsed_days)
-from retention.functions.numeric import half_up_ratio, money_mean, money_mean_dec
-from retention.operators.ranking import quantile_scores
-from retention.schemas import MONEY
+from basketlens.functions.numeric import half_up_ratio, money_mean, money_mean_dec
+from basketlens.operators.ranking import quantile_scores
+from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
 PERSON = "customer_unique_id"

@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.numeric import half_up_ratio, pct
-from retention.functions.text import normalize_review_text, tokens
+from basketlens.functions.numeric import half_up_ratio, pct
+from basketlens.functions.text import normalize_review_text, tokens
 
 PERSON = "customer_unique_id"
 

@@ -15,8 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.text import tokens
-from retention.operators.sentiment import MIXED, NEGATIVE
+from basketlens.functions.text import tokens
+from basketlens.operators.sentiment import MIXED, NEGATIVE
 
 PERSON = "customer_unique_id"
 

@@ -12,15 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.functions.lexicon import DEMO_BOOSTERS, DEMO_NEGATORS, DEMO_THEMES, lexicon_frame
-from retention.operators import (audit, churn, clean, cohorts, facts, ranking, revenue, rfm,
+from basketlens.functions.lexicon import DEMO_BOOSTERS, DEMO_NEGATORS, DEMO_THEMES, lexicon_frame
+from basketlens.operators import (audit, churn, clean, cohorts, facts, ranking, revenue, rfm,
                                  sentiment, themes)
-from retention.plans import extracts
-from retention.plans.model import Model
-from retention.schemas import RAW_REVIEWS
-from retention.session import ensure_checkpoint_dir
-from retention.sources import files
-from retention.sources import testdata as td
+from basketlens.plans import extracts
+from basketlens.plans.model import Model
+from basketlens.schemas import RAW_REVIEWS
+from basketlens.session import ensure_checkpoint_dir
+from basketlens.sources import files
+from basketlens.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.functions.numeric import pct
-from retention.operators import churn, cohorts, facts, revenue, rfm as rfm_ops
+from basketlens.functions.numeric import pct
+from basketlens.operators import churn, cohorts, facts, revenue, rfm as rfm_ops
 
 PERSON = "customer_unique_id"
 

@@ -12,8 +12,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retention.operators import churn, clean, rfm as rfm_ops
-from retention.sources import testdata as td
+from basketlens.operators import churn, clean, rfm as rfm_ops
+from basketlens.sources import testdata as td
 
 
 @dataclass

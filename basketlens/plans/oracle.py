@@ -8,8 +8,8 @@ adapter of ``sources/testdata.py`` is restated here as CTEs.
 
 from __future__ import annotations
 
-from retention.functions.lexicon import DEMO_BOOSTERS, DEMO_LEXICON, DEMO_NEGATORS, DEMO_THEMES
-from retention.operators.themes import COMPLAINT_THEMES
+from basketlens.functions.lexicon import DEMO_BOOSTERS, DEMO_LEXICON, DEMO_NEGATORS, DEMO_THEMES
+from basketlens.operators.themes import COMPLAINT_THEMES
 
 
 # ---- exact arithmetic, same definitions as functions/numeric.py ----

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from retention.operators import clean, facts
-from retention.plans.model import Model
+from basketlens.operators import clean, facts
+from basketlens.plans.model import Model
 
 
 def modelled_tables(m: Model) -> dict[str, DataFrame]:

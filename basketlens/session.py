@@ -27,14 +27,14 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app_name: str = "retention",
+def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app_name: str = "basketlens",
               extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = os.environ.get("RETENTION_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("BASKETLENS_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -58,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) "
             "so that exact global rankings survive executor loss")
-    folder = tempfile.mkdtemp(prefix="retention-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    folder = tempfile.mkdtemp(prefix="basketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.schemas import PRICE
+from basketlens.schemas import PRICE
 
 # Fixed values of the adapter (status codes and the inline category translation).
 STATUS_NAMES = {"F": "delivered", "O": "shipped", "P": "processing"}

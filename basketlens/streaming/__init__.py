@@ -6,4 +6,4 @@ dropped into a folder are appended to the hand-off table exactly once
 (file-source bookkeeping and sink commit log live in ``checkpoint``).
 """
 
-from retention.streaming.ingest import ingest_raw_files  # noqa: F401
+from basketlens.streaming.ingest import ingest_raw_files  # noqa: F401

@@ -14,8 +14,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from retention.plans.catalog import QUERIES  # noqa: E402
-from retention.session import get_spark  # noqa: E402
+from basketlens.plans.catalog import QUERIES  # noqa: E402
+from basketlens.session import get_spark  # noqa: E402
 
 HEADLINE = [
     "orders_clean", "monthly_revenue", "customer_metrics", "rfm_segmentation", "rfm_segmentation_ntile",
@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app_name="retention-bench")
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app_name="basketlens-bench")
     # warm-up: JVM, parquet footers, Python worker for the Arrow UDF
     QUERIES["orders_clean"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from retention.session import get_spark  # noqa: E402
+from basketlens.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", shuffle_partitions=4, app_name="retention-tests")
+    s = get_spark("local[4]", shuffle_partitions=4, app_name="basketlens-tests")
     yield s
     s.stop()

@@ -7,10 +7,10 @@ from decimal import Decimal
 import pandas as pd
 import pytest
 
-from retention.functions.dates import elapsed_days
-from retention.operators import churn, clean, ranking, revenue, sentiment, themes
-from retention.schemas import RAW_ORDER_ITEMS, RAW_TRANSLATIONS
-from retention.sources import files
+from basketlens.functions.dates import elapsed_days
+from basketlens.operators import churn, clean, ranking, revenue, sentiment, themes
+from basketlens.schemas import RAW_ORDER_ITEMS, RAW_TRANSLATIONS
+from basketlens.sources import files
 
 ORDERS = "order_id long, customer_unique_id long, order_status string, order_purchase_timestamp timestamp_ntz, order_revenue decimal(18,2)"
 
@@ -234,7 +234,7 @@ def test_theme_rejects_phrases(spark):
 
 
 def test_as_of_modes_latest_order_not_delivered(spark):
-    from retention.operators import rfm
+    from basketlens.operators import rfm
     rows = [(1, "delivered", datetime(2018, 1, 10, 12), 10), (2, "delivered", datetime(2018, 1, 1, 8), 5),
             (3, "shipped", datetime(2018, 2, 1, 9), 1)]
     o = orders_df(spark, rows)

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from retention.operators import ranking
+from basketlens.operators import ranking
 
 
 def _frame(spark, values):

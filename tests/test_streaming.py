@@ -1,5 +1,5 @@
-from retention.schemas import RAW_ORDERS
-from retention.streaming import ingest_raw_files
+from basketlens.schemas import RAW_ORDERS
+from basketlens.streaming import ingest_raw_files
 
 
 def test_incremental_ingest_is_exactly_once(spark, tmp_path):

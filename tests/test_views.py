@@ -1,8 +1,8 @@
 """Reference-style SQL over the registered views agrees with the DataFrame operators."""
 
-from retention.operators import revenue
-from retention.plans.model import Model
-from retention.plans.views import register_views
+from basketlens.operators import revenue
+from basketlens.plans.model import Model
+from basketlens.plans.views import register_views
 
 SF = "/root/testdata/sf0.001"
 
