@@ -28,12 +28,21 @@ def to_day(ts) -> Column:
     return _c(ts).cast("date")
 
 
+def _seconds_of_day(ts: Column) -> Column:
+    """Seconds since midnight with microseconds (DECIMAL); read from the NTZ fields, no zone involved."""
+    return (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("decimal(12,6)") + F.date_part(F.lit("SECOND"), ts)
+
+
 def elapsed_days(end, start) -> Column:
-    """Whole 24-hour days from ``start`` to ``end`` (floor; both NTZ timestamps)."""
+    """Whole 24-hour days from ``start`` to ``end`` (floor), for NTZ timestamps.
+
+    Computed from calendar days plus the difference in time of day, so the
+    session time zone (and its DST shifts) never enters.
+    """
     e, s = _c(end), _c(start)
-    d = F.timestamp_diff("DAY", s, e)
-    # timestamp_diff truncates toward zero; floor for negative spans
-    return F.when(F.timestamp_add("DAY", d, s) > e, d - 1).otherwise(d)
+    secs = (F.datediff(e.cast("date"), s.cast("date")).cast("decimal(20,6)") * 86400
+            + _seconds_of_day(e) - _seconds_of_day(s))
+    return F.floor(secs / 86400).cast("long")
 
 
 def calendar_days(end, start) -> Column:

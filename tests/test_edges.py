@@ -260,3 +260,16 @@ def test_unknown_tier_in_themes_and_null_keys_dropped(spark):
                                "historical_clv decimal(18,2), estimated_revenue_at_risk decimal(20,6)")
     assert [r.value_tier for r in churn.churn_by_segment(ch).collect()] == ["VIP"]
     assert [r.customer_state for r in churn.churn_by_region(ch).collect()] == ["SP"]
+
+
+def test_elapsed_days_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2021, 3, 13, 12), datetime(2021, 3, 14, 12)),
+                                    (datetime(2021, 3, 13, 2, 30), datetime(2021, 3, 14, 2, 29, 59, 999999)),
+                                    (datetime(2021, 11, 6, 12), datetime(2021, 11, 7, 11, 59))],
+                                   "s timestamp_ntz, e timestamp_ntz")
+        assert [r.d for r in df.select(elapsed_days("e", "s").alias("d")).collect()] == [1, 0, 0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
