@@ -11,6 +11,7 @@ which the scores are calibrated probabilities.
 from __future__ import annotations
 
 import base64
+from typing import Iterator
 
 import numpy as np
 import pandas as pd
@@ -96,11 +97,18 @@ def _softmax(a: np.ndarray) -> np.ndarray:
 
 
 def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The temperature of least log loss on held-back rows, over a geometric grid."""
+    """The temperature of least log loss on held-back rows, over a geometric grid.
+
+    As if one more row were spread over all labels, so that no finite sample
+    without errors makes the scores certain.
+    """
+    target = np.full(logits.shape, 1 / logits.shape[1] / (len(y) + 1)) if len(y) else None
+
     def loss(t):
         a = logits / t
         a = a - a.max(axis=1, keepdims=True)
-        return float(np.mean(np.log(np.exp(a).sum(axis=1)) - a[np.arange(len(y)), y]))
+        a -= np.log(np.exp(a).sum(axis=1, keepdims=True))
+        return -float(np.sum(a * target) + np.sum(a[np.arange(len(y)), y]) * len(y) / (len(y) + 1))
 
     return min(np.geomspace(0.02, 20, 200), key=loss) if len(y) else 1.0
 
@@ -142,17 +150,18 @@ def fit(train: DataFrame, bits: int = 15, rows_per_language: int = 1500, alpha:
             "temperature": float(temperature)}
 
 
-def _predictions(model: dict):
+def predicted(model: dict):
+    """A function of a text column that gives its (lang_pred, score), Arrow batch by batch."""
     bits, labels, t = model["bits"], model["labels"], model["temperature"]
     packed = {k: base64.b64encode(model[k].tobytes()).decode() for k in ("idf", "w")}
     shape = model["w"].shape
 
-    def run(frames):
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         idf = np.frombuffer(base64.b64decode(packed["idf"]), np.float32).astype(np.float64)
         w = np.frombuffer(base64.b64decode(packed["w"]), np.float32).reshape(shape).astype(np.float64)
-        for frame in frames:
+        for texts in series:
             pred, score = [], []
-            for text in frame.text:
+            for text in texts:
                 if not labels or not has_letter(text):
                     pred.append(UNDETERMINED)
                     score.append(0.0)
@@ -161,8 +170,8 @@ def _predictions(model: dict):
                 p = _softmax((_vector(at, n, idf) @ w[at] + w[-1]) / t)
                 pred.append(labels[int(p.argmax())])
                 score.append(float(p.max()))
-            yield pd.DataFrame({"doc_id": frame.doc_id, "lang_pred": pred, "score": score})
-    return run
+            yield pd.DataFrame({"lang_pred": pred, "score": score})
+    return F.pandas_udf(run, "lang_pred string, score double")
 
 
 def predict(df: DataFrame, model: dict) -> DataFrame:
@@ -171,9 +180,7 @@ def predict(df: DataFrame, model: dict) -> DataFrame:
     Ids may be null or repeat; rows are judged one by one, on the whole text.
     A model fitted on no labelled row calls every row ``und``.
     """
-    return documents(df).select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
-        _predictions(model), "doc_id string, lang_pred string, score double").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "lang_pred", "score")
+    return documents(df).select("doc_id", predicted(model)(F.col("text")).alias("x")).select("doc_id", "x.*")
 
 
 def remainder(doc_id: str, by: int) -> Column:

@@ -37,10 +37,10 @@ def shingle_sets(parts: list, powers: Powers, size: int) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(rolled[a: b - size + 1]))
         elif b > a:
-            whole = np.uint64(b - a)
-            for h in hashes[a:b]:
-                whole = mix(np.array([whole * np.uint64(0x9E3779B1) + h]))[0]
-            out.append(np.array([whole]))
+            whole = np.array([b - a], np.uint64)
+            for k in range(a, b):
+                whole = mix(whole * np.uint64(0x9E3779B1) + hashes[k: k + 1])
+            out.append(whole)
         else:
             out.append(np.zeros(0, np.uint64))
     return out

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents, written
+from .common import column, written
 from .kernels import Powers, chunked, joined, mix, sliding_min
 
 
@@ -90,7 +90,7 @@ def _windows(length: int):
     return run
 
 
-def _kept(with_text: bool):
+def _kept(with_text: bool, carry: list):
     def run(frames):
         for frame in frames:
             out = []
@@ -111,13 +111,12 @@ def _kept(with_text: bool):
                 out.append((len(raw), sum(int(b - a) for a, b in spans), len(spans), hashlib.sha256(left).hexdigest(),
                             left.decode("utf-8", "ignore") if with_text and isinstance(text, str) else None))
             got = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
-            got.insert(0, "doc_id", frame.doc_id.to_numpy())
-            yield got
+            yield pd.concat([frame[["doc_id", *carry]].reset_index(drop=True), got], axis=1)
     return run
 
 
 def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_first: bool = True,
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, carry: tuple = ()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``df`` (doc_id, text).
 
     Removes each byte covered by a string of ``length`` bytes that also
@@ -127,10 +126,13 @@ def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_fir
     texts like others (of rows that agree in id and text, all count as the
     same position with ``keep_first``, so they stay together).  With
     ``with_text`` the remaining text is returned too (bytes of a character
-    cut in two are dropped from it; null stays null).
+    cut in two are dropped from it; null stays null).  ``carry`` names further
+    columns of ``df`` to return, of types that survive a cast to string and back.
     """
-    docs = documents(df).select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row_id"),
-                                F.xxhash64("text").alias("row_print"), "text")
+    carried = [f"carried_{k}" for k in range(len(carry))]
+    docs = df.select(column(df, "doc_id", "bigint").alias("doc_id"), column(df, "text", "string").alias("text"),
+                     *[F.col(f"`{c}`").cast("string").alias(x) for c, x in zip(carry, carried)])
+    docs = docs.select("*","doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row_id"), F.xxhash64("text").alias("row_print"))
     runs = docs.where(F.octet_length("text") >= length).select("row_id", "row_print", "text").mapInPandas(
         _runs(length, anchor), "row_id bigint, row_print bigint, key bigint, stretch bigint, a int, b int")
     again = written(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
@@ -155,7 +157,9 @@ def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_fir
              .unionAll(whole.select("row_id", "row_print", "a", (F.col("b") + length).alias("b")))
              .groupBy("row_id", "row_print").agg(F.collect_list(F.struct("a", "b")).alias("x")))
     out = docs.join(spans, ["row_id", "row_print"], "left").select(
-        F.col("doc_id").cast("string"), "text", F.col("x.a").alias("firsts"), F.col("x.b").alias("lasts"))
-    kind = "doc_id string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
-    out = out.mapInPandas(_kept(with_text), kind).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+        F.col("doc_id").cast("string"), *carried, "text", F.col("x.a").alias("firsts"), F.col("x.b").alias("lasts"))
+    kind = "doc_id string, " + "".join(f"{x} string, " for x in carried) + "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
+    out = out.mapInPandas(_kept(with_text, carried), kind).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    out = out.select("doc_id", *[F.col(x).cast(df.schema[c].dataType).alias(c) for c, x in zip(carry, carried)],
+                     "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
     return out if with_text else out.drop("kept_text")
