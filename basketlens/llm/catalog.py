@@ -66,3 +66,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_katz_scores, op4_suffix_repeats, op5_decontamination, op6_chat_format,
     op7_sharding, op8_quality_rules, op9_minhash_dedup, op10_packing)}
+
+#: DuckDB SQL of the queries that SQL can tell; tests hold the others against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op6_chat_format": r"""
+        WITH rows AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+          UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        sized AS (
+          SELECT *, role = 'assistant' AS trained,
+            4 + length(role) + length(regexp_replace(role, '[^\\#:]', '', 'g'))
+              + (length(role) - length(replace(role, '</', ''))) // 2
+            + 2 + length(text) + length(regexp_replace(text, '[^\\#]', '', 'g'))
+              + (length(text) - length(replace(text, '</', ''))) // 2 + 8 AS n,
+            row_number() OVER w AS place FROM rows
+          WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+        ended AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY place) AS ends FROM sized)
+        SELECT conv_id, count(*) AS n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+          length(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE trained), '')) AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE trained), '')) AS loss_sha256,
+          CAST(coalesce(sum(ends) FILTER (WHERE trained), 0) + max(ends)
+               - coalesce(max(ends) FILTER (WHERE trained), 0) AS BIGINT) AS formatted_chars,
+          count(*) FILTER (WHERE trained) AS n_examples
+        FROM ended GROUP BY conv_id""",
+}
