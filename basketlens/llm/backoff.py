@@ -18,6 +18,7 @@ three times: for words, for pairs, and for the sums that alpha needs.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
@@ -25,12 +26,11 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, shared_folder, written
+from .common import documents, shared_folder, text_bytes, written
 from .kernels import Powers, chunked, mix, words
 from .language import remainder
 
 END, START = np.uint64(0x456E64), np.uint64(0x5374617274)
-RANGES = 256
 CUTOFF = 5
 PACKET = "range int, part bigint, keys binary, values binary"
 ANSWER = "part bigint, kind string, range int, payload binary"
@@ -46,17 +46,12 @@ def unpacked(data: bytes) -> np.ndarray:
                      dtype=np.uint64)
 
 
-def by_range(keys: np.ndarray) -> np.ndarray:
-    """Where each of the RANGES equal key ranges begins in sorted keys (one more at the end)."""
-    return np.append(np.searchsorted(keys, np.arange(RANGES, dtype=np.uint64) << np.uint64(56)), len(keys))
-
-
-def packets(part: int, keys: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    """The packets of a chunk; ``values`` has one row per key."""
-    cut = by_range(keys)
-    return pd.DataFrame([(k, part, packed(keys[a:b]), values[a:b].tobytes())
-                         for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a],
-                        columns=["range", "part", "keys", "values"])
+def packets(part: int, keys: np.ndarray, values: np.ndarray, bits: int) -> pd.DataFrame:
+    """The packets of a chunk, one per key range (the highest ``bits`` bits); ``values`` has one row per sorted key."""
+    ranges = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    cut = np.append(np.flatnonzero(np.diff(ranges, prepend=-1)), len(keys))
+    return pd.DataFrame([(int(ranges[a]), part, packed(keys[a:b]), values[a:b].tobytes())
+                         for a, b in zip(cut[:-1], cut[1:])], columns=["range", "part", "keys", "values"])
 
 
 def _chunks(size: int):
@@ -113,20 +108,24 @@ class Chunk:
             self.pair_context, self.pair_word = self.context[at], self.tokens[at]
 
 
-def _word_packets(frames):
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            c = Chunk(row, pairs=False)
-            n = np.bincount(c.tokens[c.train], minlength=len(c.vocabulary))
-            yield packets(c.part, c.vocabulary, n.astype("<i8"))
+def _word_packets(bits: int):
+    def run(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                c = Chunk(row, pairs=False)
+                n = np.bincount(c.tokens[c.train], minlength=len(c.vocabulary))
+                yield packets(c.part, c.vocabulary, n.astype("<i8"), bits)
+    return run
 
 
-def _pair_packets(frames):
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            c = Chunk(row)
-            n = np.bincount(c.pair[c.train], minlength=len(c.pairs))
-            yield packets(c.part, c.pairs, n.astype("<u4"))
+def _pair_packets(bits: int):
+    def run(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                c = Chunk(row)
+                n = np.bincount(c.pair[c.train], minlength=len(c.pairs))
+                yield packets(c.part, c.pairs, n.astype("<u4"), bits)
+    return run
 
 
 def _gathered(frame: pd.DataFrame, dtype: str, width: int = 1):
@@ -188,7 +187,7 @@ def _known(c: Chunk, answers: pd.DataFrame, model: dict):
     return count, unigram, seen, (got & np.uint64(1)).astype(bool), discounted
 
 
-def _mass_packets(model: dict):
+def _mass_packets(model: dict, bits: int):
     """For each context: discounted count and unigram mass of its distinct followers, and its count."""
     def run(left: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -202,7 +201,7 @@ def _mass_packets(model: dict):
             values[:, 2] = count
             keys = np.append(c.vocabulary, START)
             order = np.argsort(keys)
-            out.append(packets(c.part, keys[order], values[order]))
+            out.append(packets(c.part, keys[order], values[order], bits))
         return pd.concat(out) if out else pd.DataFrame(columns=["range", "part", "keys", "values"])
     return run
 
@@ -254,18 +253,24 @@ def _bucketed(df: DataFrame) -> DataFrame:
 
 
 def _statistics(answers: DataFrame) -> np.ndarray:
-    """Counts of counts 0 .. CUTOFF + 2, distinct keys and total, summed over the ranges (RANGES rows)."""
-    rows = answers.where("part = -1").select("payload").collect()
+    """Counts of counts 0 .. CUTOFF + 2, distinct keys and total, summed over the ranges."""
+    def summed(frames):
+        yield pd.DataFrame({"payload": [sum((np.frombuffer(x, "<i8") for f in frames for x in f.payload),
+                                            np.zeros(CUTOFF + 5, np.int64)).tobytes()]})
+
+    rows = answers.where("part = -1").select("payload").mapInPandas(summed, "payload binary").collect()
     return sum((np.frombuffer(r.payload, "<i8") for r in rows), np.zeros(CUTOFF + 5, np.int64))
 
 
-def katz_scores(df: DataFrame, train, chunk_bytes: int = 8 << 20) -> DataFrame:
+def katz_scores(df: DataFrame, train, chunk_bytes: int = 8 << 20, range_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row of ``df`` (doc_id, text).
 
     ``train`` is a column expression over doc_id and text; rows where it is
     true are learned from, null counts as false.  Tokens are the lower-cased
     (A-Z) runs without ASCII white space, and one end.  Scores are log10
-    probabilities of whole texts.  Null text is empty (its one token is the
+    probabilities of whole texts.  There is a key range for about
+    ``range_bytes`` of text (256 at least), so a range stays as small in a
+    large corpus as in a small one.  Null text is empty (its one token is the
     end); null ids and repeated rows are texts like others.  Without any
     training row every token is unknown and has probability 1.
     """
@@ -273,16 +278,17 @@ def katz_scores(df: DataFrame, train, chunk_bytes: int = 8 << 20) -> DataFrame:
     chunks = _bucketed(docs.mapInPandas(
         _chunks(chunk_bytes), "part bigint, doc_ids array<string>, lengths binary, train binary, "
                               "vocabulary binary, tokens binary"))
-    word = written(chunks.mapInPandas(_word_packets, PACKET).groupBy("range")
+    bits = max(8, math.ceil(math.log2(max(1, text_bytes(docs) / range_bytes))))
+    word = written(chunks.mapInPandas(_word_packets(bits), PACKET).groupBy("range")
                    .applyInPandas(_totals("word", "<i8"), ANSWER))
-    pair = written(chunks.mapInPandas(_pair_packets, PACKET).groupBy("range")
+    pair = written(chunks.mapInPandas(_pair_packets(bits), PACKET).groupBy("range")
                    .applyInPandas(_totals("pair", "<u4"), ANSWER))
     words_, pairs_ = _statistics(word), _statistics(pair)
     model = {"N": int(words_[-1]), "V": int(words_[-2]), "docs": int(docs.where("train").count()),
              "discounts": discounts(pairs_[: CUTOFF + 3]).tolist()}
     known = word.unionAll(pair).where("part >= 0")
     alpha = written(chunks.groupBy("part").cogroup(known.groupBy("part"))
-                    .applyInPandas(_mass_packets(model), PACKET).groupBy("range").applyInPandas(_alphas, ANSWER))
+                    .applyInPandas(_mass_packets(model, bits), PACKET).groupBy("range").applyInPandas(_alphas, ANSWER))
     out = chunks.groupBy("part").cogroup(known.unionAll(alpha).groupBy("part")).applyInPandas(
         _scores(model), "doc_id string, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.select(F.col("doc_id").cast("bigint").alias("doc_id"), "n_tokens", "n_known",
