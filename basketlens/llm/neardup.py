@@ -10,13 +10,17 @@ Documents with equal sets are one class first, so copies never meet as
 pairs.  In a band's bucket, the member that shares most buckets with others
 is the hub and every member is compared with it; components of those links
 are found, and then only members that still lie outside their bucket's
-largest component are compared with the members of other components.  So
-every candidate pair is either joined already or confirmed, and a group
-around a common original costs a number of comparisons in proportion to it.
+largest component meet the members of other components.  Sketches of longer
+signatures (four bits a value) tell which of those pairs can reach the
+similarity, and they are confirmed like the others.  So every candidate pair
+is joined already, ruled out by its sketch, or confirmed, and a group around a
+common original costs a number of confirmations in proportion to it.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -74,6 +78,22 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return keys
 
 
+def sketch(signature: np.ndarray) -> np.ndarray:
+    """The lowest four bits of every signature value, packed into 64-bit words."""
+    bits = (signature.reshape(-1, 1) >> np.arange(4, dtype=np.uint64)) & np.uint64(1)
+    packed = np.packbits(bits.astype(np.uint8).ravel())
+    return np.append(packed, np.zeros(-len(packed) % 8, np.uint8)).view(np.int64)
+
+
+def most_differing_bits(values: int, similarity: float, sigmas: float = 4.3) -> int:
+    """Bits in which the sketches of two sets of this similarity differ at most, but for one pair in 100 000.
+
+    A value that differs (chance q) differs in two of its four bits on average.
+    """
+    q = 1 - similarity
+    return math.ceil(values * 2 * q + sigmas * math.sqrt(values * (5 * q - 4 * q * q)))
+
+
 def _signatures(size: int, bands: int, rows: int):
     def run(frames):
         powers = Powers()
@@ -108,6 +128,15 @@ def _sets(size: int):
     return run
 
 
+def _sketches(permutations: int):
+    def run(frames):
+        a, b = _coefficients(permutations)
+        for frame in frames:
+            frame["bits"] = [sketch(min_max_signature(np.asarray(s, np.int64).view(np.uint64), a, b)) for s in frame.shingles]
+            yield frame[["id", "bits"]]
+    return run
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -151,14 +180,16 @@ def _members(rows: DataFrame, found: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "id")))
 
 
-def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
+def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6,
+                    sketch_values: int = 2048) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``df`` (doc_id, text).
 
     Words are lower-cased (A-Z) runs without ASCII white space.  Two texts are
     linked when 100 * shared >= ``percent`` * united shingles; a text of fewer
     than ``shingle`` words is one shingle, one without words has none and is
     linked with nothing.  ``component_id`` is the least id reachable.  A pair
-    at 80 % shares none of the 40 bands with a chance of about 5 in a million.
+    at 80 % shares none of the 40 bands with a chance of about 5 in a million,
+    and its sketches rule it out with one of about 10 in a million.
     Rows that repeat an id and text are kept or dropped together; of several
     texts under one id the least stands for it in confirmations; a null id
     is never a component's id, and its row is kept only if no other row joins it.
@@ -193,12 +224,23 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, bands: i
     largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
                                        F.count("*").alias("parts")).where("parts > 1").drop("parts")
     split = written(grouped.join(written(largest), "key"))
-    outer = split.where("component <> largest").select("key", F.col("id").alias("a"), F.col("n_shingles").alias("size_a"),
-                                                       F.col("component").alias("ca"))
-    other = split.select("key", F.col("id").alias("b"), F.col("n_shingles").alias("size_b"),
-                         F.col("component").alias("cb"), (F.col("component") == F.col("largest")).alias("main"))
-    late = (outer.join(other, "key").where((F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b"))))
-            .where(near(F.col("size_a"), F.col("size_b")))
+    late_ids = split.select("id").distinct()
+    bits = written(sets.join(late_ids, "id", "left_semi").mapInPandas(_sketches(sketch_values // 2),
+                                                                      "id bigint, bits array<bigint>"))
+    split = written(split.join(classes.select("id", "bands").dropDuplicates(["id"]), "id").join(bits, "id"))
+    outer, other = (split.select("key", F.col("id").alias(x), F.col("n_shingles").alias(f"size_{x}"),
+                                 F.col("component").alias(f"in_{x}"), F.col("bands").alias(f"bands_{x}"),
+                                 F.col("bits").alias(f"bits_{x}"), (F.col("component") == F.col("largest")).alias(f"main_{x}"))
+                    for x in "ab")
+    # sketches differ in few bits where sets are alike; the pair is taken in the first bucket that both share
+    differ = sum((F.bit_count(F.get("bits_a", i).bitwiseXOR(F.get("bits_b", i))) for i in range(-(-sketch_values // 16))),
+                 F.lit(0))
+    shared_band = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True)
+    late = (outer.where(~F.col("main_a")).join(other, "key")
+            .where((F.col("in_a") != F.col("in_b")) & (F.col("main_b") | (F.col("a") < F.col("b")))
+                   & near(F.col("size_a"), F.col("size_b"))
+                   & (differ <= most_differing_bits(sketch_values, percent / 100))
+                   & (F.element_at("bands_a", shared_band.cast("int")) == F.col("key")))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = first.unionAll(_confirmed(written(late), sets, percent))
     final = written(_members(classes.select("id", "print_a", "print_b", "n_shingles"), components(links)))
