@@ -12,6 +12,7 @@ windows of their own.  So all windows but a shard's last are full.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -23,39 +24,85 @@ from .common import documents, text_bytes, written
 END = 1
 
 
-def _token_ids(tokenizer_path: str, vocabulary: int):
-    """Tokens of whole texts as 16-bit ids.
+TAIL = ".,;:!?)"
 
-    This vocabulary's rules never join characters across white space, so
-    each distinct run without white space is encoded once and the texts are put
-    together from those.  Python also splits at four control characters; texts
-    with one are encoded whole.
+
+class Words:
+    """Token ids of white-space runs, each distinct run encoded once.
+
+    The vocabulary's rules never join characters across white space, nor
+    letters with signs, so runs can be encoded apart, and signs at a run's end
+    apart from it.  Runs of letters alone are one word each: they are encoded
+    together, and the vocabulary's word-end tokens part them again.
+    """
+
+    def __init__(self, path: str, limit: int = 400_000):
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        names = {i: t for t, i in self.tokenizer.get_vocab().items()}
+        self.last = np.array([names.get(i, "").endswith("</w>") for i in range(max(names) + 1)])
+        self.known: dict[str, bytes] = {}
+        self.limit = limit
+
+    def add(self, runs: set) -> None:
+        if len(self.known) > self.limit:  # what is forgotten is encoded again
+            self.known = {}
+        new = [w for w in runs if w not in self.known]
+        cores = {w: w.rstrip(TAIL) for w in new}
+        ends_whole = lambda w, core: core and core != w and (core[-1].isalnum())
+        apart = {w: (c, w[len(c):]) for w, c in cores.items() if ends_whole(w, c)}
+        needed = {w for w in new if w not in apart}
+        for core, tail in apart.values():
+            needed.update((core, tail))
+        needed = [w for w in needed if w not in self.known]
+        letters = [w for w in needed if w.isalpha()]
+        rest = [w for w in needed if not w.isalpha()]
+        for at in range(0, len(letters), 10_000):
+            some = letters[at: at + 10_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):
+                rest += some
+                continue
+            data, at_ = ids.tobytes(), 0
+            for word, end in zip(some, (2 * ends).tolist()):
+                self.known[word] = data[at_:end]
+                at_ = end
+        for at in range(0, len(rest), 10_000):
+            some = rest[at: at + 10_000]
+            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[word] = np.array(got.ids, "<u2").tobytes()
+        for word, (core, tail) in apart.items():
+            self.known[word] = self.known[core] + self.known[tail]
+
+
+def white_space_runs(text) -> list:
+    """Runs to encode apart.
+
+    Python also splits at four control characters and lower-cases a last
+    sigma in its own way; texts with one of these are encoded whole, or as they are.
     """
-    def runs(text):
-        if not isinstance(text, str):
-            return []
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return [text]
-        return (text.lower() if text.isascii() else text).split()
+    if not isinstance(text, str):
+        return []
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return [text]
+    return (text if "\u03a3" in text else text.lower()).split()
 
+
+def _token_ids(tokenizer_path: str):
+    """Tokens of whole texts as 16-bit ids."""
     def run(frames):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        known: dict[str, bytes] = {}
+        words = Words(tokenizer_path)
         for frame in frames:
-            texts = [runs(t) for t in frame.text]
-            new = list({w for t in texts for w in t if w not in known})
-            if len(known) > 400_000:  # a cache only: what it forgets is encoded again
-                known = {}
-                new = list({w for t in texts for w in t})
-            for at in range(0, len(new), 20_000):
-                some = new[at: at + 20_000]
-                for word, got in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = np.array(got.ids, "<u2").tobytes()
-            frame["ids"] = [b"".join([known[w] for w in t]) + END.to_bytes(2, "little") for t in texts]
+            ids = []
+            for at in range(0, len(frame), 2000):
+                texts = [white_space_runs(t) for t in frame.text.iloc[at: at + 2000]]
+                words.add(set().union(*texts))
+                known = words.known
+                ids += [b"".join([known[w] for w in t]) + END.to_bytes(2, "little") for t in texts]
+            frame["ids"] = ids
             yield frame[["doc_id", "ids"]]
     return run
 
@@ -68,7 +115,7 @@ def _document_frequencies(vocabulary: int):
             for ids in frame.ids:
                 present = np.zeros(vocabulary, bool)
                 present[np.frombuffer(ids, "<u2")] = True
-                seen += present
+                seen[np.flatnonzero(present)] += 1
                 rows += 1
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"token": np.append(at, -1).astype(np.int32), "n": np.append(seen[at], rows)})
@@ -91,19 +138,35 @@ class Index:
         self.first = np.searchsorted(token[order], np.arange(len(idf) + 1))
         self.owner = np.concatenate(owners)[order]
         self.weight = np.concatenate(weights)[order]
-        self.idf, self.score = idf, np.zeros(len(docs), np.float32)
+        self.idf, self.docs = idf, len(docs)
 
-    def neighbours(self, ids: np.ndarray, terms: int) -> np.ndarray:
-        """Documents that share any of the query's ``terms`` tokens of highest tf-idf, best first."""
-        t, n = np.unique(ids, return_counts=True)
-        worth = n * self.idf[t]
-        t = t[np.argsort(-worth, kind="stable")[:terms]]
+    def scores(self, ids: np.ndarray, terms: int) -> np.ndarray:
+        """BM25 score of every document for the query's ``terms`` most telling tokens that other documents have too."""
+        t = np.unique(ids)
+        t = t.astype(np.int64)
+        t = t[self.first[t + 1] - self.first[t] > 1]
+        t = t[np.argsort(-self.idf[t], kind="stable")[:terms]]
+        if not len(t):
+            return np.zeros(self.docs)
         spans = [slice(self.first[x], self.first[x + 1]) for x in t]
         owner = np.concatenate([self.owner[s] for s in spans])
         gain = np.concatenate([self.weight[s] * self.idf[x] for s, x in zip(spans, t)])
-        found, at = np.unique(owner, return_inverse=True)
-        score = np.bincount(at, gain)
-        return found[np.lexsort((found, -score))]
+        return np.bincount(owner, gain, self.docs)
+
+    def neighbours(self, ids: np.ndarray, terms: int, unused: np.ndarray):
+        """Unused documents that share a query token, best first; sorted some at a time, as a window rarely needs all."""
+        score = self.scores(ids, terms)
+        found = np.flatnonzero((score > 0) & unused)
+        some = 64
+        while len(found):
+            if len(found) > some:
+                least = np.partition(score[found], len(found) - some)[len(found) - some]
+                best = found[score[found] >= least]
+                found = found[score[found] < least]
+            else:
+                best, found = found, found[:0]
+            yield from best[np.lexsort((best, -score[best]))]
+            some *= 8
 
 
 def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
@@ -139,7 +202,7 @@ def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
             room -= n
 
         take(seed)
-        for i in index.neighbours(docs[seed], terms) if room else ():
+        for i in index.neighbours(docs[seed], terms, left > 0) if room else ():
             if left[i] and room:
                 take(i)
             if not room:
@@ -180,7 +243,7 @@ def retrieval_packing(df: DataFrame, tokenizer_path: str, window: int = 2048, sh
     """
     docs = documents(df)
     shards = max(1, -(-text_bytes(docs) // shard_bytes))
-    tokens = written(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_token_ids(tokenizer_path, vocabulary), "doc_id string, ids binary"))
+    tokens = written(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_token_ids(tokenizer_path), "doc_id string, ids binary"))
     got = (tokens.select("ids").mapInPandas(_document_frequencies(vocabulary), "token int, n bigint")
            .groupBy("token").agg(F.sum("n").alias("n")).toPandas().set_index("token").n)
     total = got.pop(-1) if len(got) else 0

@@ -369,8 +369,24 @@ def test_bm25_neighbours_against_plain_scores():
     docs = [rng.integers(0, 50, rng.integers(1, 40)).astype("<u2") for _ in range(60)]
     idf = rng.random(50).astype(np.float32) + 0.1
     index, mean = packing.Index(docs, idf), np.mean([len(d) for d in docs])
+    many = {t for t in range(50) if sum((d == t).any() for d in docs) > 1}
     for q in docs[:8]:
-        score = [sum(idf[t] * (n := int((d == t).sum())) * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in set(q.tolist()))
+        score = [sum(idf[t] * (n := int((d == t).sum())) * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in many & set(q.tolist()))
                  for d in docs]
-        got = index.neighbours(q, 50)
+        got = list(index.neighbours(q, 50, np.ones(60, bool)))
         assert np.allclose(sorted((score[i] for i in range(60) if score[i] > 0), reverse=True), [score[i] for i in got], atol=1e-4)
+
+
+def test_words_encode_like_whole_texts(rows):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    texts = [r["text"] or "" for r in rows] + [
+        "It's a don't, we'll; x's. (a) 1,234.5! a\x1cb <|endoftext|> caf\u00e9... cafe\u0301, \u039f\u0394\u039f\u03a3 \u0130stanbul",
+        "\u212aelvin \u1112\u1161\u11ab \u00a0 a\u2003b\u0085c .. ?! \u00df\u1e9e a\u200db 'S 't"]
+    words = packing.Words(TOKENIZER)
+    for text in texts:
+        runs = packing.white_space_runs(text)
+        words.add(set(runs))
+        got = np.frombuffer(b"".join(words.known[w] for w in runs), "<u2").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
