@@ -13,6 +13,8 @@ windows of their own.  So all windows but a shard's last are full.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -24,7 +26,7 @@ from .common import documents, text_bytes, written
 END = 1
 
 
-TAIL = ".,;:!?)"
+SIGNS = ".,;:!?)(#*$%&|<>"
 
 
 class Words:
@@ -36,7 +38,7 @@ class Words:
     together, and the vocabulary's word-end tokens part them again.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -46,18 +48,25 @@ class Words:
         self.limit = limit
 
     def add(self, runs: set) -> None:
-        if len(self.known) > self.limit:  # what is forgotten is encoded again
-            self.known = {}
-        new = [w for w in runs if w not in self.known]
-        cores = {w: w.rstrip(TAIL) for w in new}
-        ends_whole = lambda w, core: core and core != w and (core[-1].isalnum())
-        apart = {w: (c, w[len(c):]) for w, c in cores.items() if ends_whole(w, c)}
-        needed = {w for w in new if w not in apart}
-        for core, tail in apart.values():
-            needed.update((core, tail))
-        needed = [w for w in needed if w not in self.known]
-        letters = [w for w in needed if w.isalpha()]
-        rest = [w for w in needed if not w.isalpha()]
+        known = self.known
+        if len(known) > self.limit:  # what is forgotten is encoded again
+            known.clear()
+        apart, letters, rest = [], set(), set()
+        for word in runs:
+            if word in known:
+                continue
+            core = word.rstrip(SIGNS)
+            if core != word and core and core[-1].isalnum():
+                tail = word[len(core):]
+                apart.append((word, core, tail))
+                if tail not in known:
+                    rest.add(tail)
+                if core in known:
+                    continue
+            else:
+                core = word
+            (letters if core.isalpha() else rest).add(core)
+        letters, rest = list(letters), list(rest)
         for at in range(0, len(letters), 10_000):
             some = letters[at: at + 10_000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
@@ -73,8 +82,8 @@ class Words:
             some = rest[at: at + 10_000]
             for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self.known[word] = np.array(got.ids, "<u2").tobytes()
-        for word, (core, tail) in apart.items():
-            self.known[word] = self.known[core] + self.known[tail]
+        for word, core, tail in apart:
+            known[word] = known[core] + known[tail]
 
 
 def white_space_runs(text) -> list:
@@ -94,14 +103,17 @@ def _token_ids(tokenizer_path: str):
     """Tokens of whole texts as 16-bit ids."""
     def run(frames):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = Words(tokenizer_path)
+        # kept for the tasks that follow in this Python worker; a cache of bounded size
+        shared = sys.modules.setdefault("_corpus_words", types.ModuleType("_corpus_words"))
+        words = shared.__dict__.setdefault(tokenizer_path, None) or Words(tokenizer_path)
+        shared.__dict__[tokenizer_path] = words
         for frame in frames:
             ids = []
             for at in range(0, len(frame), 2000):
                 texts = [white_space_runs(t) for t in frame.text.iloc[at: at + 2000]]
                 words.add(set().union(*texts))
                 known = words.known
-                ids += [b"".join([known[w] for w in t]) + END.to_bytes(2, "little") for t in texts]
+                ids += [b"".join(map(known.__getitem__, t)) + END.to_bytes(2, "little") for t in texts]
             frame["ids"] = ids
             yield frame[["doc_id", "ids"]]
     return run
