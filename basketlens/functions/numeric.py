@@ -15,26 +15,25 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, b)
-
-
 def round_half_up_units(num, den, units: int) -> Column:
-    """round(num * units / den) half away from zero, as bigint; NULL if den is 0 or NULL.
+    """round(num * units / den) half away from zero, as DECIMAL(38,0); NULL if den is 0 or NULL.
 
-    ``num`` and ``den`` must be integral (counts, or amounts already in cents).
+    ``num`` and ``den`` must be integral (counts, or amounts in cents) of at
+    most 25 digits.  All steps are exact: the dividend is made a multiple of
+    the divisor first, so no quotient is rounded by its scale.
     """
-    n = _c(num).cast("long")
-    d = _c(den).cast("long")
-    mag = _div(F.abs(n) * (2 * units) + F.abs(d), F.abs(d) * 2)
-    signed = F.when((n < 0) != (d < 0), -mag).otherwise(mag)
-    return F.when(d != 0, signed)
+    n = _c(num).cast("decimal(25,0)")
+    d = F.nullif(_c(den).cast("decimal(25,0)"), F.lit(0).cast("decimal(25,0)"))
+    twice = F.abs(n) * F.lit(2 * units).cast("decimal(12,0)") + F.abs(d)
+    by = F.abs(d) * F.lit(2).cast("decimal(1,0)")
+    mag = ((twice - twice % by) / by).cast("decimal(38,0)")
+    return F.when((n < 0) != (d < 0), -mag).otherwise(mag)
 
 
 def half_up_ratio(num, den, factor: int = 1, digits: int = 2) -> Column:
     """``round(num / den * factor, digits)`` exactly, as DOUBLE."""
     units = factor * 10 ** digits
-    return (round_half_up_units(num, den, units) / F.lit(10 ** digits)).cast("double")
+    return round_half_up_units(num, den, units).cast("double") / F.lit(float(10 ** digits))
 
 
 def pct(num, den, digits: int = 2) -> Column:
@@ -43,8 +42,8 @@ def pct(num, den, digits: int = 2) -> Column:
 
 
 def cents(amount) -> Column:
-    """DECIMAL(., 2) amount -> bigint cents (exact)."""
-    return (_c(amount) * 100).cast("long")
+    """DECIMAL(., 2) amount -> cents (exact, 25 digits)."""
+    return (_c(amount).cast("decimal(28,2)") * 100).cast("decimal(25,0)")
 
 
 def money_pct(num_amount, den_amount, digits: int = 2) -> Column:

@@ -34,16 +34,15 @@ def _make_nfkd_ascii():
 nfkd_ascii = _make_nfkd_ascii()
 
 
-def clean_text(col) -> Column:
-    """strip, lower, NFKD, ASCII-only; NULL stays NULL (reference ``clean_text``)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return nfkd_ascii(F.lower(F.trim(c)))
+def strip_space(c: Column) -> Column:
+    """Surrounding white space (Unicode) removed."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def normalize_review_text(col) -> Column:
     """NULL -> '', strip surrounding white space, lower case."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)^\s+|\s+$", ""))
+    return F.lower(strip_space(F.coalesce(c.cast("string"), F.lit(""))))
 
 
 def tokens(col) -> Column:

@@ -8,14 +8,12 @@ table) and running sums over the calendar spine give the answer.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions.dates import (AS_OF_ALL_ORDERS, AS_OF_DELIVERED_PLUS_1D, as_of_date,
                                        calendar_days, elapsed_days, month_start)
-from basketlens.functions.numeric import half_up_ratio, money_mean_dec, pct
+from basketlens.functions.numeric import half_up_ratio, money_mean, money_mean_dec, pct
 from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
@@ -92,7 +90,7 @@ def executive_kpis(churn: DataFrame, orders: DataFrame, churn_days: int = CHURN_
         "total_customers", "active_customers", "churned_customers",
         pct("churned_customers", "_n").alias("churn_rate_pct"),
         F.round(F.coalesce(revenue, F.lit(0).cast(MONEY)), 2).cast(MONEY).alias("revenue"),
-        half_up_ratio((F.col("_clv") * 100).cast("long"), F.col("_nclv") * 100, 1, 2).alias("average_historical_clv"),
+        money_mean("_clv", "_nclv", 2).alias("average_historical_clv"),
         half_up_ratio("_life", "_nlife", 1, 2).alias("average_customer_lifespan_days"),
         F.round(F.coalesce(F.col("_risk"), F.lit(0)), 2).cast(MONEY).alias("revenue_at_risk"),
         F.lit(churn_days).alias("churn_definition_days"))
@@ -120,17 +118,12 @@ def churn_trend(orders: DataFrame, churn_days: int = CHURN_DAYS, normalize: bool
     d = _delivered(orders)
     v = d.groupBy(PERSON).agg(F.min("order_purchase_timestamp").alias("first"),
                               F.max("order_purchase_timestamp").alias("last"))
-    # two scalars for the month-end calendar, fetched once (a global partial aggregate)
-    lo_v, hi_v = d.agg(F.min("order_purchase_timestamp"), F.max("order_purchase_timestamp")).first()
     spark = orders.sparkSession
-    if lo_v is None:
-        return spark.createDataFrame([], "month date, known_customers bigint, churned_customers bigint, "
-                                         "churn_rate_pct double")
-    # literals from text: independent of the session and driver time zones
-    lo = F.lit(lo_v.isoformat(sep=" ")).cast("timestamp_ntz")
-    hi = F.lit(hi_v.isoformat(sep=" ")).cast("timestamp_ntz")
-    midnight = lo_v.replace(hour=0, minute=0, second=0, microsecond=0)
-    tod = F.lit(0 if normalize else (lo_v - midnight) // timedelta(microseconds=1)).cast("long")
+    # two scalar subqueries for the month-end calendar; without orders they are null and the spine is empty
+    lo = d.agg(F.min("order_purchase_timestamp").cast("timestamp_ntz")).scalar()
+    hi = d.agg(F.max("order_purchase_timestamp").cast("timestamp_ntz")).scalar()
+    midnight = lo.cast("date").cast("timestamp_ntz")
+    tod = F.lit(0).cast("long") if normalize else F.timestamp_diff("MICROSECOND", midnight, lo)
 
     events = (v.select(_first_month_end_on_or_after(F.col("first"), tod).alias("month"),
                        F.lit(1).alias("dk"), F.lit(0).alias("dc"))

@@ -11,32 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.dates import month_start
-from basketlens.functions.text import nfkd_ascii
+from basketlens.functions.text import nfkd_ascii, strip_space
 from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
 
 
-def standardize_customers(customers: DataFrame, max_broadcast_values: int = 1_000_000) -> DataFrame:
-    """City trimmed, lower-cased, NFKD-folded to ASCII; state upper-cased.
+def standardize_customers(customers: DataFrame) -> DataFrame:
+    """City stripped of white space, lower-cased, NFKD-folded to ASCII; state upper-cased.
 
-    Trim and lower run in the JVM on every row.  Only the *distinct* city
-    values that still hold non-ASCII characters go through the Arrow UDF
-    (a few thousand names, whatever the row count); the folded names come
-    back by a broadcast join when their count is under the limit, else by
-    a shuffle join.
+    Strip and lower run in the JVM.  Only cities that still hold a non-ASCII
+    character are handed to the Arrow UDF; the other rows hand it a null.  No
+    join and no job: a plan that reads no city has none of this.
     """
-    base = (customers
-            .withColumn("customer_city", F.lower(F.trim(F.col("customer_city").cast("string"))))
-            .withColumn("customer_state", F.upper(F.col("customer_state").cast("string"))))
-    non_ascii = F.col("customer_city").rlike("[^\\x00-\\x7F]")
-    folded = (base.filter(non_ascii).select("customer_city").distinct()
-              .withColumn("_folded", nfkd_ascii(F.col("customer_city"))))
-    n = folded.limit(max_broadcast_values + 1).count()
-    lookup = F.broadcast(folded) if n <= max_broadcast_values else folded
-    return (base.join(lookup, "customer_city", "left")
-            .withColumn("customer_city", F.coalesce("_folded", "customer_city"))
-            .drop("_folded")
+    city = F.lower(strip_space(F.col("customer_city").cast("string")))
+    non_ascii = F.col("_city").rlike("[^\\x00-\\x7F]")
+    return (customers.withColumn("_city", city)
+            .withColumn("customer_state", F.upper(F.col("customer_state").cast("string")))
+            .withColumn("customer_city", F.coalesce(nfkd_ascii(F.when(non_ascii, F.col("_city"))), "_city"))
             .select(*customers.columns))
 
 
@@ -49,7 +41,7 @@ def products_clean(products: DataFrame, translations: DataFrame, flavour: str =
     t = translations.select(
         F.regexp_replace(F.col("product_category_name"), "^﻿|\r$", "").alias("_cat"),
         F.regexp_replace(F.col("product_category_name_english"), "\r$", "").alias("_en"),
-    ).dropDuplicates(["_cat"])
+    ).groupBy("_cat").agg(F.min("_en").alias("_en"))
     p = products.join(t, products["product_category_name"] == t["_cat"], "left")
     if flavour == "pandas":
         p = (p.withColumn("product_category_name", F.coalesce("product_category_name", F.lit("unknown")))

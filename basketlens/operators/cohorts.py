@@ -34,16 +34,20 @@ def person_months(orders: DataFrame) -> DataFrame:
             .withColumn("months_since_first_purchase", month_diff("order_month", "cohort_month")))
 
 
-def cohort_assign(orders: DataFrame) -> DataFrame:
+def cohort_assign(orders: DataFrame, salts: int = 16) -> DataFrame:
     """Every delivered order with its person's cohort month and month offset.
 
     The cohort (one row per person, from the person-month grain) is joined
-    back on the person; AQE splits a skewed person partition on the order side.
+    back on the person.  A person's orders are dealt to ``salts`` groups, and
+    the person's row is repeated for each, so a person with a third of all
+    orders is split whatever the join strategy.
     """
     cohorts = person_months(orders).groupBy(PERSON).agg(F.min("cohort_month").alias("cohort_month"))
+    cohorts = cohorts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     o = (_delivered(orders).select("order_id", PERSON, "order_purchase_timestamp", "order_revenue")
-         .withColumn("order_month", month_start("order_purchase_timestamp")))
-    return (o.join(cohorts, PERSON, "inner")
+         .withColumn("order_month", month_start("order_purchase_timestamp"))
+         .withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int")))
+    return (o.join(cohorts, [PERSON, "_salt"], "inner").drop("_salt")
             .withColumn("months_since_first_purchase", month_diff("order_month", "cohort_month")))
 
 
@@ -67,13 +71,12 @@ def cohort_retention_long(orders: DataFrame) -> DataFrame:
 
 def retention_trend(orders: DataFrame, offset: int = 1) -> DataFrame:
     """Month-``offset`` retention of every cohort (0 when nobody came back)."""
-    long = cohort_retention_long(orders)
-    sizes = long.filter(F.col("months_since_first_purchase") == 0).select("cohort_month", "cohort_size")
-    at = long.filter(F.col("months_since_first_purchase") == offset).select("cohort_month", "active_customers")
-    return (sizes.join(at, "cohort_month", "left")
+    at = lambda k: F.max(F.when(F.col("months_since_first_purchase") == k, F.col("active_customers")))
+    return (cohort_retention_long(orders).groupBy("cohort_month")
+            .agg(at(0).alias("cohort_size"), F.coalesce(at(offset), F.lit(0)).cast("long").alias("active_customers"))
             .withColumn("months_since_first_purchase", F.lit(offset))
-            .withColumn("active_customers", F.coalesce("active_customers", F.lit(0)).cast("long"))
-            .withColumn("retention_pct", pct("active_customers", "cohort_size")))
+            .withColumn("retention_pct", pct("active_customers", "cohort_size"))
+            .select("cohort_month", "cohort_size", "active_customers", "months_since_first_purchase", "retention_pct"))
 
 
 def cohort_retention_sql(orders: DataFrame) -> DataFrame:
@@ -88,21 +91,19 @@ def cohort_revenue_retention_sql(orders: DataFrame) -> DataFrame:
         "cohort_month", "months_since_first_purchase", "revenue", "month_0_revenue", "revenue_retention_pct")
 
 
-def _matrix(long: DataFrame, value: str, offsets: list[int] | None) -> DataFrame:
-    if offsets is None:
-        # pivot values from the cohort x offset table (months-sized), as Spark itself would
-        offsets = sorted(r[0] for r in long.select("months_since_first_purchase").distinct().collect())
-    m = (long.groupBy("cohort_month")
-         .pivot("months_since_first_purchase", offsets)
-         .agg(F.first(value)))
+def _matrix(long: DataFrame, value: str, offsets: list[int]) -> DataFrame:
+    month = F.col("months_since_first_purchase")
+    outside = F.raise_error(F.concat(F.lit("month offset outside the matrix: "), month.cast("string"))).cast("int")
+    m = (long.withColumn("months_since_first_purchase", F.when(month.isin(*offsets), month).otherwise(outside))
+         .groupBy("cohort_month").pivot("months_since_first_purchase", offsets).agg(F.first(value)))
     return m.fillna(0, subset=[str(o) for o in offsets])
 
 
-def cohort_retention_matrix(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
-    """Cohort x offset retention %, 0-filled; only observed offsets unless ``offsets`` is given."""
+def cohort_retention_matrix(orders: DataFrame, offsets: list[int]) -> DataFrame:
+    """Cohort x offset retention %, 0-filled; an observed offset outside ``offsets`` is an error."""
     return _matrix(cohort_retention_long(orders), "retention_pct", offsets)
 
 
-def cohort_revenue_matrix(orders: DataFrame, offsets: list[int] | None = None) -> DataFrame:
+def cohort_revenue_matrix(orders: DataFrame, offsets: list[int]) -> DataFrame:
     """Cohort x offset revenue retention %."""
     return _matrix(cohort_retention_long(orders), "revenue_retention_pct", offsets)

@@ -11,7 +11,7 @@ normalised as s / sqrt(s^2 + 15) and rounded to 4 decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import half_up_ratio, pct
@@ -28,15 +28,6 @@ NORMALIZATION_ALPHA = 15
 # Review and customer labels of the reference.
 POSITIVE, NEGATIVE, MIXED = "Positive", "Negative", "Mixed Negative"
 
-MAX_BROADCAST_LEXICON_ROWS = 2_000_000
-
-
-def _checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the dimension is proven small; otherwise a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _shifted(toks: Column, k: int) -> Column:
     """The token array moved right by k places (k leading NULLs), same length."""
     n = F.size(toks)
@@ -54,19 +45,6 @@ def _token_context(toks: Column) -> Column:
                         _shifted(toks, 2).alias("p2"), _shifted(toks, 3).alias("p3"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` only when the input has fewer splits than cores.
-
-    On a cluster the scan already yields thousands of splits and no extra
-    shuffle is planned; on a handful of large files the text work is spread
-    over every core (and the later aggregate and join on ``key`` reuse it).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
-
-
 def lexicon_polarity(reviews: DataFrame, lexicon: DataFrame, negators: list[str] = (),
                      boosters: list[str] = (), id_col: str = "review_id",
                      text_col: str = "review_comment_message") -> DataFrame:
@@ -74,12 +52,11 @@ def lexicon_polarity(reviews: DataFrame, lexicon: DataFrame, negators: list[str]
 
     ``lexicon``: ``(token string, valence decimal)``.  Tokens with their three
     predecessors are exploded (code-generated array functions), looked up by
-    broadcast join and summed per review (partial aggregate); the sums are
+    join (broadcast if the lexicon's size allows) and summed per review (partial aggregate); the sums are
     joined back on the review id.  Whole texts are processed.
     """
     lex = lexicon.select(F.col("token").alias("tok"), F.col("valence").cast("decimal(10,4)").alias("valence"))
-    lex = _checked_broadcast(lex, MAX_BROADCAST_LEXICON_ROWS)
-    base = spread(reviews, id_col).withColumn(text_col, normalize_review_text(text_col))
+    base = reviews.withColumn(text_col, normalize_review_text(text_col))
     toks = base.select(id_col, tokens(text_col).alias("_toks"))      # split once per review
     ctx = toks.select(id_col, F.explode(_token_context(F.col("_toks"))).alias("c")).select(id_col, "c.*")
     neg = list(negators) or [None]
@@ -155,8 +132,8 @@ def sentiment_distribution(csr: DataFrame) -> DataFrame:
     g = (csr.filter(F.col("value_tier").isNotNull() & F.col("sentiment_label").isNotNull())
          .groupBy("value_tier", "sentiment_label")
          .agg(F.countDistinct(PERSON).alias("customers")))
-    tot = g.groupBy("value_tier").agg(F.sum("customers").alias("segment_customers"))
-    return (g.join(tot, "value_tier")
+    # tiers x labels rows: a window over them costs nothing, a second branch would score every review again
+    return (g.withColumn("segment_customers", F.sum("customers").over(Window.partitionBy("value_tier")))
             .withColumn("sentiment_pct", pct("customers", "segment_customers")))
 
 

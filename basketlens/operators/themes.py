@@ -10,7 +10,7 @@ counting ``\\bkeyword\\b`` occurrences.
 
 from __future__ import annotations
 
-import regex
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ COMPLAINT_THEMES = {
     "service": ["service", "servico", "serviço", "atendimento", "suporte"],
 }
 
-_WORD = regex.compile(r"^[\p{L}\p{N}_]+$")
+_WORD = re.compile(r"^\w+$")
 
 
 def theme_table(spark, themes: dict[str, list[str]]) -> DataFrame:
@@ -58,15 +58,13 @@ def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
                   .join(kw, "keyword", "left")
                   .filter(F.col("keyword").isNull() | F.col("complaint_theme").isNotNull())
                   .groupBy(PERSON, "complaint_theme").agg(F.count(F.lit(1)).alias("n")))
-    agg = (per_person.join(rfm.select(PERSON, "value_tier"), PERSON, "left")
-           .withColumn("value_tier", F.coalesce("value_tier", F.lit("Unknown")))
-           .groupBy("value_tier", "complaint_theme").agg(F.sum("n").alias("n")))
-    counts = agg.filter(F.col("complaint_theme").isNull()).select(
-        "value_tier", F.col("n").cast("long").alias("negative_review_count"))
-    mentions = agg.filter(F.col("complaint_theme").isNotNull()).select(
-        "value_tier", "complaint_theme", F.col("n").alias("mention_count"))
-    grid = counts.select("value_tier", "negative_review_count",
-                         F.explode(F.array(*[F.lit(t) for t in themes])).alias("complaint_theme"))
-    return (grid.join(mentions, ["value_tier", "complaint_theme"], "left")
-            .withColumn("mention_count", F.coalesce("mention_count", F.lit(0)).cast("long"))
-            .select("value_tier", "complaint_theme", "mention_count", "negative_review_count"))
+    # one conditional sum per theme, so that the reviews are scored in one branch only
+    sums = (per_person.join(rfm.select(PERSON, "value_tier"), PERSON, "left")
+            .groupBy(F.coalesce("value_tier", F.lit("Unknown")).alias("value_tier"))
+            .agg(F.sum(F.when(F.col("complaint_theme").isNull(), F.col("n"))).alias("negative_review_count"),
+                 *[F.sum(F.when(F.col("complaint_theme") == t, F.col("n"))).alias(f"_{i}") for i, t in enumerate(themes)]))
+    per_theme = F.array(*[F.struct(F.lit(t).alias("complaint_theme"),
+                                   F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("long").alias("mention_count"))
+                          for i, t in enumerate(themes)])
+    return (sums.select("value_tier", F.explode(per_theme).alias("x"), F.col("negative_review_count").cast("long"))
+            .select("value_tier", "x.*", "negative_review_count"))

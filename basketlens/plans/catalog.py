@@ -185,12 +185,18 @@ def q_cohort_revenue_retention_sql(spark, d):
     return cohorts.cohort_revenue_retention_sql(Model.from_testdata(spark, d).orders)
 
 
+#: Month offsets of the matrices (eight years); an order beyond them is an error.
+MATRIX_OFFSETS = list(range(96))
+#: Customers a state needs for its rates (the reference takes 100 of its larger data).
+STATE_MINIMUM = 50
+
+
 def q_cohort_retention_matrix(spark, d):
-    return cohorts.cohort_retention_matrix(Model.from_testdata(spark, d).orders)
+    return cohorts.cohort_retention_matrix(Model.from_testdata(spark, d).orders, MATRIX_OFFSETS)
 
 
 def q_cohort_revenue_matrix(spark, d):
-    return cohorts.cohort_revenue_matrix(Model.from_testdata(spark, d).orders)
+    return cohorts.cohort_revenue_matrix(Model.from_testdata(spark, d).orders, MATRIX_OFFSETS)
 
 
 # ---------- H. churn ----------
@@ -212,8 +218,8 @@ def q_churn_trend(spark, d):
 
 
 def q_churn_trend_events(spark, d):
-    """H4 on purchase events: orders with a time of day over one month, 7-day rule."""
-    return churn.churn_trend(td.purchase_events(spark, d), churn_days=7)
+    """H4 on purchase events: orders with a time of day over several months, 20-day rule."""
+    return churn.churn_trend(td.purchase_events(spark, d), churn_days=20)
 
 
 def q_churn_trend_asof(spark, d):
@@ -248,7 +254,7 @@ def q_return_windows(spark, d):
 
 def q_region_repeat_rate(spark, d):
     m = Model.from_testdata(spark, d)
-    return revenue.region_repeat_rate(m.persons, m.orders, min_customers=100)
+    return revenue.region_repeat_rate(m.persons, m.orders, min_customers=STATE_MINIMUM)
 
 
 def q_region_repeat_rate_all_states(spark, d):
@@ -355,7 +361,7 @@ def q_churned_revenue_by_state(spark, d):
 
 
 def q_active_retention_by_state(spark, d):
-    return extracts.active_retention_by_state(Model.from_testdata(spark, d).churn, min_customers=100)
+    return extracts.active_retention_by_state(Model.from_testdata(spark, d).churn, min_customers=STATE_MINIMUM)
 
 
 def q_return_rate_all_customers(spark, d):

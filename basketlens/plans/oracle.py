@@ -12,12 +12,12 @@ from basketlens.functions.lexicon import DEMO_BOOSTERS, DEMO_LEXICON, DEMO_NEGAT
 from basketlens.operators.themes import COMPLAINT_THEMES
 
 
-# ---- exact arithmetic, same definitions as functions/numeric.py ----
+# ---- exact arithmetic on 128-bit integers: quotient, then up if the remainder is half or more ----
 
 def units(n: str, d: str, u: int) -> str:
+    a, b = f"(abs(CAST({n} AS HUGEINT)) * {u})", f"abs(CAST({d} AS HUGEINT))"
     return (f"(CASE WHEN ({d}) <> 0 THEN (CASE WHEN (({n}) < 0) <> (({d}) < 0) THEN -1 ELSE 1 END) * "
-            f"((abs(CAST({n} AS BIGINT)) * {2 * u} + abs(CAST({d} AS BIGINT))) // "
-            f"(abs(CAST({d} AS BIGINT)) * 2)) END)")
+            f"({a} // {b} + CASE WHEN 2 * ({a} % {b}) >= {b} THEN 1 ELSE 0 END) END)")
 
 
 def ratio(n: str, d: str, factor: int = 1, digits: int = 2) -> str:
@@ -29,7 +29,7 @@ def pct(n: str, d: str, digits: int = 2) -> str:
 
 
 def cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS BIGINT)"
+    return f"CAST(({x}) * 100 AS HUGEINT)"
 
 
 def money_pct(a: str, b: str) -> str:
@@ -91,7 +91,7 @@ c_raw AS (
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
 c_std AS (
   SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
-         regexp_replace(strip_accents(lower(trim(customer_city))), '[^\x00-\x7F]', '', 'g') AS customer_city,
+         regexp_replace(strip_accents(lower(regexp_replace(customer_city, '^[\s\x0B\x85\pZ]+|[\s\x0B\x85\pZ]+$', '', 'g'))), '[^\x00-\x7F]', '', 'g') AS customer_city,
          upper(customer_state) AS customer_state
   FROM c_raw),
 persons AS (
@@ -126,13 +126,13 @@ r_raw AS (
          d.text AS review_comment_message
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 fin AS (
-  SELECT order_id, CAST(sum(price) AS DECIMAL(18,2)) AS order_revenue, CAST(sum(freight_value) AS DECIMAL(18,2)) AS order_freight,
+  SELECT order_id, CAST(sum(price) AS DECIMAL(28,2)) AS order_revenue, CAST(sum(freight_value) AS DECIMAL(28,2)) AS order_freight,
          count(order_item_id) AS order_items
   FROM i_raw GROUP BY order_id),
 oc AS (
   SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp, c.customer_unique_id,
-         CAST(coalesce(f.order_revenue, 0) AS DECIMAL(18,2)) AS order_revenue,
-         CAST(coalesce(f.order_freight, 0) AS DECIMAL(18,2)) AS order_freight,
+         CAST(coalesce(f.order_revenue, 0) AS DECIMAL(28,2)) AS order_revenue,
+         CAST(coalesce(f.order_freight, 0) AS DECIMAL(28,2)) AS order_freight,
          CAST(coalesce(f.order_items, 0) AS INTEGER) AS order_items,
          CAST(date_trunc('month', o.order_purchase_timestamp) AS DATE) AS order_month
   FROM o_raw o LEFT JOIN c_std c ON o.customer_id = c.customer_id LEFT JOIN fin f ON o.order_id = f.order_id),
@@ -152,7 +152,7 @@ metrics AS (
          greatest({elapsed('last_purchase_date', 'first_purchase_date')}, 1) AS customer_lifespan_days
   FROM (SELECT customer_unique_id, max(order_purchase_timestamp) AS last_purchase_date,
                min(order_purchase_timestamp) AS first_purchase_date, count(DISTINCT order_id) AS frequency,
-               CAST(sum(order_revenue) AS DECIMAL(18,2)) AS monetary, count(order_revenue) AS _cnt
+               CAST(sum(order_revenue) AS DECIMAL(28,2)) AS monetary, count(order_revenue) AS _cnt
         FROM dlv GROUP BY customer_unique_id)),
 qc AS (
   SELECT *, {qcut('r_r', 'n')} AS recency_score, {qcut('r_f', 'n')} AS frequency_score, {qcut('r_m', 'n')} AS monetary_score
@@ -173,8 +173,8 @@ cv AS (
          CAST(CASE WHEN days_since_last_purchase > 180 THEN avg_order_value ELSE 0 END AS DECIMAL(20,6)) AS estimated_revenue_at_risk
   FROM (SELECT customer_unique_id, min(order_purchase_timestamp) AS first_purchase_date,
                max(order_purchase_timestamp) AS last_purchase_date, count(DISTINCT order_id) AS order_count,
-               CAST(sum(order_revenue) AS DECIMAL(18,2)) AS historical_clv,
-               {mean_dec('CAST(sum(order_revenue) AS DECIMAL(18,2))', 'count(order_revenue)')} AS avg_order_value,
+               CAST(sum(order_revenue) AS DECIMAL(28,2)) AS historical_clv,
+               {mean_dec('CAST(sum(order_revenue) AS DECIMAL(28,2))', 'count(order_revenue)')} AS avg_order_value,
                {elapsed(AS_OF_P, 'max(order_purchase_timestamp)')} AS days_since_last_purchase,
                greatest({elapsed('max(order_purchase_timestamp)', 'min(order_purchase_timestamp)')}, 1) AS customer_lifespan_days
         FROM dlv GROUP BY customer_unique_id)),
@@ -184,7 +184,7 @@ churn AS (
   LEFT JOIN rfm ON cv.customer_unique_id = rfm.customer_unique_id),
 msql AS (
   SELECT c.customer_unique_id, c.customer_state, max(CAST(o.order_purchase_timestamp AS DATE)) AS last_purchase_date,
-         count(DISTINCT o.order_id) AS frequency, CAST(sum(o.order_revenue) AS DECIMAL(18,2)) AS monetary,
+         count(DISTINCT o.order_id) AS frequency, CAST(sum(o.order_revenue) AS DECIMAL(28,2)) AS monetary,
          CAST(date_diff('day', max(CAST(o.order_purchase_timestamp AS DATE)), {AS_OF_S}) AS BIGINT) AS recency_days
   FROM persons c LEFT JOIN oc o ON c.customer_unique_id = o.customer_unique_id
   WHERE o.order_status = 'delivered'
@@ -201,7 +201,7 @@ cohort_long AS (
          {pct('active_customers', 'first_value(active_customers) OVER w')} AS retention_pct,
          {money_pct('revenue', 'first_value(revenue) OVER w')} AS revenue_retention_pct
   FROM (SELECT cohort_month, months_since_first_purchase, count(DISTINCT customer_unique_id) AS active_customers,
-               CAST(sum(order_revenue) AS DECIMAL(18,2)) AS revenue
+               CAST(sum(order_revenue) AS DECIMAL(28,2)) AS revenue
         FROM (SELECT d.*, min(order_month) OVER (PARTITION BY customer_unique_id) AS cohort_month,
                      CAST(date_diff('month', min(order_month) OVER (PARTITION BY customer_unique_id), order_month) AS INTEGER)
                        AS months_since_first_purchase
@@ -282,16 +282,16 @@ LEFT JOIN men m ON m.tier = c.tier AND m.complaint_theme = th.complaint_theme"""
 def _churn_by(key: str) -> str:
     return q(f"""
 SELECT {key}, count(DISTINCT customer_unique_id) AS customers, count_if(is_churned) AS churned_customers,
-       CAST(sum(historical_clv) AS DECIMAL(18,2)) AS historical_revenue,
+       CAST(sum(historical_clv) AS DECIMAL(28,2)) AS historical_revenue,
        CAST(sum(estimated_revenue_at_risk) AS DECIMAL(28,6)) AS revenue_at_risk,
        {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS churn_rate_pct
 FROM churn WHERE {key} IS NOT NULL GROUP BY {key}""")
 
 
 def _matrix(value: str) -> str:
-    return q(f"""
-SELECT * FROM (PIVOT (SELECT cohort_month, months_since_first_purchase, {value} FROM cohort_long)
-               ON months_since_first_purchase USING coalesce(first({value}), 0) GROUP BY cohort_month)""")
+    cells = ", ".join(f'coalesce(max(CASE WHEN months_since_first_purchase = {k} THEN {value} END), 0) AS "{k}"'
+                      for k in range(96))
+    return q(f"SELECT cohort_month, {cells} FROM cohort_long GROUP BY cohort_month")
 
 
 def _churn_trend(src: str, churn_days: int) -> str:
@@ -312,8 +312,9 @@ SELECT CAST(date_trunc('month', me) AS DATE) AS month, known_customers, churned_
 FROM snap""")
 
 
-EVENTS_SRC = """SELECT event_id AS order_id, user_id AS customer_unique_id, ts AS order_purchase_timestamp,
-       CAST(CAST(floor(value * 100 + 0.5) AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,2)) AS order_revenue
+EVENTS_SRC = """SELECT event_id AS order_id, user_id AS customer_unique_id,
+       ts + to_days(CAST((event_id % 6) * 30 AS INTEGER)) AS order_purchase_timestamp,
+       CAST(CAST(floor(value * 100 + 0.5) AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(28,2)) AS order_revenue
 FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL"""
 
 
@@ -362,7 +363,7 @@ FROM c_std c LEFT JOIN o_raw o ON c.customer_id = o.customer_id GROUP BY c.custo
     "sales_fact": q("""
 SELECT d.order_id, d.customer_id, d.order_purchase_timestamp, c.customer_unique_id, c.customer_city, c.customer_state,
        i.order_item_id, i.product_id, i.seller_id, i.shipping_limit_date, i.price, i.freight_value, p.product_category_english,
-       CAST(i.price + i.freight_value AS DECIMAL(18,2)) AS line_revenue,
+       CAST(i.price + i.freight_value AS DECIMAL(28,2)) AS line_revenue,
        CAST(date_trunc('month', d.order_purchase_timestamp) AS DATE) AS order_month
 FROM o_raw d LEFT JOIN c_std c ON d.customer_id = c.customer_id JOIN i_raw i ON d.order_id = i.order_id
 LEFT JOIN p_clean p ON i.product_id = p.product_id
@@ -371,15 +372,15 @@ WHERE d.order_status = 'delivered'"""),
 SELECT * FROM i_raw WHERE order_id IN (SELECT order_id FROM o_raw) AND product_id IN (SELECT product_id FROM p_raw)"""),
     "reviews_dedup": q("""
 , rr AS (SELECT conv_id AS review_id, conv_id + turn AS order_id, CAST((turn % 5) + 1 AS TINYINT) AS review_score,
-                CASE WHEN role = 'user' THEN text ELSE '' END AS review_comment_message FROM conversations)
+                text AS review_comment_message FROM conversations)
 SELECT r.review_id, min(r.order_id) AS order_id, max(r.review_score) AS review_score,
        max(nullif(r.review_comment_message, '')) AS review_comment_message
 FROM rr r JOIN o_raw o ON r.order_id = o.order_id GROUP BY r.review_id"""),
     "customer_order_summary": q(f"""
 SELECT c.customer_unique_id, c.customer_city, c.customer_state, count(DISTINCT o.order_id) AS total_orders,
        min(o.order_purchase_timestamp) AS first_purchase_date, max(o.order_purchase_timestamp) AS last_purchase_date,
-       CAST(sum(o.order_revenue) AS DECIMAL(18,2)) AS total_revenue,
-       {money_mean('CAST(sum(o.order_revenue) AS DECIMAL(18,2))', 'count(o.order_revenue)', 6)} AS avg_order_value
+       CAST(sum(o.order_revenue) AS DECIMAL(28,2)) AS total_revenue,
+       {money_mean('CAST(sum(o.order_revenue) AS DECIMAL(28,2))', 'count(o.order_revenue)', 6)} AS avg_order_value
 FROM persons c LEFT JOIN oc o ON c.customer_unique_id = o.customer_unique_id
 GROUP BY c.customer_unique_id, c.customer_city, c.customer_state"""),
     # ---- R ----
@@ -401,8 +402,8 @@ FROM (SELECT *, CAST(ntile(5) OVER (ORDER BY recency_days DESC, customer_unique_
              CAST(ntile(5) OVER (ORDER BY monetary, customer_unique_id) AS INTEGER) AS monetary_score
       FROM msql)"""),
     "segment_summary": q(f"""
-SELECT value_tier, count(DISTINCT customer_unique_id) AS customers, CAST(sum(monetary) AS DECIMAL(18,2)) AS revenue,
-       {money_mean('CAST(sum(monetary) AS DECIMAL(18,2))', 'count(monetary)', 6)} AS avg_clv,
+SELECT value_tier, count(DISTINCT customer_unique_id) AS customers, CAST(sum(monetary) AS DECIMAL(28,2)) AS revenue,
+       {money_mean('CAST(sum(monetary) AS DECIMAL(28,2))', 'count(monetary)', 6)} AS avg_clv,
        {ratio('sum(recency_days)', 'count(recency_days)', 1, 6)} AS avg_recency_days
 FROM rfm WHERE value_tier IS NOT NULL GROUP BY value_tier"""),
     "fixed_threshold_segments": q("SELECT * FROM segs"),
@@ -434,7 +435,7 @@ FROM ca JOIN cs ON ca.cohort_month = cs.cohort_month"""),
 , oc8 AS (SELECT customer_unique_id, order_id, order_month, order_revenue FROM oc WHERE order_status = 'delivered'),
 cohorts AS (SELECT customer_unique_id, min(order_month) AS cohort_month FROM oc8 GROUP BY customer_unique_id),
 cr AS (SELECT c.cohort_month, o.order_month, CAST(date_diff('month', c.cohort_month, o.order_month) AS INTEGER) AS months_since_first_purchase,
-              CAST(sum(o.order_revenue) AS DECIMAL(18,2)) AS revenue
+              CAST(sum(o.order_revenue) AS DECIMAL(28,2)) AS revenue
        FROM oc8 o JOIN cohorts c ON o.customer_unique_id = c.customer_unique_id
        GROUP BY c.cohort_month, o.order_month, months_since_first_purchase),
 br AS (SELECT cohort_month, revenue AS month_0_revenue FROM cr WHERE months_since_first_purchase = 0)
@@ -448,7 +449,7 @@ FROM cr JOIN br ON cr.cohort_month = br.cohort_month"""),
     "churn_by_segment": _churn_by("value_tier"),
     "churn_by_region": _churn_by("customer_state"),
     "churn_trend": _churn_trend("SELECT * FROM dlv", 180),
-    "churn_trend_events": _churn_trend(EVENTS_SRC, 7),
+    "churn_trend_events": _churn_trend(EVENTS_SRC, 20),
     "churn_trend_asof": q(f"""
 , cm AS (SELECT customer_unique_id, order_month, max(CAST(order_purchase_timestamp AS DATE)) AS last_in_month
          FROM oc WHERE order_status = 'delivered' GROUP BY customer_unique_id, order_month),
@@ -464,32 +465,32 @@ FROM cms WHERE last_before IS NOT NULL GROUP BY month_start"""),
     "executive_kpis": q(f"""
 SELECT count(DISTINCT customer_unique_id) AS total_customers, count_if(NOT is_churned) AS active_customers,
        count_if(is_churned) AS churned_customers, {pct('count_if(is_churned)', 'count(is_churned)')} AS churn_rate_pct,
-       CAST(round(coalesce((SELECT CAST(sum(order_revenue) AS DECIMAL(18,2)) FROM oc WHERE order_status = 'delivered'), 0), 2) AS DECIMAL(18,2)) AS revenue,
+       CAST(round(coalesce((SELECT CAST(sum(order_revenue) AS DECIMAL(28,2)) FROM oc WHERE order_status = 'delivered'), 0), 2) AS DECIMAL(28,2)) AS revenue,
        {ratio(cents('sum(historical_clv)'), 'count(historical_clv) * 100', 1, 2)} AS average_historical_clv,
        {ratio('sum(customer_lifespan_days)', 'count(customer_lifespan_days)', 1, 2)} AS average_customer_lifespan_days,
-       CAST(round(coalesce(sum(estimated_revenue_at_risk), 0), 2) AS DECIMAL(18,2)) AS revenue_at_risk,
+       CAST(round(coalesce(sum(estimated_revenue_at_risk), 0), 2) AS DECIMAL(28,2)) AS revenue_at_risk,
        180 AS churn_definition_days
 FROM churn"""),
     "churn_by_rule_segment": q(f"""
 SELECT customer_segment, count(*) AS customers, CAST(sum(churned_flag) AS BIGINT) AS churned_customers,
-       CAST(sum(CASE WHEN churned_flag = 1 THEN monetary ELSE 0 END) AS DECIMAL(18,2)) AS historical_revenue_from_churned,
+       CAST(sum(CASE WHEN churned_flag = 1 THEN monetary ELSE 0 END) AS DECIMAL(28,2)) AS historical_revenue_from_churned,
        {pct('sum(churned_flag)', 'count(*)')} AS churn_rate_pct
 FROM segs GROUP BY customer_segment"""),
     "revenue_impact_of_churn": q(f"""
 , v AS (SELECT customer_unique_id, max(CAST(order_purchase_timestamp AS DATE)) AS last_purchase_date,
-               CAST(sum(order_revenue) AS DECIMAL(18,2)) AS historical_clv,
-               {mean_dec('CAST(sum(order_revenue) AS DECIMAL(18,2))', 'count(order_revenue)')} AS avg_order_value
+               CAST(sum(order_revenue) AS DECIMAL(28,2)) AS historical_clv,
+               {mean_dec('CAST(sum(order_revenue) AS DECIMAL(28,2))', 'count(order_revenue)')} AS avg_order_value
         FROM dlv GROUP BY customer_unique_id)
 SELECT CASE WHEN date_diff('day', last_purchase_date, {AS_OF_S}) > 180 THEN 'Churned' ELSE 'Active' END AS lifecycle_status,
-       count(*) AS customers, CAST(sum(historical_clv) AS DECIMAL(18,2)) AS historical_revenue,
+       count(*) AS customers, CAST(sum(historical_clv) AS DECIMAL(28,2)) AS historical_revenue,
        CAST(sum(avg_order_value) AS DECIMAL(28,6)) AS estimated_revenue_at_risk,
-       {ratio(cents('CAST(sum(historical_clv) AS DECIMAL(18,2))'), 'count(historical_clv) * 100', 1, 6)} AS avg_historical_clv
+       {ratio(cents('CAST(sum(historical_clv) AS DECIMAL(28,2))'), 'count(historical_clv) * 100', 1, 6)} AS avg_historical_clv
 FROM v GROUP BY lifecycle_status"""),
     # ---- V ----
     "top_customers": q(f"""
 , cr AS (SELECT c.customer_unique_id, c.customer_state, c.customer_city, count(DISTINCT o.order_id) AS orders_count,
-                CAST(sum(o.order_revenue) AS DECIMAL(18,2)) AS total_revenue,
-                {money_mean('CAST(sum(o.order_revenue) AS DECIMAL(18,2))', 'count(o.order_revenue)', 6)} AS avg_order_value
+                CAST(sum(o.order_revenue) AS DECIMAL(28,2)) AS total_revenue,
+                {money_mean('CAST(sum(o.order_revenue) AS DECIMAL(28,2))', 'count(o.order_revenue)', 6)} AS avg_order_value
          FROM persons c JOIN oc o ON c.customer_unique_id = o.customer_unique_id
          WHERE o.order_status = 'delivered'
          GROUP BY c.customer_unique_id, c.customer_state, c.customer_city)
@@ -512,10 +513,10 @@ FROM rw"""),
     "region_repeat_rate_all_states": None,
     "monthly_revenue": q(f"""
 , mr AS (SELECT order_month AS revenue_month, count(DISTINCT order_id) AS orders_count,
-                count(DISTINCT customer_unique_id) AS active_customers, CAST(sum(order_revenue) AS DECIMAL(18,2)) AS revenue
+                count(DISTINCT customer_unique_id) AS active_customers, CAST(sum(order_revenue) AS DECIMAL(28,2)) AS revenue
          FROM oc WHERE order_status = 'delivered' GROUP BY order_month)
 SELECT revenue_month, orders_count, active_customers, revenue,
-       CAST(sum(revenue) OVER (ORDER BY revenue_month) AS DECIMAL(18,2)) AS running_revenue,
+       CAST(sum(revenue) OVER (ORDER BY revenue_month) AS DECIMAL(28,2)) AS running_revenue,
        lag(revenue) OVER (ORDER BY revenue_month) AS prior_month_revenue,
        {pct(cents('revenue') + ' - ' + cents('lag(revenue) OVER (ORDER BY revenue_month)'),
             cents('lag(revenue) OVER (ORDER BY revenue_month)'))} AS mom_revenue_growth_pct
@@ -556,7 +557,7 @@ SELECT customer_state, count(*) AS customers, count_if(order_count >= 2) AS repe
 FROM ca GROUP BY customer_state HAVING count(*) >= {min_customers}""")
 
 
-ORACLE_SQL["region_repeat_rate"] = _repeat_rate(100)
+ORACLE_SQL["region_repeat_rate"] = _repeat_rate(50)
 ORACLE_SQL["region_repeat_rate_all_states"] = _repeat_rate(1)
 ORACLE_SQL["lexicon_polarity"] = q(
     "SELECT s.review_id, s.polarity FROM scored s").replace("FROM r_raw r JOIN oc o ON r.order_id = o.order_id",
@@ -566,19 +567,19 @@ ORACLE_SQL["lexicon_polarity"] = q(
 ORACLE_SQL.update({
     "kpi_cards": ORACLE_SQL["executive_kpis"],
     "revenue_by_month": q("""
-, mr AS (SELECT order_month AS revenue_month, CAST(sum(order_revenue) AS DECIMAL(18,2)) AS revenue
+, mr AS (SELECT order_month AS revenue_month, CAST(sum(order_revenue) AS DECIMAL(28,2)) AS revenue
          FROM oc WHERE order_status = 'delivered' GROUP BY order_month)
-SELECT revenue_month, revenue, CAST(sum(revenue) OVER (ORDER BY revenue_month) AS DECIMAL(18,2)) AS running_revenue FROM mr"""),
+SELECT revenue_month, revenue, CAST(sum(revenue) OVER (ORDER BY revenue_month) AS DECIMAL(28,2)) AS running_revenue FROM mr"""),
     "revenue_by_state": q("""
-, sf AS (SELECT d.order_id, c.customer_state, CAST(i.price + i.freight_value AS DECIMAL(18,2)) AS line_revenue
+, sf AS (SELECT d.order_id, c.customer_state, CAST(i.price + i.freight_value AS DECIMAL(28,2)) AS line_revenue
          FROM o_raw d LEFT JOIN c_std c ON d.customer_id = c.customer_id JOIN i_raw i ON d.order_id = i.order_id
          WHERE d.order_status = 'delivered')
-SELECT customer_state, CAST(sum(line_revenue) AS DECIMAL(18,2)) AS revenue, count(DISTINCT order_id) AS orders_count,
+SELECT customer_state, CAST(sum(line_revenue) AS DECIMAL(28,2)) AS revenue, count(DISTINCT order_id) AS orders_count,
        count(*) AS item_rows
 FROM sf GROUP BY customer_state"""),
     "tier_profile": q(f"""
-SELECT value_tier, count(DISTINCT customer_unique_id) AS customers, CAST(sum(monetary) AS DECIMAL(18,2)) AS revenue,
-       {money_mean('CAST(sum(monetary) AS DECIMAL(18,2))', 'count(monetary)', 6)} AS avg_clv,
+SELECT value_tier, count(DISTINCT customer_unique_id) AS customers, CAST(sum(monetary) AS DECIMAL(28,2)) AS revenue,
+       {money_mean('CAST(sum(monetary) AS DECIMAL(28,2))', 'count(monetary)', 6)} AS avg_clv,
        {ratio('sum(recency_days)', 'count(recency_days)', 1, 6)} AS avg_recency_days,
        {pct('count(DISTINCT customer_unique_id)', '(SELECT count(DISTINCT customer_unique_id) FROM rfm WHERE value_tier IS NOT NULL)')} AS customer_share_pct
 FROM rfm WHERE value_tier IS NOT NULL GROUP BY value_tier"""),
@@ -607,13 +608,13 @@ FROM rfm GROUP BY frequency, CAST(floor(monetary / 50) * 50 AS BIGINT), value_ti
     "vip_customers": q("""
 SELECT customer_unique_id, customer_state, customer_city, frequency, monetary, recency_days FROM rfm WHERE value_tier = 'VIP'"""),
     "churned_revenue_by_state": q("""
-SELECT customer_state, count(*) AS churned_customers, CAST(sum(historical_clv) AS DECIMAL(18,2)) AS churned_historical_revenue
+SELECT customer_state, count(*) AS churned_customers, CAST(sum(historical_clv) AS DECIMAL(28,2)) AS churned_historical_revenue
 FROM churn WHERE is_churned AND customer_state IS NOT NULL GROUP BY customer_state"""),
     "active_retention_by_state": q(f"""
 SELECT customer_state, count(DISTINCT customer_unique_id) AS customers, count_if(is_churned) AS churned_customers,
        {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS churn_rate_pct,
        {pct('count(DISTINCT customer_unique_id) - count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS active_rate_pct
-FROM churn WHERE customer_state IS NOT NULL GROUP BY customer_state HAVING count(DISTINCT customer_unique_id) >= 100"""),
+FROM churn WHERE customer_state IS NOT NULL GROUP BY customer_state HAVING count(DISTINCT customer_unique_id) >= 50"""),
     "return_rate_all_customers": q(f"""
 , co AS (SELECT customer_unique_id, order_purchase_timestamp,
                 lag(order_purchase_timestamp) OVER (PARTITION BY customer_unique_id ORDER BY order_purchase_timestamp) AS prev_ts
@@ -632,12 +633,12 @@ SELECT customer_unique_id, value_tier,
        (monetary_score >= 4 AND recency_days > 180) AS win_back_target
 FROM rfm WHERE value_tier IN ('VIP', 'Loyal', 'At Risk', 'Lost')"""),
     "sales_by_category_month": q("""
-, sf AS (SELECT d.order_id, i.price, CAST(i.price + i.freight_value AS DECIMAL(18,2)) AS line_revenue,
+, sf AS (SELECT d.order_id, i.price, CAST(i.price + i.freight_value AS DECIMAL(28,2)) AS line_revenue,
                 p.product_category_english, CAST(date_trunc('month', d.order_purchase_timestamp) AS DATE) AS order_month
          FROM o_raw d JOIN i_raw i ON d.order_id = i.order_id LEFT JOIN p_clean p ON i.product_id = p.product_id
          WHERE d.order_status = 'delivered')
-SELECT product_category_english, order_month, CAST(sum(price) AS DECIMAL(18,2)) AS item_revenue,
-       CAST(sum(line_revenue) AS DECIMAL(18,2)) AS line_revenue, count(*) AS items_sold, count(DISTINCT order_id) AS orders_count
+SELECT product_category_english, order_month, CAST(sum(price) AS DECIMAL(28,2)) AS item_revenue,
+       CAST(sum(line_revenue) AS DECIMAL(28,2)) AS line_revenue, count(*) AS items_sold, count(DISTINCT order_id) AS orders_count
 FROM sf GROUP BY product_category_english, order_month"""),
 })
 

@@ -7,7 +7,7 @@ are generic in the key type (the test tables use bigint ids).
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)        # widened from (12,2) so that sums never overflow under ANSI mode
+MONEY = T.DecimalType(28, 2)        # widened from (12,2) so that sums never overflow under ANSI mode
 PRICE = T.DecimalType(12, 2)
 
 RAW_CUSTOMERS = T.StructType([

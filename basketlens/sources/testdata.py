@@ -123,16 +123,19 @@ def raw_reviews_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("conv_id").alias("review_id"),
                     (F.col("conv_id") + F.col("turn")).alias("order_id"),
                     ((F.col("turn") % 5) + 1).cast("tinyint").alias("review_score"),
-                    F.when(F.col("role") == "user", F.col("text")).otherwise(F.lit(""))
-                    .alias("review_comment_message"))
+                    F.col("text").alias("review_comment_message"))
 
 
 def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with a time of day: purchase events as delivered orders of their user."""
+    """Orders with a time of day: purchase events as delivered orders of their user.
+
+    The events cover one month; event ids modulo 6 spread them over half a year.
+    """
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     return e.select(F.col("event_id").alias("order_id"),
                     F.col("user_id").alias("customer_unique_id"),
                     F.lit("delivered").alias("order_status"),
-                    F.col("ts").alias("order_purchase_timestamp"),
+                    F.timestamp_add("DAY", ((F.col("event_id") % 6) * 30).cast("int"), F.col("ts").cast("timestamp_ntz"))
+                    .alias("order_purchase_timestamp"),
                     F.floor(F.col("value") * 100 + 0.5).cast("decimal(16,0)")
-                    .__mul__(F.lit(0.01).cast("decimal(2,2)")).cast("decimal(18,2)").alias("order_revenue"))
+                    .__mul__(F.lit(0.01).cast("decimal(2,2)")).cast("decimal(28,2)").alias("order_revenue"))
