@@ -15,6 +15,7 @@ document would cost some hundred steps a character.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import defaultdict
 
@@ -100,13 +101,15 @@ class Items:
 
     def windows(self, words: list[str]) -> list[tuple[int, int]]:
         """(item, first word) of the item-sized windows that share enough word pairs at about one offset."""
-        get = self.vocabulary.get
-        n = np.array([get(w, -1) for w in words], np.int64)
+        n = np.fromiter(map(self.vocabulary.get, words, itertools.repeat(-1)), np.int64, len(words))
         p = np.flatnonzero((n[:-1] >= 0) & (n[1:] >= 0)) if len(n) > 1 else np.zeros(0, np.int64)
         if not len(p):
             return []
         key = n[p] * self.base + n[p + 1]
-        lo, hi = np.searchsorted(self.keys, key), np.searchsorted(self.keys, key, side="right")
+        lo = np.searchsorted(self.keys, key)
+        known = self.keys[np.minimum(lo, len(self.keys) - 1)] == key if len(self.keys) else np.zeros(len(p), bool)
+        p, key, lo = p[known], key[known], lo[known]
+        hi = np.searchsorted(self.keys, key, side="right")
         size = hi - lo
         if not size.any():
             return []
