@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from basketlens.plans.catalog import QUERIES
+from basketlens.plans.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -30,15 +32,15 @@ def _norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     got = Counter(tuple(_norm(r[c]) for c in cols) for r in (x.asDict() for x in df.collect()))
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(ORACLE_SQL[name])
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == cols
     exp = Counter(tuple(_norm(dict(zip(ocols, r))[c]) for c in cols) for r in res.fetchall())

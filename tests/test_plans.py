@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from basketlens.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 def plan(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -25,7 +25,7 @@ def test_top_customers_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(spark, "top_customers")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_row_at_a_time_python(spark, name):
     if name in ("read_raw", "write_table"):
         pytest.skip("file round trip")
