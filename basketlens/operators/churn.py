@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.functions.dates import (AS_OF_ALL_ORDERS, AS_OF_DELIVERED_PLUS_1D, as_of_date,
-                                       calendar_days, elapsed_days, month_start)
+from basketlens.functions.dates import AS_OF_ALL_ORDERS, as_of_date, calendar_days, month_start
 from basketlens.functions.numeric import half_up_ratio, money_mean, money_mean_dec, pct
 from basketlens.schemas import MONEY
 
@@ -27,31 +26,19 @@ def _delivered(orders: DataFrame) -> DataFrame:
     return orders.filter((F.col("order_status") == DELIVERED) & F.col(PERSON).isNotNull())
 
 
-def customer_value(orders: DataFrame, churn_days: int = CHURN_DAYS) -> DataFrame:
-    """Per person (delivered): first, last, orders, CLV, AOV, days since last, churn flag, lifespan, at-risk AOV."""
-    ref = as_of_date(orders, AS_OF_DELIVERED_PLUS_1D)
-    v = (_delivered(orders).groupBy(PERSON)
-         .agg(F.min("order_purchase_timestamp").alias("first_purchase_date"),
-              F.max("order_purchase_timestamp").alias("last_purchase_date"),
-              F.countDistinct("order_id").alias("order_count"),
-              F.sum("order_revenue").cast(MONEY).alias("historical_clv"),
-              F.count("order_revenue").alias("_cnt")))
-    return (v.withColumn("avg_order_value", money_mean_dec("historical_clv", "_cnt"))
-            .withColumn("days_since_last_purchase", elapsed_days(ref, "last_purchase_date").cast("long"))
-            .withColumn("is_churned", F.col("days_since_last_purchase") > churn_days)
-            .withColumn("customer_lifespan_days",
-                        F.greatest(elapsed_days("last_purchase_date", "first_purchase_date"), F.lit(1)).cast("long"))
-            .withColumn("estimated_revenue_at_risk",
-                        F.when(F.col("is_churned"), F.col("avg_order_value")).otherwise(F.lit(0)).cast(AOV))
-            .drop("_cnt"))
-
+def customer_churn_clv(rfm: DataFrame, churn_days: int = CHURN_DAYS) -> DataFrame:
+    """H1: one row per person of R5: orders, CLV, AOV, days since last, churn flag, lifespan, at-risk AOV, place, tier.
 
-def customer_churn_clv(orders: DataFrame, customers: DataFrame, rfm: DataFrame,
-                       churn_days: int = CHURN_DAYS) -> DataFrame:
-    """H1: customer value + location (left) + RFM tier (left); person-keyed joins."""
-    return (customer_value(orders, churn_days)
-            .join(customers.select(PERSON, "customer_city", "customer_state"), PERSON, "left")
-            .join(rfm.select(PERSON, "value_tier"), PERSON, "left"))
+    R5 already holds the delivered orders per person and its recency is the
+    days since the last purchase, so no order is read again.
+    """
+    churned = F.col("recency_days") > churn_days
+    return rfm.select(
+        PERSON, "first_purchase_date", "last_purchase_date", F.col("frequency").alias("order_count"),
+        F.col("monetary").alias("historical_clv"), "avg_order_value",
+        F.col("recency_days").alias("days_since_last_purchase"), churned.alias("is_churned"), "customer_lifespan_days",
+        F.when(churned, F.col("avg_order_value")).otherwise(F.lit(0)).cast(AOV).alias("estimated_revenue_at_risk"),
+        "customer_city", "customer_state", "value_tier")
 
 
 def _churn_by(churn: DataFrame, key: str) -> DataFrame:
@@ -183,13 +170,14 @@ def churn_trend_asof(orders: DataFrame, persons: DataFrame, churn_days: int = CH
 
 
 def churn_by_rule_segment(segments: DataFrame) -> DataFrame:
-    """H7 (query 3): per rule segment: customers, churned, churn %, revenue of churned customers."""
+    """H7 (query 3): per rule segment: customers, churned, churn %, revenue of churned customers; highest rate first."""
     return (segments.groupBy("customer_segment")
             .agg(F.count(F.lit(1)).alias("customers"),
                  F.sum("churned_flag").cast("long").alias("churned_customers"),
                  F.sum(F.when(F.col("churned_flag") == 1, F.col("monetary")).otherwise(F.lit(0)))
                  .cast(MONEY).alias("historical_revenue_from_churned"))
-            .withColumn("churn_rate_pct", pct("churned_customers", "customers")))
+            .withColumn("churn_rate_pct", pct("churned_customers", "customers"))
+            .orderBy(F.col("churn_rate_pct").desc(), "customer_segment"))
 
 
 def revenue_impact_of_churn(orders: DataFrame, churn_days: int = CHURN_DAYS) -> DataFrame:

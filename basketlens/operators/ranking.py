@@ -25,19 +25,21 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
+def _ranged(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order`` with a position tag ``_mid``, checkpointed."""
+    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reliable_checkpoint(df.repartitionByRange(n_parts, *order)
+                               .sortWithinPartitions(*order)
+                               .withColumn("_mid", F.monotonically_increasing_id()))
+
+
 def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number",
                       total: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = exact 1-based position under ``order`` (must be a total order).
 
     ``total`` (optional) adds the row count n as a column.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n_parts, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = reliable_checkpoint(ranged)
-    tagged = (ranged.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
+    tagged = (_ranged(df, order, num_partitions).withColumn("_pid", F.shiftright("_mid", _POS_BITS))
               .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _POS_BITS) + 1))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # at most one row per partition: a window without PARTITION BY is fine here
@@ -52,21 +54,25 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number
     return res.drop("_mid", "_pid", "_local", "_offset", "_total")
 
 
-def qcut_score(rank: Column, n: Column, q: int = 5) -> Column:
-    """Equal-probability cut of ranks 1..n into q labels (pandas ``qcut`` on ``rank(method='first')``).
+def qcut_last_rank(n: Column, label: int, q: int = 5) -> Column:
+    """Last of ranks 1..n with a label of at most ``label`` when pandas ``qcut`` cuts ``rank(method='first')``.
 
-    Label = ceil(q (r-1) / (n-1)), at least 1; n = 1 gives 1.
+    The label of rank r is ceil(q (r-1) / (n-1)), at least 1.
     """
-    return F.greatest(F.lit(1), _div(q * (rank - 1) + n - 2, F.greatest(n - 1, F.lit(1)))).cast("int")
+    return _div(label * (n - 1), F.lit(q)) + 1
+
+
+def ntile_last_rank(n: Column, label: int, q: int = 5) -> Column:
+    """Last of ranks 1..n in the first ``label`` buckets of SQL ``NTILE(q)``: the first n mod q have one more row."""
+    return label * _div(n, F.lit(q)) + F.least(F.lit(label), n % q)
 
 
-def ntile_score(rank: Column, n: Column, q: int = 5) -> Column:
-    """SQL ``NTILE(q)`` on exact row numbers: the first n mod q buckets get one more row."""
-    size = _div(n, F.lit(q))
-    rem = n % q
-    big = rem * (size + 1)
-    return (F.when(rank <= big, _div(rank - 1, size + 1) + 1)
-            .otherwise(rem + _div(rank - 1 - big, F.greatest(size, F.lit(1))) + 1)).cast("int")
+def _is_after(value: Column, row_id: Column, at: Column, at_id: Column, descending: bool) -> Column:
+    """Whether (value, id) sorts after (at, at_id): nulls first ascending, last descending; ids ascending."""
+    beyond = (value < at) if descending else (value > at)
+    null_beyond = (value.isNull() & at.isNotNull()) if descending else (value.isNotNull() & at.isNull())
+    id_beyond = F.coalesce(row_id > at_id, row_id.isNotNull() & at_id.isNull())
+    return F.coalesce(beyond, F.lit(False)) | null_beyond | (value.eqNullSafe(at) & id_beyond)
 
 
 def quantile_scores(df: DataFrame, specs: list[tuple[str, Column, bool]], id_col: str,
@@ -74,18 +80,49 @@ def quantile_scores(df: DataFrame, specs: list[tuple[str, Column, bool]], id_col
     """Add one score column per ``(out_col, value, descending)`` spec.
 
     Ties are broken by ``id_col`` ascending, also for descending values (D20).
-    ``materialize_input`` checkpoints the (person-sized) input first, so the
-    range-bound sampling and the ranking pass do not both recompute the
-    order-sized plan above it.
+    Only the (value, id) pairs are ranked, those of all specs in one range
+    shuffle.  The q - 1 pairs where a score ends are looked up by position and
+    handed to the rows as a one-row scalar subquery; the rows themselves are
+    neither shuffled nor joined.  ``materialize_input`` checkpoints the
+    (person-sized) input first, so that ranking and scoring do not both
+    recompute the order-sized plan above it.
     """
-    fn = qcut_score if method == "qcut" else ntile_score
+    last_rank = qcut_last_rank if method == "qcut" else ntile_last_rank
     if materialize_input:
         df = reliable_checkpoint(df)
-    for out, value, descending in specs:
-        key = value.desc() if descending else value.asc()
-        df = global_row_number(df, [key, F.col(id_col).asc()], out="_rn", total="_n")
-        df = df.withColumn(out, fn(F.col("_rn"), F.col("_n"), q)).drop("_rn", "_n")
-    return df
+    kinds = [f.dataType for f in df.select(*[v for _, v, _ in specs]).schema.fields]
+    pairs = F.array(*[F.struct(F.lit(i).alias("_k"), *[
+        (v if j == i else F.lit(None)).cast(kinds[j]).alias(f"_v{j}") for j, (_, v, _) in enumerate(specs)])
+        for i in range(len(specs))])
+    narrow = df.select(F.col(id_col).alias("_id"), F.explode(pairs).alias("_p")).select("_id", "_p.*")
+    order = [F.col("_k"), *[F.col(f"_v{j}").desc() if down else F.col(f"_v{j}").asc()
+                            for j, (_, _, down) in enumerate(specs)], F.col("_id")]
+    ranged = _ranged(narrow, order)
+    counts = (ranged.groupBy("_k", F.shiftright("_mid", _POS_BITS).alias("_pid"))
+              .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_start")))
+    # at most one row per partition and spec
+    w = Window.partitionBy("_k")
+    before = F.sum("_cnt").over(w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    spans = counts.select("_k", "_start", "_cnt", F.coalesce(before, F.lit(0)).alias("_offset"),
+                          F.sum("_cnt").over(w).alias("_n"))
+    ends = F.array(*[F.struct(F.lit(label).alias("_label"), last_rank(F.col("_n"), label, q).cast("long").alias("_rank"))
+                     for label in range(1, q)])
+    ends = (spans.select("*", F.explode(ends).alias("_e")).select("*", "_e.*")
+            .where((F.col("_rank") > F.col("_offset")) & (F.col("_rank") <= F.col("_offset") + F.col("_cnt")))
+            .select((F.col("_start") + F.col("_rank") - F.col("_offset") - 1).alias("_mid"), "_label"))
+    found = ranged.join(F.broadcast(ends), "_mid")   # (q - 1) rows a spec
+
+    def pair(i: int, label: int) -> Column:
+        mine = (F.col("_k") == i) & (F.col("_label") == label)
+        return F.max(F.when(mine, F.struct(F.col(f"_v{i}").alias("v"), F.col("_id").alias("id")))).alias(f"e{i}_{label}")
+
+    limits = found.agg(*[pair(i, label) for i in range(len(specs)) for label in range(1, q)])
+    df = df.withColumn("_limits", limits.select(F.struct(*limits.columns)).scalar())
+    for i, (out, value, down) in enumerate(specs):
+        passed = [_is_after(value, F.col(id_col), F.col(f"_limits.e{i}_{label}.v"), F.col(f"_limits.e{i}_{label}.id"), down)
+                  for label in range(1, q)]
+        df = df.withColumn(out, sum((p.cast("int") for p in passed), F.lit(1)))
+    return df.drop("_limits")
 
 
 def top_customers(orders: DataFrame, persons: DataFrame, n: int = 100,

@@ -2,7 +2,7 @@
 
 Person-level metrics are one partial+final aggregate keyed by person.  The
 quintile scores need exact global ranks; they come from
-``ranking.global_row_number`` (range shuffle + checkpoint), never from a
+``ranking.quantile_scores`` (narrow range shuffle + checkpoint), never from a
 window without PARTITION BY.
 """
 
@@ -103,7 +103,7 @@ def rfm_segmentation_ntile(orders: DataFrame, persons: DataFrame) -> DataFrame:
 
 
 def segment_summary(rfm: DataFrame) -> DataFrame:
-    """Per tier customers, revenue, mean CLV, mean recency (tier-sized result)."""
+    """Per tier customers, revenue, mean CLV, mean recency (tier-sized result), most revenue first."""
     return (rfm.filter(F.col("value_tier").isNotNull())
             .groupBy("value_tier")
             .agg(F.countDistinct(PERSON).alias("customers"),
@@ -113,7 +113,8 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
                  F.count("recency_days").alias("_nr"))
             .withColumn("avg_clv", money_mean("revenue", "_nm", 6))
             .withColumn("avg_recency_days", half_up_ratio("_sr", "_nr", 1, 6))
-            .select("value_tier", "customers", "revenue", "avg_clv", "avg_recency_days"))
+            .select("value_tier", "customers", "revenue", "avg_clv", "avg_recency_days")
+            .orderBy(F.col("revenue").desc(), "value_tier"))
 
 
 def fixed_threshold_segments(orders: DataFrame, persons: DataFrame, vip_days: int = 90, vip_orders: int = 2,

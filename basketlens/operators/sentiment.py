@@ -128,17 +128,18 @@ def customer_sentiment_rfm(sentiment: DataFrame, rfm: DataFrame) -> DataFrame:
 
 
 def sentiment_distribution(csr: DataFrame) -> DataFrame:
-    """Per tier and label: customers, tier total, % (null tiers dropped, D19)."""
+    """Per tier and label: customers, tier total, % (null tiers dropped, D19); by tier, most customers first."""
     g = (csr.filter(F.col("value_tier").isNotNull() & F.col("sentiment_label").isNotNull())
          .groupBy("value_tier", "sentiment_label")
          .agg(F.countDistinct(PERSON).alias("customers")))
     # tiers x labels rows: a window over them costs nothing, a second branch would score every review again
     return (g.withColumn("segment_customers", F.sum("customers").over(Window.partitionBy("value_tier")))
-            .withColumn("sentiment_pct", pct("customers", "segment_customers")))
+            .withColumn("sentiment_pct", pct("customers", "segment_customers"))
+            .orderBy("value_tier", F.col("customers").desc(), "sentiment_label"))
 
 
 def negative_concentration(csr: DataFrame) -> DataFrame:
-    """Per tier: negative, mixed and dissatisfied shares."""
+    """Per tier: negative, mixed and dissatisfied shares; most dissatisfied first."""
     g = (csr.filter(F.col("value_tier").isNotNull()).groupBy("value_tier")
          .agg(F.countDistinct(PERSON).alias("customers"),
               F.count_if(F.col("sentiment_label") == NEGATIVE).alias("negative_customers"),
@@ -147,4 +148,5 @@ def negative_concentration(csr: DataFrame) -> DataFrame:
     return (g.withColumn("negative_pct", pct("negative_customers", "customers"))
             .withColumn("mixed_negative_pct", pct("mixed_negative_customers", "customers"))
             .withColumn("dissatisfied_pct",
-                        pct(F.col("negative_customers") + F.col("mixed_negative_customers"), "customers")))
+                        pct(F.col("negative_customers") + F.col("mixed_negative_customers"), "customers"))
+            .orderBy(F.col("dissatisfied_pct").desc(), "value_tier"))

@@ -45,7 +45,7 @@ def theme_table(spark, themes: dict[str, list[str]]) -> DataFrame:
 def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
                            themes: dict[str, list[str]] | None = None,
                            text_col: str = "review_comment_message") -> DataFrame:
-    """Negative and mixed reviews per tier (null tier -> 'Unknown'): mentions per theme, zeros included."""
+    """Negative and mixed reviews per tier (null tier -> 'Unknown'): mentions per theme, zeros included, most first."""
     themes = themes or COMPLAINT_THEMES
     spark = labeled.sparkSession
     kw = F.broadcast(theme_table(spark, themes))   # a handful of fixed keywords
@@ -67,4 +67,5 @@ def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
                                    F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("long").alias("mention_count"))
                           for i, t in enumerate(themes)])
     return (sums.select("value_tier", F.explode(per_theme).alias("x"), F.col("negative_review_count").cast("long"))
-            .select("value_tier", "x.*", "negative_review_count"))
+            .select("value_tier", "x.*", "negative_review_count")
+            .orderBy("value_tier", F.col("mention_count").desc(), "complaint_theme"))

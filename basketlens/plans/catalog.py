@@ -52,6 +52,13 @@ def q_write_table(spark, d):
     return back.select(*m.orders.columns)
 
 
+def q_write_extract(spark, d):
+    months = revenue.monthly_revenue(Model.from_testdata(spark, d).orders)
+    out = _scratch(spark, "months-csv")
+    files.write_extract(months, out, single_file=True)
+    return spark.read.schema(months.schema).option("header", True).csv(out)
+
+
 def q_standardize_customers(spark, d):
     return Model.from_testdata(spark, d).customers
 
@@ -345,7 +352,8 @@ def q_returning_customers_by_month(spark, d):
 
 
 def q_churn_dashboard(spark, d):
-    return extracts.churn_dashboard(Model.from_testdata(spark, d).churn)
+    m = Model.from_testdata(spark, d)
+    return extracts.churn_dashboard(m.churn, m.orders)
 
 
 def q_rfm_scatter_bins(spark, d):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import pct
 from basketlens.operators import churn, cohorts, facts, revenue, rfm as rfm_ops
+from basketlens.schemas import MONEY
 
 PERSON = "customer_unique_id"
 
@@ -54,15 +55,19 @@ def returning_customers_by_month(orders: DataFrame) -> DataFrame:
     return revenue.returning_customers_by_month(orders)
 
 
-def churn_dashboard(churn_table: DataFrame) -> DataFrame:
-    """Churn by segment and by region stacked in one long table."""
+def churn_dashboard(churn_table: DataFrame, orders: DataFrame, churn_days: int = churn.CHURN_DAYS) -> DataFrame:
+    """Churn by segment, by region and by month end stacked in one long table (months have no revenue at risk)."""
     seg = churn.churn_by_segment(churn_table).select(
         F.lit("value_tier").alias("dimension"), F.col("value_tier").alias("dimension_value"),
         "customers", "churned_customers", "churn_rate_pct", "revenue_at_risk")
     reg = churn.churn_by_region(churn_table).select(
         F.lit("customer_state").alias("dimension"), F.col("customer_state").alias("dimension_value"),
         "customers", "churned_customers", "churn_rate_pct", "revenue_at_risk")
-    return seg.unionByName(reg)
+    trend = churn.churn_trend(orders, churn_days).select(
+        F.lit("month").alias("dimension"), F.col("month").cast("string").alias("dimension_value"),
+        F.col("known_customers").alias("customers"), "churned_customers", "churn_rate_pct",
+        F.lit(None).cast(churn.AOV_SUM).alias("revenue_at_risk"))
+    return seg.unionByName(reg).unionByName(trend)
 
 
 def rfm_scatter_bins(rfm: DataFrame, monetary_bin: int = 50) -> DataFrame:
@@ -84,7 +89,7 @@ def churned_revenue_by_state(churn_table: DataFrame) -> DataFrame:
     return (churn_table.filter(F.col("is_churned") & F.col("customer_state").isNotNull())
             .groupBy("customer_state")
             .agg(F.count(F.lit(1)).alias("churned_customers"),
-                 F.sum("historical_clv").cast("decimal(18,2)").alias("churned_historical_revenue")))
+                 F.sum("historical_clv").cast(MONEY).alias("churned_historical_revenue")))
 
 
 def active_retention_by_state(churn_table: DataFrame, min_customers: int = 100) -> DataFrame:

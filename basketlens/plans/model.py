@@ -13,7 +13,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.operators import churn, clean, rfm as rfm_ops
-from basketlens.sources import testdata as td
+from basketlens.schemas import RAW_SCHEMAS
+from basketlens.sources import files, testdata as td
+
+MULTI_LINE = {"order_reviews"}   # the only raw file with newlines inside fields
 
 
 @dataclass
@@ -39,6 +42,17 @@ class Model:
                    raw_reviews=td.raw_reviews(spark, sf_dir),
                    persons=td.raw_persons(spark, sf_dir))
 
+    @classmethod
+    def from_raw(cls, spark: SparkSession, folder: str, names: dict[str, str] | None = None) -> "Model":
+        """The raw CSV files of ``folder``; ``names`` maps a table of ``RAW_SCHEMAS`` to its file (``<table>.csv``)."""
+        raw = {t: files.read_raw(spark, f"{folder.rstrip('/')}/{(names or {}).get(t, t + '.csv')}", schema,
+                                 multi_line=t in MULTI_LINE) for t, schema in RAW_SCHEMAS.items()}
+        persons = clean.customers_dim(clean.standardize_customers(raw["customers"]), raw["orders"])
+        return cls(spark=spark, raw_customers=raw["customers"], raw_orders=raw["orders"], raw_items=raw["order_items"],
+                   raw_products=raw["products"], raw_translations=raw["translations"],
+                   raw_reviews=raw["order_reviews"],
+                   persons=persons.where("customer_unique_id is not null"))
+
     @cached_property
     def customers(self) -> DataFrame:
         return clean.standardize_customers(self.raw_customers)
@@ -61,7 +75,7 @@ class Model:
 
     @cached_property
     def churn(self) -> DataFrame:
-        return churn.customer_churn_clv(self.orders, self.customers_clean, self.rfm, self.churn_days)
+        return churn.customer_churn_clv(self.rfm, self.churn_days)
 
     @cached_property
     def sales_fact(self) -> DataFrame:

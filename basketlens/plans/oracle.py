@@ -296,7 +296,14 @@ def _matrix(value: str) -> str:
 
 def _churn_trend(src: str, churn_days: int) -> str:
     """Literal per-month-end snapshot: month ends x persons with a condition join."""
-    return q(f""", src AS ({src}),
+    return q(f"""{_trend_tables(src, churn_days)}
+SELECT CAST(date_trunc('month', me) AS DATE) AS month, known_customers, churned_customers,
+       coalesce({pct('churned_customers', 'known_customers')}, 0.0) AS churn_rate_pct
+FROM snap""")
+
+
+def _trend_tables(src: str, churn_days: int) -> str:
+    return f""", src AS ({src}),
 v AS (SELECT customer_unique_id, min(order_purchase_timestamp) AS f, max(order_purchase_timestamp) AS l
       FROM src GROUP BY customer_unique_id),
 b AS (SELECT min(order_purchase_timestamp) AS lo, max(order_purchase_timestamp) AS hi FROM src),
@@ -306,10 +313,7 @@ me AS (SELECT CAST(last_day(m) AS TIMESTAMP) + (b.lo - CAST(CAST(b.lo AS DATE) A
        WHERE CAST(last_day(m) AS TIMESTAMP) + (b.lo - CAST(CAST(b.lo AS DATE) AS TIMESTAMP)) BETWEEN b.lo AND b.hi),
 snap AS (SELECT me.me, count(v.customer_unique_id) AS known_customers,
                 count_if({elapsed('me.me', 'v.l')} > {churn_days}) AS churned_customers
-         FROM me LEFT JOIN v ON v.f <= me.me GROUP BY me.me)
-SELECT CAST(date_trunc('month', me) AS DATE) AS month, known_customers, churned_customers,
-       coalesce({pct('churned_customers', 'known_customers')}, 0.0) AS churn_rate_pct
-FROM snap""")
+         FROM me LEFT JOIN v ON v.f <= me.me GROUP BY me.me)"""
 
 
 EVENTS_SRC = """SELECT event_id AS order_id, user_id AS customer_unique_id,
@@ -591,7 +595,7 @@ SELECT pm.order_month, count(*) AS active_customers, count_if(f.first_month = pm
        count_if(f.first_month < pm.order_month) AS returning_customers,
        {pct('count_if(f.first_month < pm.order_month)', 'count(*)')} AS returning_pct
 FROM pm JOIN f ON pm.customer_unique_id = f.customer_unique_id GROUP BY pm.order_month"""),
-    "churn_dashboard": q(f"""
+    "churn_dashboard": q(f"""{_trend_tables("SELECT * FROM dlv", 180)}
 SELECT 'value_tier' AS dimension, value_tier AS dimension_value, count(DISTINCT customer_unique_id) AS customers,
        count_if(is_churned) AS churned_customers,
        {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')} AS churn_rate_pct,
@@ -601,7 +605,11 @@ UNION ALL
 SELECT 'customer_state', customer_state, count(DISTINCT customer_unique_id), count_if(is_churned),
        {pct('count_if(is_churned)', 'count(DISTINCT customer_unique_id)')},
        CAST(sum(estimated_revenue_at_risk) AS DECIMAL(28,6))
-FROM churn WHERE customer_state IS NOT NULL GROUP BY customer_state"""),
+FROM churn WHERE customer_state IS NOT NULL GROUP BY customer_state
+UNION ALL
+SELECT 'month', CAST(CAST(date_trunc('month', me) AS DATE) AS VARCHAR), known_customers, churned_customers,
+       coalesce({pct('churned_customers', 'known_customers')}, 0.0), NULL
+FROM snap"""),
     "rfm_scatter_bins": q("""
 SELECT frequency, CAST(floor(monetary / 50) * 50 AS BIGINT) AS monetary_bin, value_tier, count(*) AS customers
 FROM rfm GROUP BY frequency, CAST(floor(monetary / 50) * 50 AS BIGINT), value_tier"""),
@@ -674,3 +682,5 @@ ORACLE_SQL["top_customers"] = (ORACLE_SQL["top_customers"]
                                         "CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank")
                                .replace("dense_rank() OVER (PARTITION BY customer_state ORDER BY total_revenue DESC) AS state_revenue_rank",
                                         "CAST(dense_rank() OVER (PARTITION BY customer_state ORDER BY total_revenue DESC) AS INTEGER) AS state_revenue_rank"))
+
+ORACLE_SQL["write_extract"] = ORACLE_SQL["monthly_revenue"]   # the CSV round trip of the months

@@ -7,16 +7,16 @@ from pyspark.sql import types as T
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType,
-             timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+             timestamp_format: str = "yyyy-MM-dd HH:mm:ss", multi_line: bool = True) -> DataFrame:
     """Header CSV with optional double quotes, doubled-quote escapes, embedded
     newlines, CRLF, UTF-8 BOM; empty fields read as NULL; fixed schema (never inferred).
 
-    ``multiLine`` makes every file one split; real exports are many files, so
-    parallelism comes from the file count.
+    ``multi_line`` makes every file one split; turn it off where no field
+    holds a newline (all raw files but the reviews), so that files are split.
     """
     return (spark.read.schema(schema)
             .option("header", True)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("quote", '"')
             .option("escape", '"')
             .option("encoding", "UTF-8")
@@ -28,7 +28,13 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType,
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
-    """Hand-off table: Parquet, written in parallel, optionally partitioned (e.g. by order_month)."""
+    """Hand-off table: Parquet, written in parallel, optionally partitioned (e.g. by order_month).
+
+    A rebalance gathers a partition value's rows before they are written and
+    splits large ones by size, so files grow with the data, not with tasks x values.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -47,3 +47,21 @@ def test_ntile_sizes(spark, n):
     q, rem = divmod(n, 5)
     exp = [b + 1 for b in range(min(n, 5)) for _ in range(q + (1 if b < rem else 0))]
     assert got == exp
+
+
+@pytest.mark.parametrize("method", ["qcut", "ntile"])
+@pytest.mark.parametrize("descending", [False, True])
+def test_scores_with_nulls_and_ties_match_the_sorted_list(spark, method, descending):
+    values = [None if i % 4 == 0 else (i * 31) % 6 for i in range(47)]
+    specs = [("s", F.col("v"), descending), ("same", F.lit(1), False)]
+    got = {r.id: (r.s, r.same) for r in ranking.quantile_scores(_frame(spark, values), specs, "id", method=method).collect()}
+
+    def scores(key):
+        order, n = sorted(range(47), key=key), 47
+        label = (lambda r: max(1, -(-5 * r // (n - 1)))) if method == "qcut" else \
+            (lambda r: next(b + 1 for b in range(5) if r < (b + 1) * (n // 5) + min(b + 1, n % 5)))
+        return {i: label(r) for r, i in enumerate(order)}
+
+    by_value = scores(lambda i: ((values[i] is None) == descending, (values[i] or 0) * (-1 if descending else 1), i))
+    by_id = scores(lambda i: i)
+    assert got == {i: (by_value[i], by_id[i]) for i in range(47)}
