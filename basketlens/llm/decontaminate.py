@@ -1,22 +1,21 @@
-"""Benchmark passages in documents, by CGK embedding and bit-sampling LSH.
-
-The CGK random walk turns a string into one three times as long: at each step
-it writes the current character and moves on or stays by a random bit that
-depends on step and character.  Strings at a small edit distance become
-strings at a small Hamming distance, so sampling positions of the walks is a
-locality-sensitive hash for edit distance; it is repeated until a pair at the
-design agreement is met with the target recall, and what it meets is
-confirmed by exact edit distance.
-
-Windows are item-sized and placed where a document shares several word pairs
-with an item at about one offset: embedding a window at every offset of every
-document would cost some hundred steps a character.
+"""Benchmark passages in documents, by a count of shared character pieces and exact edit distance.
+
+An item is cut into segments of up to 64 characters.  Where it lies within
+its limit of edits, one of its ``n`` segments lies within an ``n``-th of that
+limit.  A segment of ``m`` characters has ``m // 4`` pieces of 4 characters.
+An edit touches one piece at most, so within ``k`` edits all but ``k`` pieces
+stand unchanged, and no two of them are shifted against each other by more
+than ``k`` characters.  Bands of shifts that meet fewer pieces hold no match.
+In the others the segment's edit distance is taken, and where that is within
+its limit, the whole item's.  Nothing is sampled: whatever lies within the
+limit is found.
+
+Pieces are looked up by a hash, and bands count every meeting, so collisions
+and repeated pieces can only add places, never lose one.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
 from collections import defaultdict
 
 import numpy as np
@@ -24,41 +23,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import column, documents
-from .kernels import mix
-
-SLACK = 8  # words of one offset group
-
 
-def embed(strings: list[str], steps: int, walk: int) -> np.ndarray:
-    """CGK walks number ``walk`` of the strings: one row of ``steps`` characters each, 0 after the end."""
-    width = max(map(len, strings), default=0) + 1
-    codes = np.zeros((len(strings), width), np.int64)
-    for i, s in enumerate(strings):
-        codes[i, : len(s)] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
-    # one random bit for each step and character (by its low 8 bits)
-    bits = (mix(np.arange(steps * 256, dtype=np.uint64) + np.uint64((walk + 1) << 40)) >> np.uint64(63)).astype(
-        np.int64).reshape(steps, 256)
-    out = np.zeros((len(strings), steps), np.int32)
-    at, row = np.zeros(len(strings), np.int64), np.arange(len(strings))
-    for j in range(steps):
-        c = codes[row, at]
-        out[:, j] = c
-        at = np.minimum(at + bits[j, c & 255], width - 1)
-    return out
+SEGMENT = 64  # characters of an item whose distance fits a machine word
+BAND = 4  # bits of a band's shifts: it is no narrower than a segment has pieces
+PIECE = 4  # at an edit share of 0.2 the longest pieces of which some are always left
+STRETCH = 1 << 16  # characters of text counted at a time
+MEETINGS = 1 << 20  # meetings of pieces held at a time
+FACTORS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
 
 
-def repeats_for(recall: float, agreement: float, sampled: int) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement ** sampled))
-
-
-def best_distance(item: str, text: str) -> int:
-    """Least edit distance of ``item`` to any substring of ``text`` (bit-parallel, one step a character)."""
+def best_end(item: str, text: str) -> tuple[int, int]:
+    """Least edit distance of ``item`` to any substring of ``text``, and the first end of one (bit-parallel)."""
     m, masks = len(item), defaultdict(int)
     for i, c in enumerate(item):
         masks[c] |= 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
-    plus, minus, score, best = full, 0, m, m
-    for c in text:
+    plus, minus, score, best, end = full, 0, m, m, 0
+    for at, c in enumerate(text, 1):
         eq = masks.get(c, 0)
         d0 = (((eq & plus) + plus) ^ plus) | eq | minus
         hp, hn = minus | (full & ~(d0 | plus)), plus & d0
@@ -68,105 +49,228 @@ def best_distance(item: str, text: str) -> int:
             score -= 1
         hp, hn = (hp << 1) & full, (hn << 1) & full
         plus, minus = hn | (full & ~(d0 | hp)), hp & d0
-        best = min(best, score)
-    return best
+        if score < best:
+            best, end = score, at
+    return best, end
+
+
+def best_distance(item: str, text: str) -> int:
+    """Least edit distance of ``item`` to any substring of ``text``."""
+    return best_end(item, text)[0]
+
+
+def best_start(item: str, text: str, end: int) -> int:
+    """Start of the shortest substring at the least distance that ends at ``end``, the first end of one."""
+    return end - best_end(item[::-1], text[:end][::-1])[1]
+
+
+def piece_hashes(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Hash of the PIECE characters at each place."""
+    n = max(0, len(codes) - PIECE + 1)
+    out = np.zeros(n, np.uint32)
+    for k, factor in enumerate(FACTORS):
+        out ^= codes[k: k + n] * np.uint32(factor)
+    return (out * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
+
+
+def character_codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def byte_codes(codes: np.ndarray) -> np.ndarray:
+    """Characters as bytes; where two fall together a distance can only be less."""
+    return (codes ^ (codes >> np.uint32(8)) ^ (codes >> np.uint32(16))).astype(np.uint8)
+
+
+class Pieces:
+    """Pieces of the segments, met in bands of shifts, and the segments' distances (bit-parallel, many at a time)."""
+
+    def __init__(self, texts: list[str], limit: list[int], offset: list[int], first: list[int], item_limit: list[int]):
+        """Segments in order of their items; ``first`` is each item's first segment, ``offset`` a segment's place there."""
+        self.limit, self.offset = np.array(limit, np.int64), np.array(offset, np.int64)
+        self.pieces = np.array([len(t) // PIECE for t in texts], np.int64)
+        self.items, self.counts = np.array(first), np.diff([*first, len(texts)])
+        self.item_of = np.repeat(np.arange(len(first)), self.counts)
+        self.item_need = np.add.reduceat(self.pieces, self.items) - np.array(item_limit)
+        # a range of limit + 1 shifts lies in so many bands wherever it begins
+        self.wide = max(2, (max(item_limit) + (1 << BAND) - 1 >> BAND) + 1)
+        self.need = self.pieces - self.limit
+        self.longest = max(a + len(t) for a, t in zip(offset, texts))
+        self.steps = (3 << BAND) + max(map(len, texts)) + 2 * int(self.limit.max())
+        at = [np.arange(len(t) // PIECE) * PIECE for t in texts]
+        self.bits = min(22, max(12, int(sum(map(len, at))).bit_length() + 6))
+        key = np.concatenate([piece_hashes(character_codes(t), self.bits)[a] for t, a in zip(texts, at)])
+        order = np.argsort(key, kind="stable")
+        self.owner = np.repeat(np.arange(len(texts)), list(map(len, at)))[order]
+        self.at = np.concatenate([a + o for a, o in zip(at, offset)])[order]
+        self.first = np.searchsorted(key[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
+        self.size = np.diff(self.first)
+        self.masks = np.zeros((len(texts), 256), np.uint64)
+        for k, t in enumerate(texts):
+            for i, c in enumerate(byte_codes(character_codes(t)).tolist()):
+                self.masks[k, c] |= np.uint64(1 << i)
+        self.masks = self.masks.ravel()
+        self.top = np.array([len(t) - 1 for t in texts], np.uint64)
+
+    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, least shift of its item) from which two bands in a row meet enough pieces of it, and the item can be there too.
+
+        An item's pieces are counted segment by segment: a segment with pieces
+        left has fewer edits than a band has shifts, so two bands hold them.
+        """
+        key = piece_hashes(codes, self.bits)
+        # shifts begin at -longest; an empty band follows each segment's last
+        bands = ((len(codes) + self.longest) >> BAND) + 2
+        base = ((self.owner * bands) << BAND) + self.longest - self.at
+        size = self.size[key]
+        place = np.flatnonzero(size)
+        size = size[place]
+        total = np.cumsum(size, dtype=np.int64)
+        counts = np.zeros(len(self.limit) * bands, np.int32)
+        lo = 0
+        while lo < len(place):
+            done = total[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(total, done + MEETINGS, side="right")))
+            n = size[lo:hi]
+            meet = np.repeat(self.first[key[place[lo:hi]]] - (total[lo:hi] - n - done), n) + np.arange(total[hi - 1] - done)
+            cell = (base[meet] + np.repeat(place[lo:hi], n)) >> BAND
+            counts += np.bincount(cell, minlength=len(counts)).astype(np.int32)
+            lo = hi
+        counts = counts.reshape(len(self.limit), bands)
+        joint = np.minimum(counts[:, :-1] + counts[:, 1:], self.pieces[:, None]).astype(np.uint8)
+        pairs = self.wide - 1
+        width = joint.shape[1]
+        best = np.zeros((len(joint), width + pairs - 1), np.uint8)  # by last pair of a range
+        for k in range(pairs):
+            np.maximum(best[:, k: k + width], joint, out=best[:, k: k + width])
+        met = np.zeros((len(self.items), best.shape[1]), np.uint16 if self.pieces.sum() < 1 << 16 else np.int64)
+        for k in range(int(self.counts.max())):
+            mine = np.flatnonzero(self.counts > k)
+            met[mine] += best[self.items[mine] + k]
+        whole = met >= self.item_need[:, None]
+        seen = whole[:, :width].copy()
+        for k in range(1, pairs):
+            seen |= whole[:, k: k + width]
+        owner, band = np.divmod(np.flatnonzero((joint >= self.need[:, None].astype(np.int16)) & seen[self.item_of]), width)
+        flat = owner * bands + band
+        edge = np.concatenate([[True], np.diff(flat) != 1])[: len(flat)]
+        run = np.arange(len(flat)) - np.maximum.accumulate(np.where(edge, np.arange(len(flat)), 0))
+        owner, band = owner[run % 2 == 0], band[run % 2 == 0]  # ``steps`` reaches over two of a run
+        return owner, (band << BAND) - self.longest
+
+    def near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, begin of ``steps`` characters) of all places where a segment may be within its limit."""
+        owner, shift = self.bands(codes)
+        begin = shift + self.offset[owner] - self.limit[owner]
+        lead = self.longest + int(self.limit.max())
+        text = np.concatenate([np.zeros(lead, np.uint8), byte_codes(codes), np.zeros(self.steps + self.longest + (4 << BAND), np.uint8)])
+        good = np.zeros(len(owner), bool)
+        for lo in range(0, len(owner), 2048):
+            mine = owner[lo: lo + 2048]
+            row, at, top = mine * 256, begin[lo: lo + 2048] + lead, self.top[mine]
+            plus, minus = np.full(len(mine), ~np.uint64(0)), np.zeros(len(mine), np.uint64)
+            score = top.astype(np.int64) + 1
+            best, one = score.copy(), np.uint64(1)
+            for k in range(self.steps):
+                eq = self.masks[row + text[at + k]]
+                d0 = (((eq & plus) + plus) ^ plus) | eq | minus
+                hp, hn = minus | ~(d0 | plus), plus & d0
+                score += ((hp >> top) & one).view(np.int64) - ((hn >> top) & one).view(np.int64)
+                hp, hn = hp << one, hn << one
+                plus, minus = hn | ~(d0 | hp), hp & d0
+                np.minimum(best, score, out=best)
+            good[lo: lo + 2048] = best <= self.limit[mine]
+        return owner[good], begin[good]
 
 
 class Items:
-    """A block of benchmark items: word pairs, and the sampled walks of their texts."""
+    """A block of benchmark items and their segments, by limit."""
 
-    def __init__(self, items: list, edit_share: float, pair_share: float, recall: float, agreement: float,
-                 sampled: int, walks: int):
+    def __init__(self, items: list, edit_share: float):
         self.ids = [i for i, _ in items]
-        self.words = [t.lower().split() for _, t in items]
-        self.texts = [" ".join(w) for w in self.words]
+        self.texts = [" ".join(t.lower().split()) for _, t in items]
+        self.n_words = [t.count(" ") + 1 for t in self.texts]
         self.limit = [int(edit_share * len(t)) for t in self.texts]
-        self.need = np.array([max(2, math.ceil(pair_share * (len(w) - 1))) for w in self.words], np.int64)
-        self.vocabulary: dict[str, int] = {}
-        pairs = []
-        for k, w in enumerate(self.words):
-            n = [self.vocabulary.setdefault(x, len(self.vocabulary)) for x in w]
-            pairs += [(a, b, k, q) for q, (a, b) in enumerate(zip(n, n[1:]))]
-        self.base = len(self.vocabulary) + 1
-        got = np.array(pairs, np.int64).reshape(-1, 4)
-        key = got[:, 0] * self.base + got[:, 1]
-        order = np.argsort(key, kind="stable")
-        self.keys, self.item, self.at = key[order], got[order, 2], got[order, 3]
-        self.steps = 3 * max(map(len, self.texts))
-        n = repeats_for(recall, agreement, sampled)
-        seeds = mix(np.arange(n * sampled, dtype=np.uint64) + np.uint64(0xC6B)).reshape(n, sampled)
-        self.share = (seeds >> np.uint64(11)).astype(float) / float(1 << 53)
-        self.walks = walks
-        self.embedded = [embed(self.texts, self.steps, k) for k in range(walks)]
-
-    def windows(self, words: list[str]) -> list[tuple[int, int]]:
-        """(item, first word) of the item-sized windows that share enough word pairs at about one offset."""
-        n = np.fromiter(map(self.vocabulary.get, words, itertools.repeat(-1)), np.int64, len(words))
-        p = np.flatnonzero((n[:-1] >= 0) & (n[1:] >= 0)) if len(n) > 1 else np.zeros(0, np.int64)
-        if not len(p):
-            return []
-        key = n[p] * self.base + n[p + 1]
-        lo = np.searchsorted(self.keys, key)
-        known = self.keys[np.minimum(lo, len(self.keys) - 1)] == key if len(self.keys) else np.zeros(len(p), bool)
-        p, key, lo = p[known], key[known], lo[known]
-        hi = np.searchsorted(self.keys, key, side="right")
-        size = hi - lo
-        if not size.any():
-            return []
-        hit = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-        item, offset = self.item[hit], np.repeat(p, size) - self.at[hit]
-        span = (len(words) + max(map(len, self.words))) // SLACK + 3
-        group = item * span + (offset // SLACK + (span - 1 - len(words) // SLACK))
-        groups, first, votes = np.unique(group, return_index=True, return_counts=True)
-        # an item's pairs may fall into two neighbouring groups
-        follows = np.append((groups[1:] == groups[:-1] + 1) & (groups[1:] // span == groups[:-1] // span), False)
-        joint = votes + np.where(follows, np.append(votes[1:], 0), 0)
-        out = []
-        for g in np.flatnonzero(joint >= self.need[groups // span]):
-            mine = (group == groups[g]) | (group == groups[g] + 1) & follows[g]
-            values, counts = np.unique(offset[mine], return_counts=True)
-            out.append((int(groups[g] // span), int(values[counts.argmax()])))
-        return sorted(set(out))
-
-    def agree(self, pairs: list[tuple[int, str]]) -> np.ndarray:
-        """Whether some repeat's sampled characters are the same in an item's walk and a window's."""
-        which = np.array([k for k, _ in pairs])
-        # positions are drawn from three times the item's own length
-        at = (self.share[None] * np.array([3 * max(1, len(self.texts[k])) for k in which])[:, None, None]).astype(np.int64)
-        met = np.zeros(len(pairs), bool)
-        for w in range(self.walks):
-            walk = embed([t for _, t in pairs], self.steps, w)
-            mine = at[:, w:: self.walks]
-            row = np.arange(len(pairs))[:, None, None]
-            met |= (walk[row, mine] == self.embedded[w][which][row, mine]).all(axis=2).any(axis=1)
-        return met
-
-
-def _matches(items: list, params: dict):
+        self.reach = max(len(t) + n for t, n in zip(self.texts, self.limit))
+        classes = defaultdict(list)
+        for k, limit in enumerate(self.limit):
+            classes[(limit >> BAND).bit_length()].append(k)
+        self.segments = []
+        for members in classes.values():
+            some, first = [], []
+            for k in members:
+                t = self.texts[k]
+                n = -(-len(t) // SEGMENT)
+                cuts = [len(t) * j // n for j in range(n + 1)]
+                first.append(len(some))
+                # of n segments, one at least has no more than its part of the edits
+                some += [(k, a, t[a:b], self.limit[k] // n) for a, b in zip(cuts, cuts[1:])]
+            self.segments.append((some, Pieces([t for _, _, t, _ in some], [n for *_, n in some], [a for _, a, *_ in some],
+                                               first, [self.limit[k] for k in members])))
+
+    def ranges(self, texts: list[str]):
+        """(text number, item, begin, end) of the stretches that may hold an item; no two of one item in a part overlap."""
+        held, starts, size = [], [], 0
+        for i, text in enumerate(texts):
+            # a match is at most ``reach`` long, so it lies whole in one part of a long text
+            for at in range(0, max(1, len(text) - self.reach), STRETCH):
+                part = text[at: at + STRETCH + self.reach]
+                held.append(part)
+                starts.append((i, at, size))
+                size += len(part) + 1
+                if size >= STRETCH:
+                    yield from self._ranges(held, starts)
+                    held, starts, size = [], [], 0
+        if held:
+            yield from self._ranges(held, starts)
+
+    def _ranges(self, held: list[str], starts: list):
+        codes = character_codes("\n".join(held))
+        begins = np.array([s for _, _, s in starts])
+        found = []
+        for some, pieces in self.segments:
+            for owner, begin in zip(*map(np.ndarray.tolist, pieces.near(codes))):
+                k, at, text, _ = some[owner]
+                found.append((k, begin - at - self.limit[k],
+                              begin + pieces.steps + len(self.texts[k]) - at - len(text) + self.limit[k]))
+        joined: list[list] = []
+        for k, a, b in sorted(found):
+            if joined and joined[-1][0] == k and a <= joined[-1][2]:
+                joined[-1][2] = max(joined[-1][2], b)
+            else:
+                joined.append([k, a, b])
+        for k, a, b in joined:
+            for j in range(max(0, int(np.searchsorted(begins, a, side="right")) - 1), len(held)):
+                i, at, begin = starts[j]
+                if begin >= b:
+                    break
+                lo, hi = max(0, a - begin), min(len(held[j]), b - begin)
+                if hi - lo >= len(self.texts[k]) - self.limit[k]:
+                    yield i, k, at + lo, at + hi
+
+    def matches(self, texts: list[str]):
+        """(text number, item, distance, start) of the best place in each stretch that holds an item."""
+        for i, k, a, b in self.ranges(texts):
+            part = texts[i][a:b]
+            distance, end = best_end(self.texts[k], part)
+            if distance <= self.limit[k]:
+                yield i, k, distance, a + best_start(self.texts[k], part, end)
+
+
+def _matches(items: list, edit_share: float):
     def run(frames):
-        block = Items(items, **params)
+        block = Items(items, edit_share)
         for frame in frames:
-            found = []
-            for doc_id, text in zip(frame.doc_id, frame.text):
-                words = text.lower().split() if isinstance(text, str) else []
-                found += [(doc_id, k, at, words) for k, at in block.windows(words)]
-            out = []
-            for lo in range(0, len(found), 512):
-                some = found[lo: lo + 512]
-                cut = [(k, " ".join(words[max(0, at): max(0, at + len(block.words[k]))])) for _, k, at, words in some]
-                for (doc_id, k, at, words), met in zip(some, block.agree(cut)):
-                    if met:
-                        a, b = max(0, at - SLACK), at + len(block.words[k]) + SLACK
-                        d = best_distance(block.texts[k], " ".join(words[a:b]))
-                        if d <= block.limit[k]:
-                            out.append((doc_id, block.ids[k], d, max(0, at), len(block.words[k])))
+            texts = [" ".join(t.lower().split()) if isinstance(t, str) else "" for t in frame.text]
+            ids = list(frame.doc_id)
+            out = [(ids[i], block.ids[k], distance, texts[i].count(" ", 0, start), block.n_words[k])
+                   for i, k, distance, start in block.matches(texts)]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "first_word", "item_words"])
     return run
 
 
-def benchmark_matches(df: DataFrame, benchmark: DataFrame, edit_share: float = 0.2, pair_share: float = 0.25,
-                      min_words: int = 5, recall: float = 0.99, agreement: float = 0.5, sampled: int = 4,
-                      walks: int = 4, block_bytes: int = 2 << 20) -> DataFrame:
+def benchmark_matches(df: DataFrame, benchmark: DataFrame, edit_share: float = 0.2, min_words: int = 5,
+                      block_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, item_id, distance, first_word, item_words of every benchmark item found in a document.
 
     Texts are compared lower-cased with white space as single spaces; an item
@@ -178,8 +282,6 @@ def benchmark_matches(df: DataFrame, benchmark: DataFrame, edit_share: float = 0
     ``block_bytes``; each block is one pass over the documents, so nothing
     that is sent grows with either table.
     """
-    params = {"edit_share": edit_share, "pair_share": pair_share, "recall": recall, "agreement": agreement,
-              "sampled": sampled, "walks": walks}
     docs = documents(df).select(F.col("doc_id").cast("string"), "text")
     items = benchmark.select(column(benchmark, "item_id", "bigint").alias("item_id"),
                              column(benchmark, "text", "string").alias("text")).where("text is not null").distinct()
@@ -192,7 +294,7 @@ def benchmark_matches(df: DataFrame, benchmark: DataFrame, edit_share: float = 0
                        items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
                        if len(r.text.split()) >= min_words), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         if some:
-            got = docs.mapInPandas(_matches(some, params), kind)
+            got = docs.mapInPandas(_matches(some, edit_share), kind)
             out = got if out is None else out.unionAll(got)
     if out is None:
         out = df.sparkSession.createDataFrame([], kind)
