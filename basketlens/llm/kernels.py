@@ -41,9 +41,13 @@ class Powers:
 
     def prefix(self, buf: np.ndarray) -> np.ndarray:
         """prefix[i] sums value(byte) * multiplier**position over the first i bytes."""
-        self.upto(len(buf) + 1)
-        out = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(self.values[buf] * self.up[: len(buf)], out=out[1:])
+        return self.sums(self.values[buf])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The same of any values."""
+        self.upto(len(values) + 1)
+        out = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self.up[: len(values)], out=out[1:])
         return out
 
     def spans(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -18,6 +18,8 @@ anchor is a row.  Equal windows pick equal anchors, so:
    each other, and one of them stands for the class;
 3. where an anchor has several stretches, the windows of each class are
    hashed one by one and compared.
+
+The same is done with words in place of bytes where a length in words is given.
 """
 
 from __future__ import annotations
@@ -29,15 +31,26 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import column, written
-from .kernels import Powers, chunked, joined, mix, sliding_min
+from .kernels import Powers, chunked, joined, mix, sliding_min, word_spans
 
 
-def anchor_runs(parts: list, powers: Powers, length: int, anchor: int):
-    """Columns of the runs of windows with one anchor: text number, first and last start, anchor hash, stretch hash."""
+def units(parts: list, powers: Powers, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums over the bytes or words of all parts, one unit between texts, and where each text begins."""
     buf, starts = joined(parts)
-    if len(buf) < length:
-        return [np.zeros(0, np.int64)] * 5
     prefix = powers.prefix(buf)
+    if not words:
+        return prefix, starts
+    a, b = word_spans(buf)
+    values = np.zeros(len(a) + len(parts), np.uint64)
+    values[np.arange(len(a)) + np.searchsorted(starts, a, side="right") - 1] = powers.spans(prefix, a, b)
+    return powers.sums(values), np.searchsorted(a, starts) + np.arange(len(starts))
+
+
+def anchor_runs(parts: list, powers: Powers, length: int, anchor: int, words: bool = False):
+    """Columns of the runs of windows with one anchor: text number, first and last start, anchor hash, stretch hash."""
+    prefix, starts = units(parts, powers, words)
+    if len(prefix) <= length:
+        return [np.zeros(0, np.int64)] * 5
     grams = powers.windows(prefix, anchor)
     place = np.arange(len(grams), dtype=np.uint64)
     # least high half of the hash, then leftmost: the same choice wherever the window stands
@@ -61,12 +74,12 @@ def anchor_runs(parts: list, powers: Powers, length: int, anchor: int):
     return doc, first - starts[doc], last - starts[doc], grams[where], stretch
 
 
-def _runs(length: int, anchor: int):
+def _runs(length: int, anchor: int, words: bool):
     def run(frames):
         powers = Powers()
         for frame in frames:
             for first, last, parts in chunked(list(frame.text)):
-                doc, a, b, key, stretch = anchor_runs(parts, powers, length, anchor)
+                doc, a, b, key, stretch = anchor_runs(parts, powers, length, anchor, words)
                 rows = frame.iloc[first:last]
                 yield pd.DataFrame({"row_id": rows.row_id.to_numpy()[doc], "row_print": rows.row_print.to_numpy()[doc],
                                     "key": key.view(np.int64), "stretch": stretch.view(np.int64),
@@ -74,14 +87,13 @@ def _runs(length: int, anchor: int):
     return run
 
 
-def _windows(length: int):
+def _windows(length: int, words: bool):
     def run(frames):
         powers = Powers()
         for frame in frames:
             for text, row_id, row_print, firsts, lasts in zip(frame.text, frame.row_id, frame.row_print,
                                                               frame.firsts, frame.lasts):
-                buf = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                prefix = powers.prefix(buf)
+                prefix = units([text.encode("utf-8", "surrogatepass")], powers, words)[0]
                 lens = lasts - firsts + 1
                 at = np.repeat(firsts - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
                 hashed = powers.spans(prefix, at, at + length)
@@ -94,10 +106,14 @@ def _kept(with_text: bool, carry: list):
     def run(frames):
         for frame in frames:
             out = []
-            for text, firsts, lasts in zip(frame.text, frame.firsts, frame.lasts):
+            for text, firsts, lasts, words in zip(frame.text, frame.firsts, frame.lasts, frame.words):
                 raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
                 spans = []
                 if firsts is not None:
+                    firsts, lasts, words = np.array(firsts), np.array(lasts), np.array(words, bool)
+                    if words.any():
+                        begins, ends = word_spans(np.frombuffer(raw, np.uint8))
+                        firsts[words], lasts[words] = begins[firsts[words]], ends[lasts[words] - 1]
                     for a, b in sorted(zip(firsts, lasts)):
                         if spans and a <= spans[-1][1]:
                             spans[-1][1] = max(spans[-1][1], b)
@@ -115,26 +131,11 @@ def _kept(with_text: bool, carry: list):
     return run
 
 
-def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_first: bool = True,
-                   with_text: bool = False, carry: tuple = ()) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``df`` (doc_id, text).
-
-    Removes each byte covered by a string of ``length`` bytes that also
-    starts elsewhere: earlier elsewhere with ``keep_first`` (the first copy,
-    by doc_id, text hash and position, stays), anywhere else without.  Matches
-    never cross texts.  Null text is empty; null ids and repeated rows are
-    texts like others (of rows that agree in id and text, all count as the
-    same position with ``keep_first``, so they stay together).  With
-    ``with_text`` the remaining text is returned too (bytes of a character
-    cut in two are dropped from it; null stays null).  ``carry`` names further
-    columns of ``df`` to return, of types that survive a cast to string and back.
-    """
-    carried = [f"carried_{k}" for k in range(len(carry))]
-    docs = df.select(column(df, "doc_id", "bigint").alias("doc_id"), column(df, "text", "string").alias("text"),
-                     *[F.col(f"`{c}`").cast("string").alias(x) for c, x in zip(carry, carried)])
-    docs = docs.select("*","doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row_id"), F.xxhash64("text").alias("row_print"))
-    runs = docs.where(F.octet_length("text") >= length).select("row_id", "row_print", "text").mapInPandas(
-        _runs(length, anchor), "row_id bigint, row_print bigint, key bigint, stretch bigint, a int, b int")
+def _repeated(docs: DataFrame, length: int, anchor: int, keep_first: bool, words: bool) -> DataFrame:
+    """row_id, row_print, a, b of the spans, in bytes or words, that repeated strings cover."""
+    least = 2 * length - 1 if words else length
+    runs = docs.where(F.octet_length("text") >= least).select("row_id", "row_print", "text").mapInPandas(
+        _runs(length, anchor, words), "row_id bigint, row_print bigint, key bigint, stretch bigint, a int, b int")
     again = written(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     runs = written(runs.join(again, "key"))
     classes = written(runs.groupBy("key", "stretch").agg(
@@ -145,7 +146,7 @@ def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_fir
     texts = docs.select("row_id", "row_print", "text").join(open_, ["row_id", "row_print"])
     windows = written(texts.dropDuplicates(["row_id", "row_print"])
                       .select("row_id", "row_print", "text", F.col("x.a").alias("firsts"), F.col("x.b").alias("lasts"))
-                      .mapInPandas(_windows(length), "row_id bigint, row_print bigint, at int, window bigint"))
+                      .mapInPandas(_windows(length, words), "row_id bigint, row_print bigint, at int, window bigint"))
     copies = written(windows.groupBy("window").agg(
         F.count("*").alias("n"), F.min(F.struct("row_id", "row_print", "at")).alias("least")).where("n > 1").drop("n"))
     found = windows.join(copies, "window")
@@ -153,11 +154,35 @@ def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_fir
     if keep_first:
         found = found.where(F.struct("row_id", "row_print", "at") != F.col("least"))
         whole = whole.where(F.struct("row_id", "row_print", "a", "b") != F.col("one"))
-    spans = (found.select("row_id", "row_print", F.col("at").alias("a"), (F.col("at") + length).alias("b"))
-             .unionAll(whole.select("row_id", "row_print", "a", (F.col("b") + length).alias("b")))
-             .groupBy("row_id", "row_print").agg(F.collect_list(F.struct("a", "b")).alias("x")))
+    return (found.select("row_id", "row_print", F.col("at").alias("a"), (F.col("at") + length).alias("b"))
+            .unionAll(whole.select("row_id", "row_print", "a", (F.col("b") + length).alias("b"))))
+
+
+def remove_repeats(df: DataFrame, length: int = 400, anchor: int = 240, keep_first: bool = True,
+                   with_text: bool = False, carry: tuple = (), words: int = 0) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``df`` (doc_id, text).
+
+    Removes each byte covered by a string of ``length`` bytes, and with
+    ``words`` also what is covered by a run of so many words (white space
+    between them set aside), that also starts elsewhere: earlier elsewhere
+    with ``keep_first`` (the first copy, by doc_id, text hash and position,
+    stays), anywhere else without.  Matches never cross texts.  Null text is empty; null ids and repeated rows are
+    texts like others (of rows that agree in id and text, all count as the
+    same position with ``keep_first``, so they stay together).  With
+    ``with_text`` the remaining text is returned too (bytes of a character
+    cut in two are dropped from it; null stays null).  ``carry`` names further
+    columns of ``df`` to return, of types that survive a cast to string and back.
+    """
+    carried = [f"carried_{k}" for k in range(len(carry))]
+    docs = df.select(column(df, "doc_id", "bigint").alias("doc_id"), column(df, "text", "string").alias("text"),
+                     *[F.col(f"`{c}`").cast("string").alias(x) for c, x in zip(carry, carried)])
+    docs = docs.select("*","doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row_id"), F.xxhash64("text").alias("row_print"))
+    spans = _repeated(docs, length, anchor, keep_first, False).withColumn("words", F.lit(False))
+    if words:
+        spans = spans.unionAll(_repeated(docs, words, max(1, words * 3 // 5), keep_first, True).withColumn("words", F.lit(True)))
+    spans = spans.groupBy("row_id", "row_print").agg(F.collect_list(F.struct("a", "b", "words")).alias("x"))
     out = docs.join(spans, ["row_id", "row_print"], "left").select(
-        F.col("doc_id").cast("string"), *carried, "text", F.col("x.a").alias("firsts"), F.col("x.b").alias("lasts"))
+        F.col("doc_id").cast("string"), *carried, "text", F.col("x.a").alias("firsts"), F.col("x.b").alias("lasts"), F.col("x.words").alias("words"))
     kind = "doc_id string, " + "".join(f"{x} string, " for x in carried) + "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
     out = out.mapInPandas(_kept(with_text, carried), kind).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     out = out.select("doc_id", *[F.col(x).cast(df.schema[c].dataType).alias(c) for c, x in zip(carry, carried)],

@@ -35,9 +35,9 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of 400-byte strings cut out; documents that lose all their words go."""
+    """Later copies of 400-byte strings and of runs of over 50 words cut out; documents that lose all their words go."""
     carry = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    out = repeats.remove_repeats(docs, with_text=True, carry=carry)
+    out = repeats.remove_repeats(docs, with_text=True, carry=carry, words=51)
     out = out.where(~((F.col("n_removed") > 0) & ~F.col("kept_text").rlike(r"\S")))
     out = out.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast("bigint"))
     return out.select(*docs.columns)

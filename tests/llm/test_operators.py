@@ -149,6 +149,32 @@ def test_repeats_keep_first(spark, no_docs):
     assert got[5].kept_text is None and got[5].n_bytes == 0 and repeats.remove_repeats(no_docs).count() == 0
 
 
+def test_pipeline_cuts_runs_of_over_50_words(spark):
+    """The stage against brute force: 51 to 62 words are under 400 bytes, and 50 words stay."""
+    import corpus_pipeline
+    rng = np.random.default_rng(8)
+    prose = lambda n: ["".join(rng.choice(list("abcdefgh"), rng.integers(1, 8))) + "é"[: k % 2] for k in range(n)]
+    passages = {n: prose(n) for n in (50, 51, 55, 62)}
+    data = [(100 * k + n, " ".join(prose(30) + p + prose(20))) for k in range(3) for n, p in passages.items()]
+    data += [(1, "\n".join(passages[51])), (2, "x" * 450), (3, "y " + "x" * 450), (4, "a " * 60), (5, None)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_repeats(spark, df, "").collect()}
+    seen, expected = set(), {}
+    for i, text in sorted(data):
+        ws = (text or "").split()
+        windows = [tuple(ws[k: k + 51]) for k in range(len(ws) - 50)]
+        cut = set()
+        for k, w in enumerate(windows):
+            if w in seen:
+                cut.update(range(k, k + 51))
+            seen.add(w)
+        expected[i] = [w for k, w in enumerate(ws) if k not in cut]
+    expected[2], expected[3] = ["x"], ["y"]  # 400 bytes, one word
+    assert len(" ".join(passages[62]).encode()) < 400
+    assert {i: (t or "").split() for i, t in got.items()} == expected
+    assert [len(got[200 + n].split()) for n in passages] == [100, 50, 50, 50]
+
+
 def edit(a, b):
     """Least edit distance of a to any substring of b."""
     row = [0] * (len(b) + 1)
