@@ -24,8 +24,9 @@ COMMON_WORDS = {
 }
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
-# counted classes: capitals, digits, symbols; white space is counted from the words, other signs are the rest
-CLASSES = (r"\p{Lu}+", r"\p{Nd}+", SYMBOLS)
+# counted classes: capitals, lower-case letters, other letters, digits, symbols, punctuation; white space is counted
+# from the words, and the rest are controls, marks, replacement characters and the like
+CLASSES = (r"\p{Lu}+", r"\p{Ll}+", r"[\p{L}&&[^\p{Lu}\p{Ll}]]+", r"\p{Nd}+", SYMBOLS, r"[\p{P}&&[^#*$%&|<>]]+")
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -97,9 +98,11 @@ def quality_verdicts(df: DataFrame, class_limit: float = 0.15, word_limit: float
     References are the mean histograms of each language's documents that
     pass the base rules and are long enough.  A histogram of few words is far
     from its reference by chance alone, so a limit is raised by its noise
-    over the root of the number of words.  A distance is null, and fails
-    nobody, for a document under the minimum length or of a language without
-    word list or reference (null included).  Ids may be null or repeat; every
+    over the root of the number of words.  Every value of ``lang`` has a class
+    reference (null is a group of its own; a group of one is its own
+    reference); the word distance needs a word list.  A distance is null, and
+    fails nobody, for a document under the minimum length, of a group without
+    reference, or, by words, of a language without word list.  Ids may be null or repeat; every
     row is judged by itself.  An empty table gives an empty result.
     """
     rows = written(features(df))
@@ -107,13 +110,14 @@ def quality_verdicts(df: DataFrame, class_limit: float = 0.15, word_limit: float
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = rows.withColumn("p", _shares("classes", F.col("n_chars"))).withColumn(
         "w", F.when(F.col("common").isNotNull(), _shares("common", F.col("n_words").cast("int"))))
-    long = (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words) & F.col("w").isNotNull()
+    long = (F.col("n_chars") >= min_chars) & (F.col("n_words") >= min_words)
     n, k = len(CLASSES) + 2, max(map(len, COMMON_WORDS.values())) + 1
     means = rows.where(long & ~F.col("base_failed")).groupBy("lang").agg(
         F.array(*[F.avg(F.get("p", i)) for i in range(n)]).alias("p_ref"),
         F.array(*[F.avg(F.get("w", i)) for i in range(k)]).alias("w_ref"))
-    # one row per language with a word list, so never more rows than COMMON_WORDS has
-    rows = rows.join(F.broadcast(means), "lang", "left")
+    # one row per language; written, so that its size decides whether it is sent to every task
+    means = written(means).withColumnRenamed("lang", "ref_lang")
+    rows = rows.join(means, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     rows = rows.withColumn("class_distance", F.when(long, js_distance(F.col("p"), F.col("p_ref")))).withColumn(
         "word_distance", F.when(long, js_distance(F.col("w"), F.col("w_ref"))))
     root = F.sqrt(F.greatest("n_words", F.lit(1)))

@@ -311,6 +311,24 @@ def test_quality(edge_docs, rows, no_docs):
     assert quality.quality_verdicts(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("lang", ["en", "xx", None])
+def test_quality_rejects_signs_in_place_of_letters(spark, lang):
+    """Dots, replacement characters, controls and another script in place of words, in any language value."""
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9)))
+    prose = lambda: [word() for _ in range(300)]
+    data = [(i, " ".join(prose())) for i in range(40)]
+    change = {100: lambda w, k: "....,;:" if k % 10 < 3 else w, 101: lambda w, k: w + "...,,,",
+              102: lambda w, k: "\ufffd" * len(w) if k % 10 < 3 else w, 103: lambda w, k: "\x01" * len(w) if k % 10 < 3 else w,
+              104: lambda w, k: "\u5b57" * len(w) if k % 10 < 3 else w}
+    data += [(i, " ".join(f(w, k) for k, w in enumerate(prose()))) for i, f in change.items()]
+    df = spark.createDataFrame([(i, t, lang) for i, t in data], "doc_id bigint, text string, lang string")
+    # the words of this prose are in no word list, so the word distance is the same for all
+    got = {r.doc_id: r for r in quality.quality_verdicts(df).collect()}
+    assert not any(r.base_failed or r.class_distance is None for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == set(change)
+
+
 def test_js_distance(spark):
     df = spark.createDataFrame([([0.5, 0.5, 0.0], [0.25, 0.25, 0.5]), ([1.0, 0.0], [0.0, 1.0])], "p array<double>, q array<double>")
     got = [r[0] for r in df.select(quality.js_distance(F.col("p"), F.col("q"))).collect()]
