@@ -1,4 +1,4 @@
-"""The ten corpus queries, each over its whole tables with production parameters."""
+"""The corpus queries, each over its whole tables with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import backoff, chat, decontaminate, extraction, language, neardup, packing, quality, repeats, sharding
+from . import (backoff, chat, decontaminate, extraction, language, neardup, packing, quality, records, repeats,
+               sharding)
 from .common import documents, read
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -63,9 +64,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.retrieval_packing(documents(read(spark, sf_dir, "documents")), f"{TOKENIZERS}/{TOKENIZER_FILE}")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER_FILE)
+
+
+def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_katz_scores, op4_suffix_repeats, op5_decontamination, op6_chat_format,
-    op7_sharding, op8_quality_rules, op9_minhash_dedup, op10_packing)}
+    op7_sharding, op8_quality_rules, op9_minhash_dedup, op10_packing, op11_token_records)}
 
 #: DuckDB SQL of the queries that SQL can tell; tests hold the others against brute force.
 ORACLE_SQL: dict[str, str] = {
