@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (backoff, chat, decontaminate, extraction, language, neardup, packing, quality, records, repeats,
-               sharding)
+from . import (backoff, chat, decontaminate, extraction, language, neardup, packing, periods, phrases, quality, records,
+               repeats, sharding)
 from .common import documents, read
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -73,9 +73,18 @@ def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(read(spark, sf_dir, "documents"), least=12, words_of=periods.looped_words)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_katz_scores, op4_suffix_repeats, op5_decontamination, op6_chat_format,
-    op7_sharding, op8_quality_rules, op9_minhash_dedup, op10_packing, op11_token_records)}
+    op7_sharding, op8_quality_rules, op9_minhash_dedup, op10_packing, op11_token_records,
+    op12_phrase_collocations, op13_periodic_runs)}
 
 #: DuckDB SQL of the queries that SQL can tell; tests hold the others against brute force.
 ORACLE_SQL: dict[str, str] = {

@@ -27,6 +27,19 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same with the table's path, for ``removed``."""
+    path = shared_folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``written_at`` made and that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def column(df: DataFrame, name: str, kind: str) -> Column:
     """Column ``name`` as ``kind``, or a typed null when the table lacks it."""
     return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
