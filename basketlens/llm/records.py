@@ -37,13 +37,15 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 
 from .common import documents, shared_folder
 from .kernels import mix
-from .tokens import with_ids
+from .tokens import stretches, with_ids
 
 END = 2
 HEAD, FRAME = 12, 16
 # Fixed values of the record layout: the reversed CRC-32C polynomial and the mask's addend.
 CASTAGNOLI, MASK_DELTA = 0x82F63B78, 0xA282EAD8
 BLOCK = 64
+#: Bytes that are framed or parsed at a time.
+STRETCH_BYTES = 1 << 20
 
 
 class Crc32c:
@@ -172,8 +174,8 @@ class RecordWriter(DataSourceArrowWriter):
         name, crc, sizes, tokens = f"part-{part:06d}-{uuid.uuid4().hex}", Crc32c(), [np.zeros(1, np.int64)], 0
         with fs.open_output_stream(f"{base}/.{name}.tmp") as out:
             for batch in iterator:
-                for at in range(0, batch.num_rows, 4096):
-                    some = batch.slice(at, 4096)
+                for at, last in stretches(batch.column(1), STRETCH_BYTES):
+                    some = batch.slice(at, last - at)
                     data, n = framed(some.column(0).to_pylist(), some.column(1).to_pylist(), self.width, crc)
                     out.write(data)
                     sizes.append(n)
@@ -273,7 +275,7 @@ class RecordReader(DataSourceReader):
             yield self._batch(doc_ids, ids, starts, records)
 
     def _in_order(self, fs, base, partition):
-        """Stretches of records read at one go, of about 8 MB."""
+        """Stretches of records read at one go."""
         at = partition.first
         while at < partition.last:
             k = bisect.bisect_right(self.ends, at) - 1
@@ -283,7 +285,7 @@ class RecordReader(DataSourceReader):
             with fs.open_input_file(f"{base}/{self.files[k]['name']}.records") as f:
                 while at < stop:
                     i = at - begin
-                    j = min(stop - begin, max(i + 1, int(np.searchsorted(index, index[i] + (8 << 20)))))
+                    j = min(stop - begin, max(i + 1, int(np.searchsorted(index, index[i] + STRETCH_BYTES))))
                     data = f.read_at(int(index[j] - index[i]), int(index[i]))
                     yield np.arange(at, begin + j), before[i:j], data, index[i: j + 1] - index[i]
                     at = begin + j
@@ -294,8 +296,8 @@ class RecordReader(DataSourceReader):
     def _shuffled(self, fs, base, partition):
         """Single records, some at a time; the records of one file are read together."""
         order = Permutation(self.ends[-1], self.seed)
-        for at in range(partition.first, partition.last, 1024):
-            records = order(np.arange(at, min(at + 1024, partition.last)))
+        for at in range(partition.first, partition.last, 512):
+            records = order(np.arange(at, min(at + 512, partition.last)))
             owner = np.searchsorted(self.ends, records, side="right") - 1
             data, starts = [b""] * len(records), np.zeros(len(records), np.int64)
             for k in np.unique(owner).tolist():

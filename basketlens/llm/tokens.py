@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SIGNS = r"([a-z0-9])([.,;:!?()#*$%&|<>])"
 
 
@@ -36,7 +36,7 @@ class Encoder:
     again moves to the younger, the older is forgotten when that is full.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -123,9 +123,9 @@ def shared_encoder(path: str) -> Encoder:
     return held.get(path) or held.setdefault(path, Encoder(path))
 
 
-def chunks(texts: pa.Array, limit: int = CHUNK_BYTES):
-    """(first, last) of stretches of about ``limit`` bytes."""
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64) + 1)
+def stretches(values: pa.Array, limit: int = CHUNK_BYTES):
+    """(first, last) of stretches of about ``limit`` bytes of strings or binaries."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(values), 0)).astype(np.int64) + 1)
     at = 0
     while at < len(ends):
         base = ends[at - 1] if at else 0
@@ -140,7 +140,7 @@ def with_ids(path: str, end: int, columns: tuple = ("doc_id",)):
         encoder = shared_encoder(path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            for first, last in chunks(texts):
+            for first, last in stretches(texts):
                 flat, bounds = encoder.encode(texts.slice(first, last - first))
                 n = len(bounds) - 1
                 out = np.insert(flat, bounds[1:], end) if n else flat
