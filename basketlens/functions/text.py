@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
@@ -48,4 +49,24 @@ def normalize_review_text(col) -> Column:
 def tokens(col) -> Column:
     """Array of word tokens (empty strings removed)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(c, NON_WORD), lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(c, NON_WORD), "")
+
+
+def whole_word_count(text: Column, keyword: str) -> Column:
+    """Occurrences of ``keyword`` (any characters, spaces too) between word boundaries, left to right without overlap.
+
+    Equals ``len(re.findall(rf"\\b{re.escape(keyword)}\\b", text))``.  Only texts
+    that contain the keyword at all meet the expression.
+    """
+    if not keyword:
+        raise ValueError("a keyword needs a character")
+
+    def is_word(c: str) -> bool:
+        return c.isalnum() or c == "_"
+
+    # a boundary has a word character on exactly one side
+    before = f"(?<!{WORD})" if is_word(keyword[0]) else f"(?<={WORD})"
+    after = f"(?!{WORD})" if is_word(keyword[-1]) else f"(?={WORD})"
+    literal = "".join(c if is_word(c) else f"\\x{{{ord(c):x}}}" for c in keyword)
+    count = F.regexp_count(text, F.lit(f"{before}{literal}{after}"))
+    return F.when(F.contains(text, F.lit(keyword)), count).otherwise(F.lit(0))

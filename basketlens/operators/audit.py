@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,34 +15,53 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def duplicate_keys(df: DataFrame, keys: list[str], table_name: str) -> DataFrame:
-    """Key values occurring more than once: ``(table_name, check, violations)``."""
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table_name).alias("table_name"), F.lit("duplicate " + ",".join(keys)).alias("check"), "violations")
+def _key(df: DataFrame, columns: tuple) -> Column:
+    """One text per key value; nulls and every split of the parts stay apart."""
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in columns]
+    return F.concat(*parts)
 
 
-def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                table_name: str) -> DataFrame:
-    """Child rows whose foreign key has no parent (anti join)."""
-    orphans = child.filter(F.col(child_key).isNotNull()).join(
-        parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table_name).alias("table_name"), F.lit(f"orphan {child_key}").alias("check"), "violations")
+def audit(tables: dict[str, DataFrame], unique: list[tuple[str, tuple]],
+          references: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Duplicate and orphan keys of all ``tables``: ``(table_name, check, violations)``, zeros included.
+
+    ``unique``: (table, columns): key values found more than once, null a value of its own.
+    ``references``: (table, column, parent table, parent column): rows whose non-null key has no
+    parent.  Every table is read once: a row gives one (check, key) pair for each check it takes
+    part in, as child or as parent, and all pairs are counted in one aggregate.
+    """
+    checks = [(t, f"duplicate {','.join(columns)}") for t, columns in unique]
+    checks += [(t, f"orphan {column}") for t, column, _, _ in references]
+    cells: dict[str, list] = {t: [] for t in tables}
+
+    def cell(table: str, check: int, columns: tuple, child: int) -> Column:
+        row = F.struct(F.lit(check).alias("check"), _key(tables[table], columns).alias("key"),
+                       F.lit(child).cast("long").alias("child"), F.lit(1 - child).cast("long").alias("parent"))
+        return row if check < len(unique) else F.when(F.col(columns[0]).isNotNull(), row)
+
+    for k, (table, columns) in enumerate(unique):
+        cells[table].append(cell(table, k, columns, 1))
+    for k, (table, column, parent, parent_column) in enumerate(references, len(unique)):
+        cells[table].append(cell(table, k, (column,), 1))
+        cells[parent].append(cell(parent, k, (parent_column,), 0))
+    pairs = reduce(DataFrame.unionByName, [tables[t].select(F.inline(F.array_compact(F.array(*c)))) for t, c in cells.items() if c])
+    keys = pairs.groupBy("check", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    bad = (F.when((F.col("check") < len(unique)) & (F.col("child") > 1), F.lit(1))
+           .when((F.col("check") >= len(unique)) & (F.col("parent") == 0), F.col("child")).otherwise(F.lit(0)))
+    sums = keys.agg(*[F.sum(F.when(F.col("check") == k, bad)).alias(f"_{k}") for k in range(len(checks))])
+    rows = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(check).alias("check"),
+                              F.coalesce(F.col(f"_{k}"), F.lit(0)).cast("long").alias("violations"))
+                     for k, (t, check) in enumerate(checks)])
+    return sums.select(F.inline(rows))
 
 
 def key_audit(customers: DataFrame, orders: DataFrame, items: DataFrame,
               products: DataFrame, reviews: DataFrame) -> DataFrame:
     """Primary-key duplicates and foreign-key orphans of the reference schema (not enforced by Spark)."""
-    checks = [
-        duplicate_keys(customers, ["customer_id"], "customers"),
-        duplicate_keys(orders, ["order_id"], "orders"),
-        duplicate_keys(items, ["order_id", "order_item_id"], "order_items"),
-        duplicate_keys(products, ["product_id"], "products"),
-        duplicate_keys(reviews, ["review_id"], "order_reviews"),
-        orphan_keys(orders, customers, "customer_id", "customer_id", "orders"),
-        orphan_keys(items, orders, "order_id", "order_id", "order_items"),
-        orphan_keys(items, products, "product_id", "product_id", "order_items"),
-        orphan_keys(reviews, orders, "order_id", "order_id", "order_reviews"),
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    return audit(
+        {"customers": customers, "orders": orders, "order_items": items, "products": products, "order_reviews": reviews},
+        unique=[("customers", ("customer_id",)), ("orders", ("order_id",)), ("order_items", ("order_id", "order_item_id")),
+                ("products", ("product_id",)), ("order_reviews", ("review_id",))],
+        references=[("orders", "customer_id", "customers", "customer_id"), ("order_items", "order_id", "orders", "order_id"),
+                    ("order_items", "product_id", "products", "product_id"), ("order_reviews", "order_id", "orders", "order_id")])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.dates import month_diff, month_start
 from basketlens.functions.numeric import money_pct, pct
+from basketlens.operators.skew import all_salts, heavy_values, salt
 from basketlens.schemas import MONEY
 
 DELIVERED = "delivered"
@@ -38,16 +39,17 @@ def cohort_assign(orders: DataFrame, salts: int = 16) -> DataFrame:
     """Every delivered order with its person's cohort month and month offset.
 
     The cohort (one row per person, from the person-month grain) is joined
-    back on the person.  A person's orders are dealt to ``salts`` groups, and
-    the person's row is repeated for each, so a person with a third of all
-    orders is split whatever the join strategy.
+    back on the person.  Orders of persons who hold 1/256 of them or more are
+    dealt to ``salts`` groups, and only the rows of those persons (256 at
+    most) are repeated for each group.
     """
-    cohorts = person_months(orders).groupBy(PERSON).agg(F.min("cohort_month").alias("cohort_month"))
-    cohorts = cohorts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     o = (_delivered(orders).select("order_id", PERSON, "order_purchase_timestamp", "order_revenue")
-         .withColumn("order_month", month_start("order_purchase_timestamp"))
-         .withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int")))
-    return (o.join(cohorts, [PERSON, "_salt"], "inner").drop("_salt")
+         .withColumn("order_month", month_start("order_purchase_timestamp")))
+    heavy = heavy_values(o, PERSON)
+    cohorts = (person_months(orders).groupBy(PERSON).agg(F.min("cohort_month").alias("cohort_month"))
+               .withColumn("_salt", F.explode(all_salts(heavy, PERSON, salts))))
+    return (o.withColumn("_salt", salt(heavy, PERSON, "order_id", salts))
+            .join(cohorts, [PERSON, "_salt"], "inner").drop("_salt")
             .withColumn("months_since_first_purchase", month_diff("order_month", "cohort_month")))
 
 
@@ -91,19 +93,32 @@ def cohort_revenue_retention_sql(orders: DataFrame) -> DataFrame:
         "cohort_month", "months_since_first_purchase", "revenue", "month_0_revenue", "revenue_retention_pct")
 
 
-def _matrix(long: DataFrame, value: str, offsets: list[int]) -> DataFrame:
-    month = F.col("months_since_first_purchase")
-    outside = F.raise_error(F.concat(F.lit("month offset outside the matrix: "), month.cast("string"))).cast("int")
-    m = (long.withColumn("months_since_first_purchase", F.when(month.isin(*offsets), month).otherwise(outside))
-         .groupBy("cohort_month").pivot("months_since_first_purchase", offsets).agg(F.first(value)))
-    return m.fillna(0, subset=[str(o) for o in offsets])
+def _matrix(long: DataFrame, value: str) -> DataFrame:
+    """Per cohort a map from month offset to value: as wide as the data, whatever the offsets."""
+    return long.groupBy("cohort_month").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("months_since_first_purchase", value)))).alias("by_month"))
 
 
-def cohort_retention_matrix(orders: DataFrame, offsets: list[int]) -> DataFrame:
-    """Cohort x offset retention %, 0-filled; an observed offset outside ``offsets`` is an error."""
-    return _matrix(cohort_retention_long(orders), "retention_pct", offsets)
+def cohort_retention_matrix(orders: DataFrame) -> DataFrame:
+    """Per cohort its retention % by month offset, as a map."""
+    return _matrix(cohort_retention_long(orders), "retention_pct")
 
 
-def cohort_revenue_matrix(orders: DataFrame, offsets: list[int]) -> DataFrame:
-    """Cohort x offset revenue retention %."""
-    return _matrix(cohort_retention_long(orders), "revenue_retention_pct", offsets)
+def cohort_revenue_matrix(orders: DataFrame) -> DataFrame:
+    """Per cohort its revenue retention % by month offset, as a map."""
+    return _matrix(cohort_retention_long(orders), "revenue_retention_pct")
+
+
+def observed_offsets(matrix: DataFrame) -> list[int]:
+    """The month offsets that some cohort has, ascending (as many as months at most)."""
+    rows = matrix.select(F.explode(F.map_keys("by_month")).alias("m")).distinct().collect()
+    return sorted(r.m for r in rows)
+
+
+def matrix_columns(matrix: DataFrame, offsets: list[int] | None = None) -> DataFrame:
+    """A matrix as a table for a sink: a column per offset (default: the observed ones), 0 where a cohort has none."""
+    offsets = observed_offsets(matrix) if offsets is None else offsets
+    kind = matrix.schema["by_month"].dataType.valueType
+    return matrix.select("cohort_month", *[
+        F.coalesce(F.try_element_at("by_month", F.lit(o).cast(matrix.schema["by_month"].dataType.keyType)), F.lit(0).cast(kind))
+        .alias(str(o)) for o in offsets])

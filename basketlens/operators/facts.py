@@ -9,11 +9,14 @@ from basketlens.functions.numeric import money_mean
 from basketlens.schemas import MONEY
 
 
-def reviews_with_customer(reviews: DataFrame, orders: DataFrame) -> DataFrame:
-    """Review text and score with the order's customer keys (inner equi-join on order id)."""
+def reviews_with_customer(reviews: DataFrame, orders: DataFrame,
+                          columns: tuple = ("review_id", "order_id", "review_score", "review_comment_message")) -> DataFrame:
+    """Review text and score with the order's customer keys (inner equi-join on order id).
+
+    ``columns`` names what a review brings: scored reviews leave their text behind.
+    """
     o = orders.select("order_id", "customer_id", "customer_unique_id")
-    return (reviews.select("review_id", "order_id", "review_score", "review_comment_message")
-            .join(o, "order_id", "inner"))
+    return reviews.select(*columns).join(o, "order_id", "inner")
 
 
 def customer_order_summary(persons: DataFrame, orders: DataFrame) -> DataFrame:
@@ -43,10 +46,23 @@ def revenue_by_state(fact: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("item_rows")))
 
 
+def _sales(groups, *more) -> DataFrame:
+    return groups.agg(F.sum("price").cast(MONEY).alias("item_revenue"),
+                      F.sum("line_revenue").cast(MONEY).alias("line_revenue"),
+                      F.count(F.lit(1)).alias("items_sold"),
+                      F.countDistinct("order_id").alias("orders_count"), *more)
+
+
 def sales_by_category_month(fact: DataFrame) -> DataFrame:
     """Sales by product category and month."""
-    return (fact.groupBy("product_category_english", "order_month")
-            .agg(F.sum("price").cast(MONEY).alias("item_revenue"),
-                 F.sum("line_revenue").cast(MONEY).alias("line_revenue"),
-                 F.count(F.lit(1)).alias("items_sold"),
-                 F.countDistinct("order_id").alias("orders_count")))
+    return _sales(fact.groupBy("product_category_english", "order_month"))
+
+
+def sales_by_category_month_totals(fact: DataFrame) -> DataFrame:
+    """B14 with subtotals: also per category over all months, and over all.
+
+    ``level`` is 0 for a category's month, 1 for a category, 3 for all (the grouping id): it
+    tells a subtotal's nulls from a missing category.
+    """
+    keys = ("product_category_english", "order_month")
+    return _sales(fact.rollup(*keys), F.grouping_id().cast("int").alias("level"))

@@ -16,15 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketlens.operators.selection import select_ranks
 from basketlens.session import reliable_checkpoint
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position in partition
 
 
-def _div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, b)
-
-
 def _ranged(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by ``order`` with a position tag ``_mid``, checkpointed."""
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -54,17 +51,17 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number
     return res.drop("_mid", "_pid", "_local", "_offset", "_total")
 
 
-def qcut_last_rank(n: Column, label: int, q: int = 5) -> Column:
+def qcut_last_rank(n: int, label: int, q: int = 5) -> int:
     """Last of ranks 1..n with a label of at most ``label`` when pandas ``qcut`` cuts ``rank(method='first')``.
 
     The label of rank r is ceil(q (r-1) / (n-1)), at least 1.
     """
-    return _div(label * (n - 1), F.lit(q)) + 1
+    return label * (n - 1) // q + 1 if n else 0
 
 
-def ntile_last_rank(n: Column, label: int, q: int = 5) -> Column:
+def ntile_last_rank(n: int, label: int, q: int = 5) -> int:
     """Last of ranks 1..n in the first ``label`` buckets of SQL ``NTILE(q)``: the first n mod q have one more row."""
-    return label * _div(n, F.lit(q)) + F.least(F.lit(label), n % q)
+    return label * (n // q) + min(label, n % q)
 
 
 def _is_after(value: Column, row_id: Column, at: Column, at_id: Column, descending: bool) -> Column:
@@ -80,49 +77,26 @@ def quantile_scores(df: DataFrame, specs: list[tuple[str, Column, bool]], id_col
     """Add one score column per ``(out_col, value, descending)`` spec.
 
     Ties are broken by ``id_col`` ascending, also for descending values (D20).
-    Only the (value, id) pairs are ranked, those of all specs in one range
-    shuffle.  The q - 1 pairs where a score ends are looked up by position and
-    handed to the rows as a one-row scalar subquery; the rows themselves are
-    neither shuffled nor joined.  ``materialize_input`` checkpoints the
-    (person-sized) input first, so that ranking and scoring do not both
-    recompute the order-sized plan above it.
+    The q - 1 pairs (value, id) where a score ends are found by histograms
+    (``selection.select_ranks``) and compared with each row: the rows are
+    neither sorted, shuffled nor joined.  ``materialize_input`` checkpoints
+    the (person-sized) input first, as every pass reads it.
     """
     last_rank = qcut_last_rank if method == "qcut" else ntile_last_rank
     if materialize_input:
         df = reliable_checkpoint(df)
+    n = df.count()
+    ends = [last_rank(n, label, q) for label in range(1, q)]
+    found = select_ranks(df, [(value, down) for _, value, down in specs], id_col, [ends] * len(specs))
     kinds = [f.dataType for f in df.select(*[v for _, v, _ in specs]).schema.fields]
-    pairs = F.array(*[F.struct(F.lit(i).alias("_k"), *[
-        (v if j == i else F.lit(None)).cast(kinds[j]).alias(f"_v{j}") for j, (_, v, _) in enumerate(specs)])
-        for i in range(len(specs))])
-    narrow = df.select(F.col(id_col).alias("_id"), F.explode(pairs).alias("_p")).select("_id", "_p.*")
-    order = [F.col("_k"), *[F.col(f"_v{j}").desc() if down else F.col(f"_v{j}").asc()
-                            for j, (_, _, down) in enumerate(specs)], F.col("_id")]
-    ranged = _ranged(narrow, order)
-    counts = (ranged.groupBy("_k", F.shiftright("_mid", _POS_BITS).alias("_pid"))
-              .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_start")))
-    # at most one row per partition and spec
-    w = Window.partitionBy("_k")
-    before = F.sum("_cnt").over(w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-    spans = counts.select("_k", "_start", "_cnt", F.coalesce(before, F.lit(0)).alias("_offset"),
-                          F.sum("_cnt").over(w).alias("_n"))
-    ends = F.array(*[F.struct(F.lit(label).alias("_label"), last_rank(F.col("_n"), label, q).cast("long").alias("_rank"))
-                     for label in range(1, q)])
-    ends = (spans.select("*", F.explode(ends).alias("_e")).select("*", "_e.*")
-            .where((F.col("_rank") > F.col("_offset")) & (F.col("_rank") <= F.col("_offset") + F.col("_cnt")))
-            .select((F.col("_start") + F.col("_rank") - F.col("_offset") - 1).alias("_mid"), "_label"))
-    found = ranged.join(F.broadcast(ends), "_mid")   # (q - 1) rows a spec
-
-    def pair(i: int, label: int) -> Column:
-        mine = (F.col("_k") == i) & (F.col("_label") == label)
-        return F.max(F.when(mine, F.struct(F.col(f"_v{i}").alias("v"), F.col("_id").alias("id")))).alias(f"e{i}_{label}")
-
-    limits = found.agg(*[pair(i, label) for i in range(len(specs)) for label in range(1, q)])
-    df = df.withColumn("_limits", limits.select(F.struct(*limits.columns)).scalar())
+    id_kind = df.schema[id_col].dataType
     for i, (out, value, down) in enumerate(specs):
-        passed = [_is_after(value, F.col(id_col), F.col(f"_limits.e{i}_{label}.v"), F.col(f"_limits.e{i}_{label}.id"), down)
-                  for label in range(1, q)]
-        df = df.withColumn(out, sum((p.cast("int") for p in passed), F.lit(1)))
-    return df.drop("_limits")
+        # a score that ends before the first row has no pair, and every row is after it
+        passed = [F.lit(1) if end < 1 else
+                  _is_after(value, F.col(id_col), F.lit(at).cast(kinds[i]), F.lit(at_id).cast(id_kind), down).cast("int")
+                  for end, (at, at_id) in zip(ends, found[i])]
+        df = df.withColumn(out, sum(passed, F.lit(1)))
+    return df
 
 
 def top_customers(orders: DataFrame, persons: DataFrame, n: int = 100,

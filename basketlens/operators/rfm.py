@@ -2,8 +2,8 @@
 
 Person-level metrics are one partial+final aggregate keyed by person.  The
 quintile scores need exact global ranks; they come from
-``ranking.quantile_scores`` (narrow range shuffle + checkpoint), never from a
-window without PARTITION BY.
+``ranking.quantile_scores`` (the pairs where a score ends, selected by
+histograms), never from a window without PARTITION BY.
 """
 
 from __future__ import annotations

@@ -1,16 +1,18 @@
 """Review sentiment.
 
-T1 re-aims the reference's per-row analyser as a set job: tokens are
-exploded, looked up in a lexicon by broadcast join (the lexicon's size is
-checked first) and summed per review.  Negation and boosting follow the
-published VADER rules (Hutto & Gilbert, ICWSM 2014): a negator among the
-three preceding tokens scales the valence by -0.74; a booster adds 0.293
-(damped by 0.95 / 0.9 at distances two and three); the sum s is
-normalised as s / sqrt(s^2 + 15) and rounded to 4 decimals.
+T1 re-aims the reference's per-row analyser as a job over whole tables that
+never moves a text: the lexicon becomes a hash table inside the plan, and a
+review's tokens are looked up and folded where the review is read.  Negation
+and boosting follow the published VADER rules (Hutto & Gilbert, ICWSM 2014): a
+negator among the three preceding tokens scales the valence by -0.74; a
+booster adds 0.293 (damped by 0.95 / 0.9 at distances two and three); the sum
+s is normalised as s / sqrt(s^2 + 15) and rounded to 4 decimals.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,66 +30,80 @@ NORMALIZATION_ALPHA = 15
 # Review and customer labels of the reference.
 POSITIVE, NEGATIVE, MIXED = "Positive", "Negative", "Mixed Negative"
 
-def _shifted(toks: Column, k: int) -> Column:
-    """The token array moved right by k places (k leading NULLs), same length."""
-    n = F.size(toks)
-    pad = F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(k), n))
-    return F.concat(pad, F.slice(toks, F.lit(1), F.greatest(n - k, F.lit(0))))
+VALENCE, SUM = "decimal(10,4)", "decimal(28,8)"
 
 
-def _token_context(toks: Column) -> Column:
-    """Array of (tok, p1, p2, p3): each token with the three tokens before it.
+def _lexicon_table(lexicon: DataFrame, limit: int) -> tuple[Column, int]:
+    """The lexicon as one constant, an array of small maps, and the array's length.
 
-    Built from shifted copies with code-generated array functions: linear in
-    the text length, no per-element lambda.
+    A token's map stands at its hash modulo the length, so a lookup costs the
+    same for any lexicon (Spark scans a map's keys one by one).
     """
-    return F.arrays_zip(toks.alias("tok"), _shifted(toks, 1).alias("p1"),
-                        _shifted(toks, 2).alias("p2"), _shifted(toks, 3).alias("p3"))
+    words = (lexicon.where(F.col("token").isNotNull()).groupBy("token")
+             .agg(F.sum(F.col("valence").cast(VALENCE)).cast(VALENCE).alias("valence")))
+    rows = words.select("token", F.col("valence").cast("string"), F.xxhash64("token").alias("h")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"the lexicon has more than {limit} tokens, too many for a table inside the plan")
+    slots = 1 << max(0, len(rows) - 1).bit_length()
+    maps: list[dict] = [{} for _ in range(slots)]
+    for r in rows:
+        if r.valence is not None:
+            maps[r.h % slots][r.token] = r.valence
+    return F.from_json(F.lit(json.dumps(maps)), f"array<map<string,{VALENCE}>>"), slots
 
 
 def lexicon_polarity(reviews: DataFrame, lexicon: DataFrame, negators: list[str] = (),
-                     boosters: list[str] = (), id_col: str = "review_id",
-                     text_col: str = "review_comment_message") -> DataFrame:
-    """Add normalised text and ``polarity`` in [-1, 1] (0 for empty text or no lexicon word).
-
-    ``lexicon``: ``(token string, valence decimal)``.  Tokens with their three
-    predecessors are exploded (code-generated array functions), looked up by
-    join (broadcast if the lexicon's size allows) and summed per review (partial aggregate); the sums are
-    joined back on the review id.  Whole texts are processed.
+                     boosters: list[str] = (), text_col: str = "review_comment_message",
+                     lexicon_limit: int = 200_000) -> DataFrame:
+    """Add normalised text, ``has_comment`` and ``polarity`` in [-1, 1] (0 for empty text or no lexicon word).
+
+    ``lexicon``: ``(token string, valence decimal)``; valences of a repeated
+    token add up, and more than ``lexicon_limit`` tokens are an error, as the
+    lexicon travels with the plan.  Each row is scored by itself: no shuffle,
+    no join, any number of rows under one id.  Whole texts are processed.
     """
-    lex = lexicon.select(F.col("token").alias("tok"), F.col("valence").cast("decimal(10,4)").alias("valence"))
-    base = reviews.withColumn(text_col, normalize_review_text(text_col))
-    toks = base.select(id_col, tokens(text_col).alias("_toks"))      # split once per review
-    ctx = toks.select(id_col, F.explode(_token_context(F.col("_toks"))).alias("c")).select(id_col, "c.*")
-    neg = list(negators) or [None]
-    boo = list(boosters) or [None]
-
-    def is_in(c: str, words) -> Column:
-        return F.coalesce(F.col(c).isin(*words), F.lit(False))
-
-    negated = is_in("p1", neg) | is_in("p2", neg) | is_in("p3", neg)
-    boost = sum(F.when(is_in(c, boo), F.lit(w)).otherwise(F.lit(0.0))
-                for c, w in zip(("p1", "p2", "p3"), BOOSTER_DAMPING))
-    boost = (boost * BOOSTER_INCREMENT).cast("decimal(10,6)")
-    v = F.col("valence")
-    signed_boost = F.when(v > 0, boost).when(v < 0, -boost).otherwise(F.lit(0))
-    scaled = F.when(negated, (v + signed_boost) * F.lit(NEGATION_SCALAR).cast("decimal(3,2)")) \
-        .otherwise(v + signed_boost)
-    sums = (ctx.join(lex, "tok", "inner")
-            .groupBy(id_col).agg(F.sum(scaled).alias("_s")))
-    s = F.col("_s").cast("double")
+    table, slots = _lexicon_table(lexicon, lexicon_limit)
+    base = (reviews.withColumn(text_col, normalize_review_text(text_col))
+            .withColumn("has_comment", F.length(text_col) > 0)
+            .withColumn("_toks", tokens(text_col)))
+    neg, boo = list(negators) or [None], list(boosters) or [None]
+    toks = F.col("_toks")
+
+    def found(t: Column, i: Column) -> Column:
+        slot = F.get(table, F.pmod(F.xxhash64(t), F.lit(slots)).cast("int"))
+        return F.struct(i.alias("i"), F.try_element_at(slot, t).alias("v"))
+
+    def is_in(c: Column, words) -> Column:
+        return F.coalesce(c.isin(*words), F.lit(False))
+
+    def scaled(x: Column) -> Column:
+        before = [F.get(toks, x.i - k) for k in (1, 2, 3)]
+        boost = sum(F.when(is_in(c, boo), F.lit(w)).otherwise(F.lit(0.0)) for c, w in zip(before, BOOSTER_DAMPING))
+        boost = (boost * BOOSTER_INCREMENT).cast("decimal(10,6)")
+        signed = x.v + F.when(x.v > 0, boost).when(x.v < 0, -boost).otherwise(F.lit(0))
+        negated = is_in(before[0], neg) | is_in(before[1], neg) | is_in(before[2], neg)
+        return F.when(negated, signed * F.lit(NEGATION_SCALAR).cast("decimal(3,2)")).otherwise(signed)
+
+    hits = F.filter(F.transform(toks, found), lambda x: x.v.isNotNull())
+    total = F.aggregate(F.col("_hits"), F.lit(0).cast(SUM), lambda acc, x: (acc + scaled(x)).cast(SUM))
+    s = F.col("_s")
     compound = F.round(s / F.sqrt(s * s + NORMALIZATION_ALPHA), 4)
-    compound = F.when(compound == 0, F.lit(0.0)).otherwise(compound)   # no negative zero
-    return (base.join(sums, id_col, "left")
-            .withColumn("polarity", F.coalesce(compound, F.lit(0.0)))
-            .drop("_s"))
+    scored = (base.withColumn("_hits", hits).withColumn("_s", total.cast("double"))
+              .withColumn("polarity", F.coalesce(compound, F.lit(0.0))))
+    return (scored.withColumn("polarity", F.when(F.col("polarity") == 0, F.lit(0.0)).otherwise(F.col("polarity")))
+            .drop("_toks", "_hits", "_s"))   # no negative zero
 
 
 def label_reviews(scored: DataFrame, polarity_col: str = "polarity",
                   text_col: str = "review_comment_message") -> DataFrame:
-    """Ordered hybrid label from polarity and stars (NULL stars make every star test false)."""
+    """Ordered hybrid label from polarity and stars (NULL stars make every star test false).
+
+    Whether there is a comment is read from ``has_comment`` where T1 has added
+    it, so that the text can be dropped before any shuffle.
+    """
     c, s = F.col(polarity_col), F.col("review_score")
-    has = F.length(F.coalesce(F.col(text_col), F.lit(""))) > 0
+    has = (F.col("has_comment") if "has_comment" in scored.columns
+           else F.length(F.coalesce(F.col(text_col), F.lit(""))) > 0)
     label = (F.when(has & (s >= 4) & (c < 0), MIXED)
              .when((c >= 0.05) | (~has & (s >= 4)), POSITIVE)
              .when((c <= -0.05) | (s <= 2), NEGATIVE)

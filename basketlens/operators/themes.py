@@ -1,21 +1,18 @@
 """T5: complaint themes in negative reviews per value tier.
 
 The reference concatenates all text of a tier into one string and counts
-whole-word regex matches.  Here each review is tokenised on non-word
-characters, tokens are exploded and joined to a small broadcast
-(theme, keyword) table and counted per (person, theme) map-side; only those
-counts meet the tier table.  No text is gathered in one place or shuffled.  For single-word keywords this equals
-counting ``\\bkeyword\\b`` occurrences.
+whole-word regex matches of each keyword.  Here every review counts its own
+matches where it is read, for keywords of one or several words; one number
+per theme then meets the person and the tier, and no text is shuffled or
+gathered in one place.  A match never spans two reviews.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.functions.text import tokens
+from basketlens.functions.text import whole_word_count
 from basketlens.operators.sentiment import MIXED, NEGATIVE
 
 PERSON = "customer_unique_id"
@@ -29,43 +26,44 @@ COMPLAINT_THEMES = {
     "service": ["service", "servico", "serviço", "atendimento", "suporte"],
 }
 
-_WORD = re.compile(r"^\w+$")
+MENTIONS = "theme_mentions"
+
+
+def theme_mentions(reviews: DataFrame, themes: dict[str, list[str]] | None = None,
+                   text_col: str = "review_comment_message") -> DataFrame:
+    """Add ``theme_mentions``: per theme, in the order of ``themes``, the whole-word occurrences of its keywords.
 
+    The text is expected in lower case (T1 leaves it so); a null text counts 0.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
 
-def theme_table(spark, themes: dict[str, list[str]]) -> DataFrame:
-    rows = []
-    for theme, words in themes.items():
-        for w in words:
-            if not _WORD.match(w):
-                raise ValueError(f"keyword {w!r} is not a single word")
-            rows.append((theme, w))
-    return spark.createDataFrame(rows, "complaint_theme string, keyword string")
+    def mentions(words: list[str]) -> Column:
+        return sum((whole_word_count(text, w) for w in words), F.lit(0)).cast("long")
+
+    return reviews.withColumn(MENTIONS, F.array(*[mentions(words) for words in (themes or COMPLAINT_THEMES).values()]))
 
 
 def negative_review_themes(labeled: DataFrame, rfm: DataFrame,
                            themes: dict[str, list[str]] | None = None,
                            text_col: str = "review_comment_message") -> DataFrame:
-    """Negative and mixed reviews per tier (null tier -> 'Unknown'): mentions per theme, zeros included, most first."""
+    """Negative and mixed reviews per tier (null tier -> 'Unknown'): mentions per theme, zeros included, most first.
+
+    Uses the column that ``theme_mentions`` has added (for the same
+    ``themes``), or counts in ``text_col``.
+    """
     themes = themes or COMPLAINT_THEMES
-    spark = labeled.sparkSession
-    kw = F.broadcast(theme_table(spark, themes))   # a handful of fixed keywords
     neg = labeled.filter(F.col("sentiment_label").isin(NEGATIVE, MIXED))
-    # Tokens are matched where the review rows already are; only (person, theme)
-    # counts cross a shuffle, never the text.  Every review emits a NULL header
-    # token, which counts the review itself.
-    toks = F.concat(F.array(F.lit(None).cast("string")), tokens(text_col))
-    per_person = (neg.select(PERSON, F.explode(toks).alias("keyword"))
-                  .join(kw, "keyword", "left")
-                  .filter(F.col("keyword").isNull() | F.col("complaint_theme").isNotNull())
-                  .groupBy(PERSON, "complaint_theme").agg(F.count(F.lit(1)).alias("n")))
-    # one conditional sum per theme, so that the reviews are scored in one branch only
+    if MENTIONS not in neg.columns:
+        neg = theme_mentions(neg, themes, text_col)
+    # map-side sums per person: what meets the tiers is one row a person
+    per_person = neg.groupBy(PERSON).agg(F.count(F.lit(1)).alias("n"),
+                                         *[F.sum(F.col(MENTIONS)[i]).alias(f"_{i}") for i in range(len(themes))])
     sums = (per_person.join(rfm.select(PERSON, "value_tier"), PERSON, "left")
             .groupBy(F.coalesce("value_tier", F.lit("Unknown")).alias("value_tier"))
-            .agg(F.sum(F.when(F.col("complaint_theme").isNull(), F.col("n"))).alias("negative_review_count"),
-                 *[F.sum(F.when(F.col("complaint_theme") == t, F.col("n"))).alias(f"_{i}") for i, t in enumerate(themes)]))
-    per_theme = F.array(*[F.struct(F.lit(t).alias("complaint_theme"),
-                                   F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("long").alias("mention_count"))
+            .agg(F.sum("n").alias("negative_review_count"),
+                 *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(themes))]))
+    per_theme = F.array(*[F.struct(F.lit(t).alias("complaint_theme"), F.col(f"_{i}").alias("mention_count"))
                           for i, t in enumerate(themes)])
-    return (sums.select("value_tier", F.explode(per_theme).alias("x"), F.col("negative_review_count").cast("long"))
+    return (sums.select("value_tier", F.explode(per_theme).alias("x"), "negative_review_count")
             .select("value_tier", "x.*", "negative_review_count")
             .orderBy("value_tier", F.col("mention_count").desc(), "complaint_theme"))

@@ -17,7 +17,7 @@ from basketlens.operators import (audit, churn, clean, cohorts, facts, ranking,
                                  sentiment, themes)
 from basketlens.plans import extracts
 from basketlens.plans.model import Model
-from basketlens.schemas import RAW_REVIEWS
+from basketlens.schemas import RAW_ORDER_ITEMS, RAW_REVIEWS
 from basketlens.session import ensure_checkpoint_dir
 from basketlens.sources import files
 from basketlens.sources import testdata as td
@@ -41,7 +41,25 @@ def q_read_raw(spark, d):
               F.lit(None).cast("timestamp_ntz").alias("review_answer_timestamp"))
      .write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(out))
-    return files.read_raw(spark, out, RAW_REVIEWS)
+    return files.read_raw(spark, out, RAW_REVIEWS, multi_line=True)
+
+
+def q_split_raw(spark, d):
+    """I1 with rejects: the items as raw lines, every price over 50 000 spelled out, every order line 7 cut short."""
+    items = td.raw_order_items(spark, d)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("order_id", "order_item_id", "product_id", "seller_id")]
+    price = F.when(F.col("price") > 50_000, F.lit("much")).otherwise(F.col("price").cast("string"))
+    line = F.when(F.col("order_item_id") == 7, F.concat_ws(",", *fields)).otherwise(
+        F.concat_ws(",", *fields, F.lit(""), price, F.col("freight_value").cast("string")))
+    out = _scratch(spark, "raw-items-csv")
+    # every file gets its header
+    (items.select(line.alias(",".join(f.name for f in RAW_ORDER_ITEMS.fields)))
+     .write.option("header", True).option("quote", "").option("sep", "\t").csv(out))
+    good, rejects = files.split_raw(spark, out, RAW_ORDER_ITEMS, _scratch(spark, "items-split"))
+    return (good.agg(F.lit("good").alias("kind"), F.count(F.lit(1)).alias("row_count"), F.sum("price").cast("decimal(28,2)").alias("price"))
+            .unionByName(rejects.groupBy(F.when(F.try_element_at(F.split("line", ","), F.lit(6)) == "much", F.lit("spelled out"))
+                                         .otherwise(F.lit("cut short")).alias("kind"))
+                         .agg(F.count(F.lit(1)).alias("row_count"), F.lit(None).cast("decimal(28,2)").alias("price"))))
 
 
 def q_write_table(spark, d):
@@ -72,16 +90,26 @@ def q_products_clean(spark, d):
     return Model.from_testdata(spark, d).products
 
 
-def q_row_counts(spark, d):
+def _modelled_tables(spark, d) -> dict[str, DataFrame]:
     m = Model.from_testdata(spark, d)
     orders_sql = clean.orders_clean(m.raw_orders, m.customers, m.raw_items, how="inner")
-    return audit.row_counts({
+    return {
         "customers": clean.customers_dim(m.customers, m.raw_orders),
         "products": clean.products_clean(m.raw_products, m.raw_translations, flavour="sql"),
         "orders": orders_sql,
         "order_items": clean.items_valid(m.raw_items, orders_sql, m.products),
         "order_reviews": clean.reviews_dedup(m.raw_reviews, orders_sql),
-    })
+    }
+
+
+def q_row_counts(spark, d):
+    return audit.row_counts(_modelled_tables(spark, d))
+
+
+def q_row_counts_written(spark, d):
+    """I5 while the tables are written: counts observed by the writing jobs."""
+    counts = files.write_observed(_modelled_tables(spark, d), _scratch(spark, "modelled"))
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
 
 
 def q_key_audit(spark, d):
@@ -135,6 +163,21 @@ def q_customer_metrics(spark, d):
     return rfm.customer_metrics(Model.from_testdata(spark, d).orders)
 
 
+def _stored_by_person(spark, d) -> Model:
+    name = f"orders_by_person_{uuid.uuid4().hex}"
+    return Model.from_testdata(spark, d).with_stored_orders(name, _scratch(spark, name), buckets=8)
+
+
+def q_customer_metrics_stored(spark, d):
+    """R1 over orders stored by person."""
+    return rfm.customer_metrics(_stored_by_person(spark, d).orders)
+
+
+def q_return_windows_stored(spark, d):
+    """V2 over orders stored by person."""
+    return revenue.return_windows(_stored_by_person(spark, d).orders)
+
+
 def q_quintile_qcut(spark, d):
     mm = rfm.customer_metrics(Model.from_testdata(spark, d).orders)
     s = ranking.quantile_scores(mm, rfm._rfm_specs(), "customer_unique_id", method="qcut")
@@ -192,18 +235,18 @@ def q_cohort_revenue_retention_sql(spark, d):
     return cohorts.cohort_revenue_retention_sql(Model.from_testdata(spark, d).orders)
 
 
-#: Month offsets of the matrices (eight years); an order beyond them is an error.
+#: Month offsets shown as columns of the matrices (eight years), so that their columns do not depend on the data.
 MATRIX_OFFSETS = list(range(96))
 #: Customers a state needs for its rates (the reference takes 100 of its larger data).
 STATE_MINIMUM = 50
 
 
 def q_cohort_retention_matrix(spark, d):
-    return cohorts.cohort_retention_matrix(Model.from_testdata(spark, d).orders, MATRIX_OFFSETS)
+    return cohorts.matrix_columns(cohorts.cohort_retention_matrix(Model.from_testdata(spark, d).orders), MATRIX_OFFSETS)
 
 
 def q_cohort_revenue_matrix(spark, d):
-    return cohorts.cohort_revenue_matrix(Model.from_testdata(spark, d).orders, MATRIX_OFFSETS)
+    return cohorts.matrix_columns(cohorts.cohort_revenue_matrix(Model.from_testdata(spark, d).orders), MATRIX_OFFSETS)
 
 
 # ---------- H. churn ----------
@@ -275,17 +318,16 @@ def q_monthly_revenue(spark, d):
 
 # ---------- T. sentiment ----------
 
-def _scored_reviews(spark, d, m: Model | None = None) -> DataFrame:
+def _scored_reviews(spark, d, m: Model | None = None, word_lists: dict | None = None) -> DataFrame:
     m = m or Model.from_testdata(spark, d)
-    r = facts.reviews_with_customer(m.raw_reviews, m.orders)
-    scored = sentiment.lexicon_polarity(r, lexicon_frame(spark), DEMO_NEGATORS, DEMO_BOOSTERS)
-    return sentiment.label_reviews(scored)
+    return m.labeled_reviews(lexicon_frame(spark), DEMO_NEGATORS, DEMO_BOOSTERS, word_lists)
 
 
 def q_lexicon_polarity(spark, d):
-    r = td.raw_reviews(spark, d)
-    s = sentiment.lexicon_polarity(r, lexicon_frame(spark), DEMO_NEGATORS, DEMO_BOOSTERS)
-    return s.select("review_id", "polarity")
+    def scored(texts):
+        return sentiment.lexicon_polarity(texts, lexicon_frame(spark), DEMO_NEGATORS, DEMO_BOOSTERS).drop("review_comment_message")
+
+    return td.raw_reviews(spark, d, scored).select("review_id", "polarity")
 
 
 def q_label_reviews(spark, d):
@@ -313,7 +355,7 @@ def q_negative_review_themes(spark, d):
 
 def q_negative_review_themes_wordlist(spark, d):
     m = Model.from_testdata(spark, d)
-    return themes.negative_review_themes(_scored_reviews(spark, d, m), m.rfm, themes=DEMO_THEMES)
+    return themes.negative_review_themes(_scored_reviews(spark, d, m, DEMO_THEMES), m.rfm, themes=DEMO_THEMES)
 
 
 def q_sentiment_distribution(spark, d):
@@ -384,6 +426,10 @@ def q_sales_by_category_month(spark, d):
     return extracts.sales_by_category_month(Model.from_testdata(spark, d).sales_fact)
 
 
+def q_sales_by_category_month_totals(spark, d):
+    return facts.sales_by_category_month_totals(Model.from_testdata(spark, d).sales_fact)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from basketlens.operators import churn, cohorts, facts, rfm, sentiment, themes
+from basketlens.operators import churn, cohorts, rfm, sentiment, themes
 from basketlens.plans.model import Model
+from basketlens.session import reliable_checkpoint
 from basketlens.sources.files import write_extract, write_table
 
 
-def outputs(model: Model, lexicon: DataFrame, offsets: list[int], negators: list[str] = (),
-            boosters: list[str] = ()) -> dict[str, tuple[DataFrame, bool]]:
+def outputs(model: Model, lexicon: DataFrame, negators: list[str] = (), boosters: list[str] = ()) -> dict[str, tuple[DataFrame, bool]]:
     """Every output by name: its rows, and whether they are few (months, tiers, states: one CSV file)."""
-    scored = sentiment.lexicon_polarity(facts.reviews_with_customer(model.raw_reviews, model.orders), lexicon,
-                                        negators, boosters)
-    labeled = sentiment.label_reviews(scored)
+    # scored once: four outputs read these text-free rows
+    labeled = reliable_checkpoint(model.labeled_reviews(lexicon, negators, boosters))
     people = sentiment.customer_sentiment_rfm(sentiment.customer_sentiment(labeled), model.rfm)
     return {
         "customers_clean": (model.customers_clean, False),
@@ -25,8 +24,8 @@ def outputs(model: Model, lexicon: DataFrame, offsets: list[int], negators: list
         "rfm_segmentation": (model.rfm, False),
         "segment_summary": (rfm.segment_summary(model.rfm), True),
         "cohort_retention_long": (cohorts.cohort_retention_long(model.orders), True),
-        "cohort_retention_matrix": (cohorts.cohort_retention_matrix(model.orders, offsets), True),
-        "cohort_revenue_retention_matrix": (cohorts.cohort_revenue_matrix(model.orders, offsets), True),
+        "cohort_retention_matrix": (cohorts.matrix_columns(cohorts.cohort_retention_matrix(model.orders)), True),
+        "cohort_revenue_retention_matrix": (cohorts.matrix_columns(cohorts.cohort_revenue_matrix(model.orders)), True),
         "customer_churn_clv": (model.churn, False),
         "churn_by_segment": (churn.churn_by_segment(model.churn), True),
         "churn_by_region": (churn.churn_by_region(model.churn), True),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import pct
@@ -70,10 +70,21 @@ def churn_dashboard(churn_table: DataFrame, orders: DataFrame, churn_days: int =
     return seg.unionByName(reg).unionByName(trend)
 
 
-def rfm_scatter_bins(rfm: DataFrame, monetary_bin: int = 50) -> DataFrame:
-    """Frequency x monetary bin x tier counts (keeps the scatter extract small)."""
-    b = (F.floor(F.col("monetary") / monetary_bin) * monetary_bin).cast("long")
-    return (rfm.groupBy("frequency", b.alias("monetary_bin"), "value_tier")
+def rfm_scatter_bins(rfm: DataFrame, bins: int = 16) -> DataFrame:
+    """Customers by frequency bin, monetary bin and tier (keeps the scatter extract small).
+
+    A bin is named by its least value.  Each axis has at most ``bins`` bins of about as many
+    customers each, so the extract has at most ``bins`` x ``bins`` rows a tier at any size.
+    The edges come from a mergeable quantile summary (exact up to some ten thousand customers,
+    ranks off by at most 1 in 10 000 of them beyond).
+    """
+    edges = rfm.agg(*[F.percentile_approx(c, [k / bins for k in range(bins)], 10_000).alias(c) for c in ("frequency", "monetary")])
+
+    def least(c: str) -> Column:
+        at = edges.select(c).scalar()
+        return F.greatest(*[F.when(F.col(c) >= at[k], at[k]) for k in range(bins)])
+
+    return (rfm.groupBy(least("frequency").alias("frequency_bin"), least("monetary").alias("monetary_bin"), "value_tier")
             .agg(F.count(F.lit(1)).alias("customers")))
 
 

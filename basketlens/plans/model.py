@@ -7,12 +7,13 @@ re-ranking.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.operators import churn, clean, rfm as rfm_ops
+from basketlens.operators import churn, clean, facts, rfm as rfm_ops, sentiment, themes as theme_ops
 from basketlens.schemas import RAW_SCHEMAS
 from basketlens.sources import files, testdata as td
 
@@ -30,6 +31,8 @@ class Model:
     raw_reviews: DataFrame
     persons: DataFrame            # SQL-flavour customer dimension (one row per person)
     churn_days: int = churn.CHURN_DAYS
+    #: The reviews with a function of their texts applied where these are read (default: to ``raw_reviews``).
+    prepared_reviews: Callable[[Callable[[DataFrame], DataFrame]], DataFrame] | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Model":
@@ -40,7 +43,8 @@ class Model:
                    raw_products=td.raw_products(spark, sf_dir),
                    raw_translations=td.translations(spark),
                    raw_reviews=td.raw_reviews(spark, sf_dir),
-                   persons=td.raw_persons(spark, sf_dir))
+                   persons=td.raw_persons(spark, sf_dir),
+                   prepared_reviews=lambda prepared: td.raw_reviews(spark, sf_dir, prepared))
 
     @classmethod
     def from_raw(cls, spark: SparkSession, folder: str, names: dict[str, str] | None = None) -> "Model":
@@ -80,3 +84,26 @@ class Model:
     @cached_property
     def sales_fact(self) -> DataFrame:
         return clean.sales_fact(self.raw_orders, self.customers, self.raw_items, self.products)
+
+    def labeled_reviews(self, lexicon: DataFrame, negators: list[str] = (), boosters: list[str] = (),
+                        themes: dict[str, list[str]] | None = None) -> DataFrame:
+        """T1, T2 and the theme counts of T5, with the customer keys of I3.
+
+        All that is wanted of a text is found where it is read; no text is in
+        the result or in a shuffle on the way to it.
+        """
+        def found(texts: DataFrame) -> DataFrame:
+            scored = sentiment.lexicon_polarity(texts, lexicon, negators, boosters)
+            return theme_ops.theme_mentions(scored, themes).drop("review_comment_message")
+
+        reviews = self.prepared_reviews(found) if self.prepared_reviews else found(self.raw_reviews)
+        return facts.reviews_with_customer(sentiment.label_reviews(reviews), self.orders, (
+            "review_id", "order_id", "review_score", "polarity", "has_comment", "sentiment_label", theme_ops.MENTIONS))
+
+    def with_stored_orders(self, table: str, path: str, buckets: int) -> "Model":
+        """The same model over orders stored by person (I14): analyses by person then shuffle no orders."""
+        stored = files.write_bucketed(self.orders, table, path, "customer_unique_id", "order_id", buckets,
+                                      sort_by=("order_purchase_timestamp",))
+        model = replace(self)
+        model.__dict__["orders"] = stored
+        return model

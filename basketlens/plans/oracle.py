@@ -334,6 +334,9 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "standardize_customers": q("SELECT * FROM c_std"),
     "reviews_with_customer": q("SELECT * FROM rwc"),
     "products_clean": q("SELECT * FROM p_clean"),
+    "split_raw": q("""
+, k AS (SELECT *, CASE WHEN order_item_id = 7 THEN 'cut short' WHEN price > 50000 THEN 'spelled out' ELSE 'good' END AS kind FROM i_raw)
+SELECT kind, count(*) AS row_count, CAST(sum(CASE WHEN kind = 'good' THEN price END) AS DECIMAL(28,2)) AS price FROM k GROUP BY kind"""),
     "row_counts": q("""
 , o_sql AS (SELECT o.order_id FROM o_raw o JOIN c_std c ON o.customer_id = c.customer_id),
 p_sql AS (SELECT product_id FROM p_raw)
@@ -611,8 +614,10 @@ SELECT 'month', CAST(CAST(date_trunc('month', me) AS DATE) AS VARCHAR), known_cu
        coalesce({pct('churned_customers', 'known_customers')}, 0.0), NULL
 FROM snap"""),
     "rfm_scatter_bins": q("""
-SELECT frequency, CAST(floor(monetary / 50) * 50 AS BIGINT) AS monetary_bin, value_tier, count(*) AS customers
-FROM rfm GROUP BY frequency, CAST(floor(monetary / 50) * 50 AS BIGINT), value_tier"""),
+, e AS (SELECT quantile_disc(frequency, [k / 16.0 for k in range(16)]) AS f, quantile_disc(monetary, [k / 16.0 for k in range(16)]) AS m FROM rfm),
+b AS (SELECT list_max(list_filter(e.f, x -> x <= frequency)) AS frequency_bin, list_max(list_filter(e.m, x -> x <= monetary)) AS monetary_bin,
+             value_tier FROM rfm CROSS JOIN e)
+SELECT frequency_bin, monetary_bin, value_tier, count(*) AS customers FROM b GROUP BY ALL"""),
     "vip_customers": q("""
 SELECT customer_unique_id, customer_state, customer_city, frequency, monetary, recency_days FROM rfm WHERE value_tier = 'VIP'"""),
     "churned_revenue_by_state": q("""
@@ -648,6 +653,14 @@ FROM rfm WHERE value_tier IN ('VIP', 'Loyal', 'At Risk', 'Lost')"""),
 SELECT product_category_english, order_month, CAST(sum(price) AS DECIMAL(28,2)) AS item_revenue,
        CAST(sum(line_revenue) AS DECIMAL(28,2)) AS line_revenue, count(*) AS items_sold, count(DISTINCT order_id) AS orders_count
 FROM sf GROUP BY product_category_english, order_month"""),
+    "sales_by_category_month_totals": q("""
+, sf AS (SELECT d.order_id, i.price, CAST(i.price + i.freight_value AS DECIMAL(28,2)) AS line_revenue,
+                p.product_category_english, CAST(date_trunc('month', d.order_purchase_timestamp) AS DATE) AS order_month
+         FROM o_raw d JOIN i_raw i ON d.order_id = i.order_id LEFT JOIN p_clean p ON i.product_id = p.product_id
+         WHERE d.order_status = 'delivered')
+SELECT product_category_english, order_month, CAST(grouping_id(product_category_english, order_month) AS INTEGER) AS level, CAST(sum(price) AS DECIMAL(28,2)) AS item_revenue,
+       CAST(sum(line_revenue) AS DECIMAL(28,2)) AS line_revenue, count(*) AS items_sold, count(DISTINCT order_id) AS orders_count
+FROM sf GROUP BY ROLLUP (product_category_english, order_month)"""),
 })
 
 
@@ -684,3 +697,6 @@ ORACLE_SQL["top_customers"] = (ORACLE_SQL["top_customers"]
                                         "CAST(dense_rank() OVER (PARTITION BY customer_state ORDER BY total_revenue DESC) AS INTEGER) AS state_revenue_rank"))
 
 ORACLE_SQL["write_extract"] = ORACLE_SQL["monthly_revenue"]   # the CSV round trip of the months
+ORACLE_SQL["customer_metrics_stored"] = ORACLE_SQL["customer_metrics"]
+ORACLE_SQL["return_windows_stored"] = ORACLE_SQL["return_windows"]
+ORACLE_SQL["row_counts_written"] = ORACLE_SQL["row_counts"]

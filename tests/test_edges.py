@@ -1,6 +1,8 @@
 """Hand-written edge fixtures (FIXTURES.md section 5), checked against brute force."""
 
+import random
 import re
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -26,7 +28,7 @@ def test_read_raw_csv_quirks(spark, tmp_path):
             'o1,1,"p,1",s1,2018-01-02 10:00:00,10.50,1.20\r\n'
             'o2,2,"p ""2""\nline",,,,0.00\r\n')
     path.write_bytes(body.encode("utf-8"))
-    rows = files.read_raw(spark, str(path), RAW_ORDER_ITEMS).orderBy("order_id").collect()
+    rows = files.read_raw(spark, str(path), RAW_ORDER_ITEMS, multi_line=True).orderBy("order_id").collect()
     assert rows[0].order_id == "o1" and rows[0].product_id == "p,1"
     assert rows[0].shipping_limit_date == datetime(2018, 1, 2, 10)
     assert rows[0].price == Decimal("10.50")
@@ -34,6 +36,27 @@ def test_read_raw_csv_quirks(spark, tmp_path):
     assert rows[1].seller_id is None and rows[1].price is None and rows[1].freight_value == Decimal("0.00")
 
 
+def test_split_raw_good_rows_and_rejects_are_all_lines(spark, tmp_path):
+    head = ",".join(f.name for f in RAW_ORDER_ITEMS.fields)
+    (tmp_path / "in").mkdir()
+    good = ['o1,1,"p,1",s1,2018-01-02 10:00:00,10.50,1.20', "o2,2,,,,,", "o3,3,p,s,,0.00,"]
+    bad = ["o4,x,p,s,,1.00,1.00", "o5,1,p,s,2018-13-45 10:00:00,1.00,1.00", "o6,1,p", "o7,1,p,s,,1.00,1.00,9", "o8,1,p,s,,ten,1.00"]
+    for k, lines in enumerate([good[:2] + bad[:3], bad[3:] + good[2:]]):
+        (tmp_path / "in" / f"f{k}.csv").write_text("\n".join([head, *lines]) + "\n")
+    rows, rejects = files.split_raw(spark, str(tmp_path / "in"), RAW_ORDER_ITEMS, str(tmp_path / "out"))
+    assert rows.schema.names == RAW_ORDER_ITEMS.names and sorted(r.order_id for r in rows.collect()) == ["o1", "o2", "o3"]
+    got = rejects.collect()
+    assert sorted(r.line for r in got) == sorted(bad)
+    assert {r.file.rsplit("/", 1)[1] for r in got} == {"f0.csv", "f1.csv"}
+
+
+def test_split_raw_with_newlines_in_fields(spark, tmp_path):
+    path = tmp_path / "items.csv"
+    path.write_text(",".join(f.name for f in RAW_ORDER_ITEMS.fields) + '\no1,1,"a\nb",s,,1.00,\no2,1,p,s,,bad,\n')
+    rows, rejects = files.split_raw(spark, str(path), RAW_ORDER_ITEMS, str(tmp_path / "out"), multi_line=True)
+    assert [r.product_id for r in rows.collect()] == ["a\nb"] and [r.line.strip() for r in rejects.collect()] == ["o2,1,p,s,,bad,"]
+
+
 def test_write_extract_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     files.write_extract(df, str(tmp_path / "x"), single_file=True)
@@ -228,9 +251,47 @@ def test_theme_counts_equal_regex(spark):
         assert got[theme] == (exp, 3)
 
 
-def test_theme_rejects_phrases(spark):
+def test_theme_phrases_equal_regex(spark):
+    """Keywords of several words, with signs, overlapping each other and themselves, and of no word character."""
+    words = {"late": ["came late", "late late", "late", "very  late", "late-night"], "odd": ["c++", ".net", "50%", "a.b", "é", "-", "¿por qué"],
+             "none": ["absent phrase"]}
+    texts = ["it came late, came  late; came late-night late late late", "c++ and c++x, x.net .net 50% 150% a.b aab a.b.",
+             "é né é_ ré é, ¿por qué? x¿por qué", "came\nlate", "", None, "very  late very late a - b a-b --", "latecame late_ late9 ²late"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "review_id long, review_comment_message string")
+    got = {r.review_id: r.theme_mentions for r in themes.theme_mentions(df, words).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == [sum(len(re.findall(rf"\b{re.escape(w)}\b", t or "")) for w in ws) for ws in words.values()], t
+    with pytest.raises(ValueError):
+        themes.theme_mentions(df, {"x": [""]})
+
+
+def test_polarity_against_a_token_loop(spark):
+    """A larger lexicon (several tokens a slot), repeated ids, tokens of all languages, distances one to three."""
+    rng = random.Random(3)
+    entries = {f"w{i}": Decimal(rng.randint(-40, 40)) / 10 for i in range(300)} | {"é": Decimal("1.5"), "b\"'\\": Decimal(2)}
+    lex = spark.createDataFrame([(t, str(v)) for t, v in entries.items()] + [("twice", "1.0"), ("twice", "0.5"), (None, "1.0")],
+                                "token string, valence string").selectExpr("token", "cast(valence as decimal(10,4)) valence")
+    entries["twice"] = Decimal("1.5")
+    neg, boo, pool = ["not", "no"], ["very", "so"], [*entries, "not", "no", "very", "so", "plain", "x1"]
+    texts = [" ".join(rng.choice(pool) + rng.choice(["", ",", "!"]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "review_id long, review_comment_message string")
+    want = Counter()
+    for i, text in enumerate(texts):
+        toks = [t for t in re.split(r"[^\w]+", text.strip().lower()) if t]
+        s = Decimal(0)
+        for k, t in enumerate(toks):
+            if (v := entries.get(t)) is None:
+                continue
+            before = [toks[k - d] if k >= d else None for d in (1, 2, 3)]
+            boost = sum(Decimal(str(w)) * Decimal("0.293") for b, w in zip(before, (1.0, 0.95, 0.9)) if b in boo)
+            v += (v > 0) * boost - (v < 0) * boost
+            s += v * (Decimal("-0.74") if set(before) & set(neg) else 1)
+        want[i // 2, round(float(s) / (float(s) ** 2 + 15) ** 0.5, 4) + 0.0] += 1
+    assert Counter((r.review_id, r.polarity) for r in sentiment.lexicon_polarity(df, lex, neg, boo).collect()) == want
     with pytest.raises(ValueError):
-        themes.theme_table(spark, {"x": ["two words"]})
+        sentiment.lexicon_polarity(df, lex, lexicon_limit=10)
+    none = sentiment.lexicon_polarity(df, lex.limit(0)).collect()
+    assert len(none) == 200 and {r.polarity for r in none} == {0.0}
 
 
 def test_as_of_modes_latest_order_not_delivered(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import money_mean, money_mean_dec, money_pct
 from basketlens.operators import clean, cohorts
+from basketlens.operators.skew import all_salts, heavy_values
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,17 +45,51 @@ def _orders(spark, n=400):
         .alias("order_purchase_timestamp"), F.lit(10).cast("decimal(28,2)").alias("order_revenue"))
 
 
-def test_matrix_refuses_offsets_outside_its_list(spark):
-    assert len(cohorts.cohort_retention_matrix(_orders(spark), list(range(12))).columns) == 13
-    with pytest.raises(Exception, match="outside the matrix"):
-        cohorts.cohort_retention_matrix(_orders(spark), [0, 1]).collect()
+def test_matrices_are_as_wide_as_the_data(spark):
+    """Order months up to six after the first; a late order widens the map and the sink's columns, and is no error."""
+    orders = _orders(spark)
+    late = orders.limit(1).withColumn("order_id", F.lit(9999).cast("long")).withColumn(
+        "order_purchase_timestamp", F.lit("2035-03-01 00:00:00").cast("timestamp_ntz"))
+    for matrix in (cohorts.cohort_retention_matrix, cohorts.cohort_revenue_matrix):
+        narrow, wide = matrix(orders), matrix(orders.unionByName(late))
+        assert cohorts.observed_offsets(narrow) == list(range(7))
+        assert cohorts.observed_offsets(wide)[-1] > 150
+        table = cohorts.matrix_columns(wide)
+        assert table.columns == ["cohort_month", *map(str, cohorts.observed_offsets(wide))]
+        cells = {(r.cohort_month, r.months_since_first_purchase): (r.retention_pct, r.revenue_retention_pct)
+                 for r in cohorts.cohort_retention_long(orders.unionByName(late)).collect()}
+        pick = 0 if matrix is cohorts.cohort_retention_matrix else 1
+        for r in table.collect():
+            assert all(r[str(o)] == cells.get((r.cohort_month, o), (0.0, 0.0))[pick] for o in cohorts.observed_offsets(wide))
 
 
 def test_hot_person_is_split(spark):
-    """A person with half of all orders is dealt to several groups of the join, and no order is lost."""
-    got = cohorts.cohort_assign(_orders(spark))
-    assert got.count() == 400
-    assert "_salt" in got._jdf.queryExecution().toString()
+    """A person with half of all orders is dealt to several groups, no order is lost, and no other person is repeated."""
+    orders = _orders(spark, 4000)
+    assert orders.select(heavy_values(orders, "customer_unique_id").alias("h")).first().h == [7]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        got = cohorts.cohort_assign(orders)
+        parts = {(r.p, r.hot): r.n for r in got.groupBy(F.spark_partition_id().alias("p"), (F.col("customer_unique_id") == 7).alias("hot"))
+                 .agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
+        spark.conf.set("spark.sql.adaptive.enabled", old[1])
+    hot = [n for (_, is_hot), n in parts.items() if is_hot]
+    assert sum(parts.values()) == 4000 and sum(hot) == 2001 and len(hot) >= 3 and max(hot) < 1000
+    heavy = heavy_values(orders, "customer_unique_id")
+    people = orders.select("customer_unique_id").distinct()
+    repeated = people.select("customer_unique_id", F.explode(all_salts(heavy, "customer_unique_id", 16)).alias("s"))
+    assert repeated.count() == people.count() + 15
+
+
+def test_heavy_values_of_strings_nulls_and_nothing(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "often").when(F.col("id") % 3 == 1, None)
+                                    .otherwise(F.col("id").cast("string")).alias("k"))
+    assert rows.select(heavy_values(rows, "k").alias("h")).first().h == ["often"]
+    assert not (spark.range(1).select(heavy_values(rows.limit(0), "k").alias("h")).first().h or [])
 
 
 def test_no_jobs_while_plans_are_built(spark):
@@ -64,7 +99,7 @@ def test_no_jobs_while_plans_are_built(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "plans only")
     try:
-        m.orders, m.customers, churn.churn_trend(m.orders), cohorts.cohort_retention_matrix(m.orders, list(range(96)))
+        m.orders, m.customers, churn.churn_trend(m.orders), cohorts.cohort_retention_matrix(m.orders)
         assert list(tracker.getJobIdsForGroup("building")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -41,7 +41,7 @@ def written(spark, tmp_path_factory):
             w.writerow(RAW_SCHEMAS[table].names)
             w.writerows(rows)
     model = Model.from_raw(spark, str(raw))
-    frames = export.outputs(model, lexicon_frame(spark, [("good", 2.0), ("bad", -2.0)]), list(range(12)))
+    frames = export.outputs(model, lexicon_frame(spark, [("good", 2.0), ("bad", -2.0)]))
     export.write_outputs(frames, out)
     return model, frames, out
 

@@ -38,6 +38,17 @@ def test_text_jobs_stay_in_the_jvm(spark):
         assert "ArrowEvalPython" not in p and "PythonUDF" not in p
 
 
+@pytest.mark.parametrize("name", ["lexicon_polarity", "label_reviews", "customer_sentiment_rfm", "negative_review_themes"])
+def test_texts_are_read_once_and_never_shuffled(spark, name):
+    """One scan reads the texts; no exchange has a text column."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    p = QUERIES[name](spark, SF)._jdf.queryExecution().explainString(mode)
+    scans = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", p) if re.search(r"\btext:string", s)]
+    assert len(scans) == 1
+    exchanged = re.findall(r"\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[([^\]]*)\]", p)
+    assert exchanged and not any(re.search(r"\b(text|review_comment_message|_toks)#", e) for e in exchanged)
+
+
 def test_scans_are_pruned(spark):
     p = plan(spark, "monthly_revenue")
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
@@ -45,9 +56,19 @@ def test_scans_are_pruned(spark):
     assert li and all("l_comment" not in s and "l_shipdate" not in s for s in li)
 
 
-def test_rank_window_only_over_partition_counts(spark):
-    """Every window in the RFM plan runs over the per-partition counts (one row per partition)."""
-    p = plan(spark, "rfm_segmentation")
-    windows = [line for line in p.split("\n") if "Window [" in line]
-    assert windows
-    assert all("_cnt" in w for w in windows)
+def test_quintiles_move_no_rows(spark):
+    """Scores compare rows with the selected pairs: no window, no range shuffle, no join of the ranks."""
+    p = plan(spark, "quintile_qcut")
+    assert "Window" not in p and "rangepartitioning" not in p and "Join" not in p and "Exchange" not in p
+
+
+def test_orders_stored_by_person_are_not_shuffled(spark):
+    for name in ("customer_metrics_stored", "return_windows_stored"):
+        assert "hashpartitioning(customer_unique_id" not in plan(spark, name)
+    assert "hashpartitioning(customer_unique_id" in plan(spark, "customer_metrics")
+
+
+def test_key_audit_reads_each_table_once(spark):
+    p = plan(spark, "key_audit")
+    for column in ("l_linenumber", "p_partkey"):
+        assert len([s for s in re.findall(r"ReadSchema: struct<([^>]*)>", p) if column in s]) == 1

@@ -1,12 +1,17 @@
 """Exact distributed ranks: permutation, qcut equal to pandas, NTILE sizes."""
 
+import random
+from collections import Counter
+from decimal import Decimal
+
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from basketlens.operators import ranking
+from basketlens.operators import ranking, selection
+from basketlens.plans import extracts
 
 
 def _frame(spark, values):
@@ -65,3 +70,48 @@ def test_scores_with_nulls_and_ties_match_the_sorted_list(spark, method, descend
     by_value = scores(lambda i: ((values[i] is None) == descending, (values[i] or 0) * (-1 if descending else 1), i))
     by_id = scores(lambda i: i)
     assert got == {i: (by_value[i], by_id[i]) for i in range(47)}
+
+
+def _sorted_pairs(rows, descending):
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] if r[1] is not None else ""))
+    order.sort(key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0), reverse=descending)
+    return order
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind,make", [
+    ("long", lambda r: r.choice([r.randint(-2**62, 2**62), 5, 5, None])), ("int", lambda r: r.randint(0, 3)),
+    ("decimal(28,2)", lambda r: Decimal(r.choice([r.randint(-10**9, 10**9), 10**20 + r.randint(0, 3), 7])) / 100),
+    ("double", lambda r: r.choice([r.gauss(0, 1e-9), r.gauss(0, 1e9), 0.5, 0.5, None]))])
+def test_selected_pairs_equal_the_sorted_list(spark, monkeypatch, kind, make, descending):
+    """Ranks found through several passes of coarse histograms, in values and then in ids of one value."""
+    monkeypatch.setattr(selection, "BINS", 4)
+    monkeypatch.setattr(selection, "READ_OUT", 3)
+    rng = random.Random(kind)
+    ids = [f"{'ab'[k % 2]}{k * 7919 % 1000:04x}-{'é' * (k % 3)}" for k in range(300)] + [None]
+    rows = [(make(rng), i) for i in ids]
+    df = spark.createDataFrame(rows, f"v {kind}, id string").cache()
+    ranks = [1, 2, 61, 150, 151, 299, 301, 302, 0]
+    got, same = selection.select_ranks(df, [(F.col("v"), descending), (F.lit(1), False)], "id", [ranks, [150]])
+    order = _sorted_pairs(rows, descending)
+    assert got == [order[r - 1] if 1 <= r <= 301 else (None, None) for r in ranks]
+    assert same == [(1, _sorted_pairs([(1, i) for i in ids], False)[149][1])]
+
+
+def test_selected_pairs_by_number_ids_in_few_passes(spark):
+    """One value shared by all rows: ids are cut by histograms, not read out."""
+    df = spark.range(50_000).select((F.col("id") * 3 - 70_000).alias("id"), F.lit(2).alias("v"))
+    assert selection.select_ranks(df, [(F.col("v"), True)], "id", [[1, 12_345, 50_000]]) == [
+        [(2, -70_000), (2, 3 * 12_344 - 70_000), (2, 3 * 49_999 - 70_000)]]
+
+
+def test_scatter_bins_are_bounded(spark):
+    rfm = spark.range(5000).select((F.col("id") * F.col("id") % 977).alias("frequency"),
+                                   (F.col("id") * 1.37).cast("decimal(28,2)").alias("monetary"),
+                                   F.when(F.col("id") % 2 == 0, "VIP").alias("value_tier"))
+    got = extracts.rfm_scatter_bins(rfm, bins=8).collect()
+    assert len(got) <= 8 * 8 * 2 and sum(r.customers for r in got) == 5000
+    per = Counter()
+    for r in got:
+        per[r.monetary_bin] += r.customers
+    assert len(per) == 8 and max(per.values()) - min(per.values()) <= 2
