@@ -8,7 +8,7 @@ re-ranking.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +33,7 @@ class Model:
     churn_days: int = churn.CHURN_DAYS
     #: The reviews with a function of their texts applied where these are read (default: to ``raw_reviews``).
     prepared_reviews: Callable[[Callable[[DataFrame], DataFrame]], DataFrame] | None = None
+    rejects: dict[str, DataFrame] = field(default_factory=dict)   # lines that did not fit, by raw table
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Model":
@@ -47,15 +48,26 @@ class Model:
                    prepared_reviews=lambda prepared: td.raw_reviews(spark, sf_dir, prepared))
 
     @classmethod
-    def from_raw(cls, spark: SparkSession, folder: str, names: dict[str, str] | None = None) -> "Model":
-        """The raw CSV files of ``folder``; ``names`` maps a table of ``RAW_SCHEMAS`` to its file (``<table>.csv``)."""
-        raw = {t: files.read_raw(spark, f"{folder.rstrip('/')}/{(names or {}).get(t, t + '.csv')}", schema,
-                                 multi_line=t in MULTI_LINE) for t, schema in RAW_SCHEMAS.items()}
+    def from_raw(cls, spark: SparkSession, folder: str, names: dict[str, str] | None = None,
+                 split_to: str | None = None) -> "Model":
+        """The raw CSV files of ``folder``; ``names`` maps a table of ``RAW_SCHEMAS`` to its file (``<table>.csv``).
+
+        With ``split_to`` every file is parsed once into that folder, good rows and rejected lines
+        apart; the model stands on the good rows and has the rejects by table in ``rejects``.
+        """
+        raw, rejects = {}, {}
+        for t, schema in RAW_SCHEMAS.items():
+            path = f"{folder.rstrip('/')}/{(names or {}).get(t, t + '.csv')}"
+            if split_to is None:
+                raw[t] = files.read_raw(spark, path, schema, multi_line=t in MULTI_LINE)
+            else:
+                raw[t], rejects[t] = files.split_raw(spark, path, schema, f"{split_to.rstrip('/')}/{t}",
+                                                     multi_line=t in MULTI_LINE)
         persons = clean.customers_dim(clean.standardize_customers(raw["customers"]), raw["orders"])
         return cls(spark=spark, raw_customers=raw["customers"], raw_orders=raw["orders"], raw_items=raw["order_items"],
                    raw_products=raw["products"], raw_translations=raw["translations"],
                    raw_reviews=raw["order_reviews"],
-                   persons=persons.where("customer_unique_id is not null"))
+                   persons=persons.where("customer_unique_id is not null"), rejects=rejects)
 
     @cached_property
     def customers(self) -> DataFrame:

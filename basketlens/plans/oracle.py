@@ -613,10 +613,10 @@ UNION ALL
 SELECT 'month', CAST(CAST(date_trunc('month', me) AS DATE) AS VARCHAR), known_customers, churned_customers,
        coalesce({pct('churned_customers', 'known_customers')}, 0.0), NULL
 FROM snap"""),
-    "rfm_scatter_bins": q("""
-, e AS (SELECT quantile_disc(frequency, [k / 16.0 for k in range(16)]) AS f, quantile_disc(monetary, [k / 16.0 for k in range(16)]) AS m FROM rfm),
-b AS (SELECT list_max(list_filter(e.f, x -> x <= frequency)) AS frequency_bin, list_max(list_filter(e.m, x -> x <= monetary)) AS monetary_bin,
-             value_tier FROM rfm CROSS JOIN e)
+    "rfm_scatter_bins": q(f"""
+, e AS (SELECT quantile_disc(frequency, {[k / 16 for k in range(16)]}) AS f, quantile_disc(monetary, {[k / 16 for k in range(16)]}) AS m FROM rfm),
+b AS (SELECT (SELECT max(x) FROM (SELECT unnest(e.f) AS x FROM e) WHERE x <= r.frequency) AS frequency_bin,
+             (SELECT max(x) FROM (SELECT unnest(e.m) AS x FROM e) WHERE x <= r.monetary) AS monetary_bin, value_tier FROM rfm r)
 SELECT frequency_bin, monetary_bin, value_tier, count(*) AS customers FROM b GROUP BY ALL"""),
     "vip_customers": q("""
 SELECT customer_unique_id, customer_state, customer_city, frequency, monetary, recency_days FROM rfm WHERE value_tier = 'VIP'"""),

@@ -2,13 +2,17 @@
 
 import csv
 import glob
+import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.functions.lexicon import lexicon_frame
 from basketlens.plans import export
 from basketlens.plans.model import Model
 from basketlens.schemas import RAW_SCHEMAS
+from basketlens.sources import files
 
 ORDERS = [(f"o{i}", f"c{i % 13}", "delivered" if i % 5 else "shipped", f"2018-{1 + i % 9:02d}-{1 + i % 27:02d} 0{i % 9}:15:00")
           for i in range(40)]
@@ -90,3 +94,41 @@ def test_sums_of_tiers_states_and_cohorts_agree(spark, written):
     first = cohorts.where("months_since_first_purchase = 0")
     assert first.agg({"active_customers": "sum"}).first()[0] == people
     assert cohorts.agg({"revenue": "sum"}).first()[0] == total("segment_summary", "revenue")
+
+
+def test_a_model_keeps_the_lines_that_do_not_fit(spark, tmp_path):
+    bad = {"orders": "o99,c1,delivered,yesterday,,,,", "order_items": "o1,one,x1,s1,,1.00,1.00", "customers": "c99,p1"}
+    for table, rows in ROWS.items():
+        with open(tmp_path / f"{table}.csv", "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f)
+            w.writerow(RAW_SCHEMAS[table].names)
+            w.writerows(rows)
+            f.write(bad[table] + "\r\n" if table in bad else "")
+    model = Model.from_raw(spark, str(tmp_path), split_to=str(tmp_path / "split"))
+    assert {t: [r.line for r in df.collect()] for t, df in model.rejects.items()} == {t: [bad[t]] if t in bad else [] for t in ROWS}
+    assert model.raw_orders.count() == len(ROWS["orders"]) and model.raw_customers.count() == len(ROWS["customers"])
+    assert model.raw_reviews.where("review_id = 'r1'").first().review_comment_message == 'a, "bad"\nline'
+    assert model.orders.count() == len(ROWS["orders"])
+
+
+def test_orders_stored_by_person(spark, tmp_path):
+    """One file a bucket but for the bucket of a person with half of all rows; the table serves another session's catalog too."""
+    orders = spark.range(3000).select(F.col("id").alias("order_id"),
+                                      F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("person"))
+    path = str(tmp_path / "t")
+    got = files.write_bucketed(orders, "stored_a", path, "person", "order_id", buckets=8, sort_by=("order_id",))
+    per_bucket = Counter(re.search(r"_(\d{5})\.c", f)[1] for f in glob.glob(f"{path}/part-*.parquet"))
+    assert sorted(got.collect()) == sorted(orders.collect()) and len(per_bucket) == 8
+    assert sorted(per_bucket.values())[-2] <= 2 < max(per_bucket.values())
+    again = files.attach_bucketed(spark, "stored_b", path, orders.schema, "person", 8, sort_by=("order_id",))
+    counted = again.groupBy("person").count()
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert {r.person: r["count"] for r in counted.collect()} == Counter(r.person for r in orders.collect())
+    for name in ("stored_a", "stored_b"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_counts_observed_while_tables_are_written(spark, tmp_path):
+    tables = {"a": spark.range(1000).repartition(7), "b": spark.range(5).where("id > 9")}
+    assert files.write_observed(tables, str(tmp_path)) == {"a": 1000, "b": 0}
+    assert spark.read.parquet(f"{tmp_path}/a").count() == 1000
