@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from basketlens.session import ensure_checkpoint_dir
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path below the session's checkpoint folder, which driver and executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -28,10 +31,15 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def written_at(df: DataFrame) -> tuple[DataFrame, str]:
-    """The same with the table's path, for ``removed``."""
-    path = shared_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    """The same with the table's path, for ``removed``; the shuffle files of its job go when it ends."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def removed(spark: SparkSession, path: str) -> None:

@@ -10,10 +10,10 @@ pieces.  Per length:
    piece.  Both sides are in the same order in the same row, so this moves
    nothing; two phrases of k words that start one word apart make one of k + 1;
 2. group-count: occurrences are counted per stretch, and the counts, not the
-   occurrences, are shuffled by phrase and added;
-3. semi-join: the same shuffled counts meet the frequent phrases, whose numbers
-   go back to the stretches that hold them; all other occurrences leave the
-   relation.
+   occurrences, are shuffled and sorted by phrase and added;
+3. semi-join: in that order each count meets its phrase's total; the rows of
+   frequent phrases go back, with the phrase's number, to the stretches they
+   came from, and all other occurrences leave the relation.
 
 Phrases are known by the exact pair of numbers of the two phrases they were
 joined from (words by language and spelling), never by a hash.
@@ -22,52 +22,52 @@ joined from (words by language and spelling), never by a hash.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import column, removed, written, written_at
+from .tokens import stretches
 
 STRETCH_BYTES = 8 << 20
 #: A place is a stretch's number and a local number in it: of 2**28 words at most, far more than a text can hold.
 LOCAL_BITS, SERIAL_BITS = 28, 14
 UNDETERMINED = "und"
-BREAK = b"\n"
+#: Fixed values of the contract: what ends a piece.
+PIECE_ENDS = r"[.,;:!?\n\x0b\x0c\r]"
 
 
-def _letters() -> bytes:
-    """Lower case for A-Z, a line feed for each character that ends a piece, a space for a tab."""
-    table = bytearray(range(256))
-    for c in range(65, 91):
-        table[c] = c + 32
-    for c in b".,;:!?\x0a\x0b\x0c\x0d":
-        table[c] = 10
-    table[9] = 32
-    return bytes(table)
-
-
-def word_places(langs: list, texts: list) -> tuple[np.ndarray, list, list, np.ndarray]:
+def word_places(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array, np.ndarray]:
     """Places of a stretch: local word number or -1 per slot; and language, spelling and count of each local word."""
-    letters = _letters()
-    words, sizes = [], []
-    for text in texts:
-        raw = text.encode("utf-8", "surrogatepass").translate(letters).replace(BREAK, b" \n ")
-        got = [w for w in raw.split(b" ") if w]
-        got.append(BREAK)  # a text ends its last piece
-        words += got
-        sizes.append(len(got))
-    flat = np.empty(len(words), object)
-    flat[:] = words
-    code, spelled = pd.factorize(flat)
-    lang, names = pd.factorize(np.array(langs, object))
-    key = np.repeat(lang, sizes).astype(np.int64) * max(1, len(spelled)) + code
-    at = np.flatnonzero(code != code[-1])  # the last slot is a break
-    distinct, local, n = np.unique(key[at], return_inverse=True, return_counts=True)
-    places = np.full(len(words), -1, np.int32)
+    lower = pc.replace_substring(pc.ascii_lower(texts), "\t", " ")
+    pieces = pc.replace_substring_regex(lower, PIECE_ENDS, " \n ")
+    slots = pc.split_pattern(pc.binary_join_element_wise(pieces, "\n", " "), " ")  # a text ends its last piece
+    coded = slots.flatten().dictionary_encode()
+    code, spelled = np.asarray(coded.indices), coded.dictionary
+    lang = langs.dictionary_encode()
+    of_slot = np.repeat(np.asarray(lang.indices), np.asarray(pc.list_value_length(slots)))
+    full = code != pc.index(spelled, "").as_py()
+    code, of_slot = code[full], of_slot[full]
+    at = np.flatnonzero(code != pc.index(spelled, "\n").as_py())
+    distinct, local, n = np.unique(of_slot[at].astype(np.int64) * len(spelled) + code[at], return_inverse=True,
+                                   return_counts=True)
+    places = np.full(len(code), -1, np.int32)
     places[at] = local
-    return (places, [names[k] for k in (distinct // max(1, len(spelled))).tolist()],
-            [spelled[k].decode("utf-8", "surrogatepass") for k in (distinct % max(1, len(spelled))).tolist()], n)
+    return (places, lang.dictionary.take(pa.array(distinct // len(spelled))),
+            spelled.take(pa.array(distinct % len(spelled))), n)
+
+
+def packed(places: np.ndarray) -> bytes:
+    """Places as compressed bytes: all first bytes of the numbers, then all second ones, and so on."""
+    planes = places.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(places).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], 4 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view("<i4").ravel()
 
 
 WORDS = pa.schema([("place", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()),
@@ -78,27 +78,26 @@ def _stretches(stretch_bytes: int):
     """The relation of single words: the places of each stretch, and a row for each of its words."""
     def run(batches):
         part, k = TaskContext.get().partitionId(), 0
-        held, size = ([], []), 0
+        held, size = [], 0
 
         def done():
-            places, langs, words, n = word_places(*held)
+            table = pa.Table.from_batches(held).combine_chunks()
+            places, langs, words, n = word_places(*(c.chunk(0) for c in table.columns))
             stretch = (part << SERIAL_BITS) + k
             local = (stretch << LOCAL_BITS) + np.arange(len(n))
-            yield pa.RecordBatch.from_arrays([pa.array(local), pa.array(langs, pa.string()), pa.array(words, pa.string()),
-                                              pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())],
-                                             schema=WORDS)
+            yield pa.RecordBatch.from_arrays([pa.array(local), langs, words, pa.array(n), pa.nulls(len(n), pa.int64()),
+                                              pa.nulls(len(n), pa.binary())], schema=WORDS)
             yield pa.RecordBatch.from_arrays([*[pa.nulls(1, f.type) for f in list(WORDS)[:4]], pa.array([stretch]),
-                                              pa.array([places.tobytes()], pa.binary())], schema=WORDS)
+                                              pa.array([packed(places)], pa.binary())], schema=WORDS)
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held[0].append(lang)
-                held[1].append(text)
-                size += len(text)
+            for first, last in stretches(batch.column(1), stretch_bytes):
+                held.append(batch.slice(first, last - first))
+                size += pc.sum(pc.binary_length(held[-1].column(1))).as_py()
                 if size >= stretch_bytes and k < (1 << SERIAL_BITS) - 1:
                     yield from done()
-                    held, size, k = ([], []), 0, k + 1
-        if held[0]:
+                    held, size, k = [], 0, k + 1
+        if held:
             yield from done()
     return run
 
@@ -124,15 +123,16 @@ def _extended(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     if not relation.num_rows or not frequent.num_rows:
         return ROWS.empty_table()
     stretch = relation.column("stretch")[0].as_py()
+    frequent = frequent.sort_by("number")  # rows in the order of both numbers take less room
     local = frequent.column("place").to_numpy() & ((1 << LOCAL_BITS) - 1)
-    longer, g, h, n = joined_places(np.frombuffer(relation.column("places")[0].as_py(), np.int32), local,
+    longer, g, h, n = joined_places(unpacked(relation.column("places")[0].as_py()), local,
                                     frequent.column("number").to_numpy())
     if not len(n):
         return ROWS.empty_table()
     phrases = [(stretch << LOCAL_BITS) + np.arange(len(n)), g, h, n]
     return pa.table([*[pa.chunked_array([pa.array(x, pa.int64()), pa.nulls(1, pa.int64())]) for x in phrases],
                      pa.chunked_array([pa.nulls(len(n), pa.int64()), pa.array([stretch], pa.int64())]),
-                     pa.chunked_array([pa.nulls(len(n), pa.binary()), pa.array([longer.tobytes()], pa.binary())])], schema=ROWS)
+                     pa.chunked_array([pa.nulls(len(n), pa.binary()), pa.array([packed(longer)], pa.binary())])], schema=ROWS)
 
 
 def frequent_phrases(df: DataFrame, least: int = 100, longest: int = 5,
@@ -153,13 +153,13 @@ def frequent_phrases(df: DataFrame, least: int = 100, longest: int = 5,
     total = written(relation.where("places is null").groupBy("lang").agg(F.sum("n").alias("words")))
     found, by = [], ["lang", "word"]
     for k in range(1, longest + 1):
-        # one shuffle by phrase serves the count and the semi-join
-        counts = relation.where("places is null").select("place", *by, "n").repartition(*by)
-        groups = (counts.groupBy(*by).agg(F.sum("n").alias("total"), F.min("place").alias("number"))
-                  .where(F.col("total") >= least))
+        # one shuffle and one sort by phrase give the counts of the groups and, merged with them, the rows that stay
+        group = Window.partitionBy(*by)
+        counts = (relation.where("places is null").select("place", *by, "n")
+                  .withColumn("total", F.sum("n").over(group)).withColumn("number", F.min("place").over(group)))
         own = F.col("place") == F.col("number")
-        kept, kept_at = written_at(counts.join(groups.hint("shuffle_hash"), by).select(
-            "place", "number", "n", *[F.when(own, F.col(c)).alias(c) for c in (*by, "total")]))
+        kept, kept_at = written_at(counts.where(F.col("total") >= least).select(
+            "place", "number", *[F.when(own, F.col(c)).alias(c) for c in (*by, "total")]))
         found.append(written(kept.where(own).select("number", *by, F.col("total").alias("n"))))
         if k < longest:
             frequent = kept.select(F.shiftright("place", LOCAL_BITS).alias("stretch"), "place", "number")

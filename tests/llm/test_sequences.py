@@ -35,6 +35,15 @@ def test_encoder_equals_plain_encoding_on_odd_texts():
         assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [x[:-1] for x in plain_ids(odd, 2)]
 
 
+def test_encoder_equals_plain_encoding_of_whole_texts(rows):
+    import pyarrow as pa
+    texts = [r["text"] for r in rows] + [
+        "It's a don't, we'll; x's. (a) 1,234.5! a\x1cb <|endoftext|> caf\u00e9... cafe\u0301, \u039f\u0394\u039f\u03a3 \u0130stanbul",
+        "\u212aelvin \u1112\u1161\u11ab \u00a0 a\u2003b\u0085c .. ?! \u00df\u1e9e a\u200db 'S 't"]
+    flat, bounds = tokens.Encoder(TOKENIZER).encode(pa.array(texts, pa.string()))
+    assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [x[:-1] for x in plain_ids(texts, 2)]
+
+
 def test_stretches_cover_all_texts():
     import pyarrow as pa
     texts = pa.array(["a" * n for n in (5, 0, 40, 1, 1, 1, 30)] + [None])
