@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (backoff, chat, decontaminate, extraction, language, neardup, packing, periods, phrases, quality, records,
                repeats, sharding)
 from .common import documents, read
 
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 TOKENIZER_FILE = "word_bpe_49k.json"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER_FILE)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
@@ -61,12 +63,7 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.retrieval_packing(documents(read(spark, sf_dir, "documents")), f"{TOKENIZERS}/{TOKENIZER_FILE}")
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path(TOKENIZER_FILE)
+    return packing.retrieval_packing(documents(read(spark, sf_dir, "documents")), tokenizer_path())
 
 
 def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,122 +1,29 @@
 """Lexical retrieval packing.
 
-Documents are tokenised and dealt by a hash of their id to shards of about
-``shard_tokens`` tokens.  A shard builds a BM25 inverted index of its
+Documents are tokenised and dealt by a hash to shards of about
+``shard_bytes`` of text.  A shard builds a BM25 inverted index of its
 documents (document frequencies come from the whole corpus).  Windows are
-filled one by one: the longest unused document is the seed, its most
-telling tokens query the index, and its unused neighbours fill the window in
-order of score; the last one is cut where the window ends and its rest goes
+filled one by one: the longest unused document is the seed, all its tokens
+query the index, and its unused neighbours fill the window in order of score; the last one is cut where the window ends and its rest goes
 on as an unused piece.  Documents longer than a window first give whole
 windows of their own.  So all windows but a shard's last are full.
 """
 
 from __future__ import annotations
 
-import os
-import sys
-import types
 import zlib
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents, text_bytes, written
+from .common import documents, written
+from .tokens import with_ids as encoded
 
 END = 1
-
-
-SIGNS = ".,;:!?)(#*$%&|<>"
-
-
-class Words:
-    """Token ids of white-space runs, each distinct run encoded once.
-
-    The vocabulary's rules never join characters across white space, nor
-    letters with signs, so runs can be encoded apart, and signs at a run's end
-    apart from it.  Runs of letters alone are one word each: they are encoded
-    together, and the vocabulary's word-end tokens part them again.
-    """
-
-    def __init__(self, path: str, limit: int = 1_000_000):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        names = {i: t for t, i in self.tokenizer.get_vocab().items()}
-        self.last = np.array([names.get(i, "").endswith("</w>") for i in range(max(names) + 1)])
-        self.known: dict[str, bytes] = {}
-        self.limit = limit
-
-    def add(self, runs: set) -> None:
-        known = self.known
-        if len(known) > self.limit:  # what is forgotten is encoded again
-            known.clear()
-        apart, letters, rest = [], set(), set()
-        for word in runs:
-            if word in known:
-                continue
-            core = word.rstrip(SIGNS)
-            if core != word and core and core[-1].isalnum():
-                tail = word[len(core):]
-                apart.append((word, core, tail))
-                if tail not in known:
-                    rest.add(tail)
-                if core in known:
-                    continue
-            else:
-                core = word
-            (letters if core.isalpha() else rest).add(core)
-        letters, rest = list(letters), list(rest)
-        for at in range(0, len(letters), 10_000):
-            some = letters[at: at + 10_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(some):
-                rest += some
-                continue
-            data, at_ = ids.tobytes(), 0
-            for word, end in zip(some, (2 * ends).tolist()):
-                self.known[word] = data[at_:end]
-                at_ = end
-        for at in range(0, len(rest), 10_000):
-            some = rest[at: at + 10_000]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u2").tobytes()
-        for word, core, tail in apart:
-            known[word] = known[core] + known[tail]
-
-
-def white_space_runs(text) -> list:
-    """Runs to encode apart.
-
-    Python also splits at four control characters and lower-cases a last
-    sigma in its own way; texts with one of these are encoded whole, or as they are.
-    """
-    if not isinstance(text, str):
-        return []
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [text]
-    return (text if "\u03a3" in text else text.lower()).split()
-
-
-def _token_ids(tokenizer_path: str):
-    """Tokens of whole texts as 16-bit ids."""
-    def run(frames):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        # kept for the tasks that follow in this Python worker; a cache of bounded size
-        shared = sys.modules.setdefault("_corpus_words", types.ModuleType("_corpus_words"))
-        words = shared.__dict__.setdefault(tokenizer_path, None) or Words(tokenizer_path)
-        shared.__dict__[tokenizer_path] = words
-        for frame in frames:
-            ids = []
-            for at in range(0, len(frame), 2000):
-                texts = [white_space_runs(t) for t in frame.text.iloc[at: at + 2000]]
-                words.add(set().union(*texts))
-                known = words.known
-                ids += [b"".join(map(known.__getitem__, t)) + END.to_bytes(2, "little") for t in texts]
-            frame["ids"] = ids
-            yield frame[["doc_id", "ids"]]
-    return run
+ROW_BYTES = 64
+COMMON = 8
+QUERIES = 16
 
 
 def _document_frequencies(vocabulary: int):
@@ -135,7 +42,12 @@ def _document_frequencies(vocabulary: int):
 
 
 class Index:
-    """BM25 postings of a shard's documents, by token."""
+    """BM25 postings of a shard's documents, by token.
+
+    Tokens that one document in ``COMMON`` or more has are also kept as rows
+    of a matrix, and queries meet those by a matrix product, some at a time;
+    all other tokens add their postings.
+    """
 
     def __init__(self, docs: list, idf: np.ndarray, k1: float = 1.2, b: float = 0.75):
         mean = max(1.0, sum(map(len, docs)) / max(1, len(docs)))
@@ -147,41 +59,52 @@ class Index:
             weights.append((n * (k1 + 1) / (n + k1 * (1 - b + b * len(ids) / mean))).astype(np.float32))
         token = np.concatenate(tokens)
         order = np.argsort(token, kind="stable")
-        self.first = np.searchsorted(token[order], np.arange(len(idf) + 1))
+        token = token[order].astype(np.int64)
+        self.tokens, self.docs = tokens, len(docs)
+        self.first = np.searchsorted(token, np.arange(len(idf) + 1))
         self.owner = np.concatenate(owners)[order]
-        self.weight = np.concatenate(weights)[order]
-        self.idf, self.docs = idf, len(docs)
-
-    def scores(self, ids: np.ndarray, terms: int) -> np.ndarray:
-        """BM25 score of every document for the query's ``terms`` most telling tokens that other documents have too."""
-        t = np.unique(ids)
-        t = t.astype(np.int64)
-        t = t[self.first[t + 1] - self.first[t] > 1]
-        t = t[np.argsort(-self.idf[t], kind="stable")[:terms]]
-        if not len(t):
-            return np.zeros(self.docs)
-        spans = [slice(self.first[x], self.first[x + 1]) for x in t]
-        owner = np.concatenate([self.owner[s] for s in spans])
-        gain = np.concatenate([self.weight[s] * self.idf[x] for s, x in zip(spans, t)])
-        return np.bincount(owner, gain, self.docs)
-
-    def neighbours(self, ids: np.ndarray, terms: int, unused: np.ndarray):
-        """Unused documents that share a query token, best first; sorted some at a time, as a window rarely needs all."""
-        score = self.scores(ids, terms)
-        found = np.flatnonzero((score > 0) & unused)
-        some = 64
-        while len(found):
-            if len(found) > some:
-                least = np.partition(score[found], len(found) - some)[len(found) - some]
-                best = found[score[found] >= least]
-                found = found[score[found] < least]
-            else:
-                best, found = found, found[:0]
-            yield from best[np.lexsort((best, -score[best]))]
-            some *= 8
-
-
-def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
+        self.gain = np.concatenate(weights)[order] * idf[token]
+        self.size = np.diff(self.first)
+        common = np.flatnonzero(self.size > max(1, len(docs) // COMMON))
+        self.row = np.full(len(idf), -1, np.int64)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), len(docs)), np.float32)
+        mine = np.flatnonzero(self.row[token] >= 0)
+        self.matrix[self.row[token[mine]], self.owner[mine]] = self.gain[mine]
+
+    def scores(self, queries: list) -> np.ndarray:
+        """BM25 scores of every document for each of the queries (document numbers), over all their tokens."""
+        asked = np.zeros((len(queries), len(self.matrix)), np.float32)
+        rare = []
+        for k, i in enumerate(queries):
+            t = self.tokens[i].astype(np.int64)
+            row = self.row[t]
+            asked[k, row[row >= 0]] = 1
+            rare.append(t[(row < 0) & (self.size[t] > 1)])  # a token of its own meets no other document
+        out = asked @ self.matrix
+        for k, t in enumerate(rare):
+            n = self.size[t]
+            at = np.repeat(self.first[t] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out[k] += np.bincount(self.owner[at], self.gain[at], self.docs)
+        return out
+
+
+def in_order(score: np.ndarray, unused: np.ndarray):
+    """Unused documents with a score, best first (ties: by number); sorted some at a time, as a window rarely needs all."""
+    found = np.flatnonzero((score > 0) & unused)
+    some = 64
+    while len(found):
+        if len(found) > some:
+            least = np.partition(score[found], len(found) - some)[len(found) - some]
+            best = found[score[found] >= least]
+            found = found[score[found] < least]
+        else:
+            best, found = found, found[:0]
+        yield from best[np.lexsort((best, -score[best]))]
+        some *= 8
+
+
+def fill_windows(docs: list, idf: np.ndarray, window: int):
     """Yield windows as lists of (document, start, length); every token lies in exactly one piece."""
     begin = np.zeros(len(docs), np.int64)
     left = np.array([len(d) for d in docs], np.int64)
@@ -194,7 +117,7 @@ def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
         return
     index = Index(docs, idf)
     by_length = np.lexsort((np.arange(len(docs)), -left))
-    at = 0
+    at, known = 0, {}
 
     def longest():
         nonlocal at
@@ -202,8 +125,18 @@ def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
             at += 1
         return by_length[at] if at < len(by_length) else None
 
+    def score(i):
+        if i not in known:  # those that come next as seeds are scored along
+            known.clear()
+            after = by_length[at: at + 4 * QUERIES]
+            some = after[left[after] > 0]
+            some = [i, *some[some != i][:QUERIES - 1].tolist()]
+            known.update(zip(some, index.scores(some)))
+        return known[i]
+
     while (seed := longest()) is not None:
         room, pieces = window, []
+        scored = score(int(seed)) if left[seed] < window else None
 
         def take(i):
             nonlocal room
@@ -214,7 +147,7 @@ def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
             room -= n
 
         take(seed)
-        for i in index.neighbours(docs[seed], terms, left > 0) if room else ():
+        for i in in_order(scored, left > 0) if room else ():
             if left[i] and room:
                 take(i)
             if not room:
@@ -224,14 +157,14 @@ def fill_windows(docs: list, idf: np.ndarray, window: int, terms: int):
         yield pieces
 
 
-def _packed(idf_bytes: bytes, window: int, terms: int, with_ids: bool):
+def _packed(idf_bytes: bytes, window: int, with_ids: bool):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         idf = np.frombuffer(idf_bytes, np.float32)
         frame = frame.sort_values(["doc_id", "ids"], kind="stable", na_position="first")
         docs = [np.frombuffer(x, "<u2") for x in frame.ids]
         ids, shard = frame.doc_id.array, int(frame.shard.iloc[0])
         out = []
-        for k, pieces in enumerate(fill_windows(docs, idf, window, terms)):
+        for k, pieces in enumerate(fill_windows(docs, idf, window)):
             offset = 0
             for i, start, n in pieces:
                 piece = docs[i][start: start + n].astype("<u4").tobytes()
@@ -244,27 +177,31 @@ def _packed(idf_bytes: bytes, window: int, terms: int, with_ids: bool):
 
 
 def retrieval_packing(df: DataFrame, tokenizer_path: str, window: int = 2048, shard_bytes: int = 16 << 20,
-                      terms: int = 32, vocabulary: int = 49_408, with_ids: bool = False) -> DataFrame:
+                      vocabulary: int = 49_408, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents of ``df`` (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's tokens are its text's ids and then id 1; null or empty text
     gives that one.  Repeated rows and null ids are documents like others.
-    ``shard_bytes`` bounds the text of a shard's index (a longer document
-    stands in a shard with others all the same); ``with_ids`` adds each
-    piece's ids as little-endian 32-bit bytes.  An empty table gives no piece.
+    ``shard_bytes`` bounds the text of a shard's index, each document counting
+    ``ROW_BYTES`` more (a longer document stands in a shard with others all
+    the same); a number stored with each row deals out rows that are alike.
+    ``with_ids`` adds each piece's ids as little-endian 32-bit bytes.  An
+    empty table gives no piece.
     """
     docs = documents(df)
-    shards = max(1, -(-text_bytes(docs) // shard_bytes))
-    tokens = written(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_token_ids(tokenizer_path), "doc_id string, ids binary"))
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
+    tokens = written(docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(
+        encoded(tokenizer_path, END), "doc_id string, ids binary").withColumn("row", F.monotonically_increasing_id()))
     got = (tokens.select("ids").mapInPandas(_document_frequencies(vocabulary), "token int, n bigint")
            .groupBy("token").agg(F.sum("n").alias("n")).toPandas().set_index("token").n)
     total = got.pop(-1) if len(got) else 0
     seen = np.zeros(vocabulary)
     seen[got.index.to_numpy(dtype=int)] = got.to_numpy()
     idf = np.log1p((total - seen + 0.5) / (seen + 0.5)).astype(np.float32)
-    shard = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("doc_id", "ids", "row"), F.lit(shards)).cast("int")
     kind = ("doc_id string, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
             "offset bigint, ids binary")
-    out = tokens.withColumn("shard", shard).groupBy("shard").applyInPandas(
-        _packed(idf.tobytes(), window, terms, with_ids), kind).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    out = tokens.withColumn("shard", shard).drop("row").groupBy("shard").applyInPandas(
+        _packed(idf.tobytes(), window, with_ids), kind).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return out if with_ids else out.drop("ids")

@@ -60,6 +60,34 @@ def test_extraction_by_markup(spark):
     assert extraction.main_text(df.limit(0)).count() == 0
 
 
+def test_extraction_keeps_the_article_whatever_wraps_it(spark):
+    wrap = lambda cls, inner: f"<body><div class='{cls}'><p>outer words</p>{inner}</div></body>"
+    article = "<article><p>the article</p><div class='share-bar'>share</div></article>"
+    main = "<main><p>the main part</p></main>"
+    cases = [(wrap("has-sidebar", article), "the article"), (wrap("search-page", article), "the article"),
+             (wrap("site no-ads page-search", article), "the article"), (wrap("sidebar", main), "the main part"),
+             (wrap("comments", "<article><p>a reader</p></article>") + article, "the article"),
+             (wrap("wide", "<nav><main>menu</main></nav>" + article), "the article"),
+             (article + article.replace("the article", "the second"), "the article\n\nthe second")]
+    df = spark.createDataFrame([(k // 2, f"http://h/{k}", page) for k, (page, _) in enumerate(cases)],
+                               "page_id bigint, url string, html string")  # page ids repeat
+    got = {r.url: r.text for r in extraction.main_text(df).collect()}
+    assert got == {f"http://h/{k}": text for k, (_, text) in enumerate(cases)}
+
+
+@pytest.mark.parametrize("part", ["a <b ", '<a title="x> ', "<a title='x>\" ", "<!", "<!--", "<div>", "</x>", "<b><p>", "<script ",
+                                  "</script ", "<script>a</script ", "&amp", '<x class=" id=', "<p class='ad'>t"])
+def test_extraction_time_is_linear_in_a_malformed_page(part):
+    import time
+    def took(n):
+        page = "<article>begin</article>" + part * (n // len(part)) + ">end"
+        began = time.process_time()
+        assert extraction.page_blocks(page)[0] == ("begin", True, False)
+        return time.process_time() - began
+    took(20_000)
+    assert took(1_000_000) < 12  # a quadratic scan takes many minutes
+
+
 def test_extraction_by_host_suffixes(spark):
     menu = "home news sport weather travel money people contact imprint "
     page = lambda body: f"<body><p>{menu}</p><p>{body} {menu}tail{len(body)}</p></body>"
@@ -294,6 +322,30 @@ def test_sharding(edge_docs, rows, shards, slices, no_docs):
     assert sharding.stratified_shards(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("shards,slices", [(16, None), (5, 3)])
+def test_sharding_places_rows_by_their_exact_rank(edge_docs, shards, slices):
+    """The order itself: seeded hash within a source, then (rank - 1/2) / size over all rows, cut into equal stretches."""
+    hashed = edge_docs.select("doc_id", "source", F.length("text").alias("n"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("b"),
+                              F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias("crc")).withColumn(
+        "h", F.xxhash64(F.lit(7), F.coalesce("doc_id", F.lit(-1)), F.col("crc").cast("bigint"))).collect()
+    strata = defaultdict(list)
+    for r in hashed:
+        name = "\u0000" if r.source is None else r.source
+        strata[name].append((r.h % (1 << 64), r.doc_id if r.doc_id is not None else -1, r.b + 1, r.crc, r.doc_id))
+    order = []
+    for name, members in strata.items():
+        for k, m in enumerate(sorted(members), 1):
+            order.append(((k - 0.5) / len(members), name.encode(), m))
+    order.sort()
+    n = len(order)
+    expected = Counter()
+    for at, (_, _, m) in enumerate(order):
+        shard = at * shards // n
+        expected[m[4], m[2], m[3], shard, at - -(-shard * n // shards)] += 1
+    got = sharding.stratified_shards(edge_docs, shards, slices=slices).collect()
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in got) == expected
+
+
 def test_quality(edge_docs, rows, no_docs):
     expected = []
     for r in rows:
@@ -441,27 +493,13 @@ def test_packing(edge_docs, rows, no_docs):
 
 def test_bm25_neighbours_against_plain_scores():
     rng = np.random.default_rng(4)
-    docs = [rng.integers(0, 50, rng.integers(1, 40)).astype("<u2") for _ in range(60)]
-    idf = rng.random(50).astype(np.float32) + 0.1
+    docs = [(200 * rng.random(rng.integers(1, 40)) ** 3).astype("<u2") for _ in range(60)]
+    idf = rng.random(200).astype(np.float32) + 0.1
     index, mean = packing.Index(docs, idf), np.mean([len(d) for d in docs])
-    many = {t for t in range(50) if sum((d == t).any() for d in docs) > 1}
-    for q in docs[:8]:
+    many = {t for t in range(200) if sum((d == t).any() for d in docs) > 1}
+    assert 0 < len(index.matrix) < 100  # both ways are taken
+    for q, found in zip(docs[:8], index.scores(list(range(8)))):
         score = [sum(idf[t] * (n := int((d == t).sum())) * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in many & set(q.tolist()))
                  for d in docs]
-        got = list(index.neighbours(q, 50, np.ones(60, bool)))
+        got = list(packing.in_order(found, np.ones(60, bool)))
         assert np.allclose(sorted((score[i] for i in range(60) if score[i] > 0), reverse=True), [score[i] for i in got], atol=1e-4)
-
-
-def test_words_encode_like_whole_texts(rows):
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    texts = [r["text"] or "" for r in rows] + [
-        "It's a don't, we'll; x's. (a) 1,234.5! a\x1cb <|endoftext|> caf\u00e9... cafe\u0301, \u039f\u0394\u039f\u03a3 \u0130stanbul",
-        "\u212aelvin \u1112\u1161\u11ab \u00a0 a\u2003b\u0085c .. ?! \u00df\u1e9e a\u200db 'S 't"]
-    words = packing.Words(TOKENIZER)
-    for text in texts:
-        runs = packing.white_space_runs(text)
-        words.add(set(runs))
-        got = np.frombuffer(b"".join(words.known[w] for w in runs), "<u2").tolist()
-        assert got == tokenizer.encode(text, add_special_tokens=False).ids
