@@ -270,7 +270,7 @@ def _matches(items: list, edit_share: float):
 
 
 def benchmark_matches(df: DataFrame, benchmark: DataFrame, edit_share: float = 0.2, min_words: int = 5,
-                      block_bytes: int = 2 << 20) -> DataFrame:
+                      block_bytes: int = 64 << 10) -> DataFrame:
     """doc_id, item_id, distance, first_word, item_words of every benchmark item found in a document.
 
     Texts are compared lower-cased with white space as single spaces; an item
