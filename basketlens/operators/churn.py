@@ -106,17 +106,18 @@ def churn_trend(orders: DataFrame, churn_days: int = CHURN_DAYS, normalize: bool
     v = d.groupBy(PERSON).agg(F.min("order_purchase_timestamp").alias("first"),
                               F.max("order_purchase_timestamp").alias("last"))
     spark = orders.sparkSession
-    # two scalar subqueries for the month-end calendar; without orders they are null and the spine is empty
-    lo = d.agg(F.min("order_purchase_timestamp").cast("timestamp_ntz")).scalar()
-    hi = d.agg(F.max("order_purchase_timestamp").cast("timestamp_ntz")).scalar()
+    # one scalar subquery for the month-end calendar; without orders its ends are null and the spine is empty
+    ends = d.agg(F.struct(F.min("order_purchase_timestamp").cast("timestamp_ntz").alias("lo"),
+                          F.max("order_purchase_timestamp").cast("timestamp_ntz").alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     midnight = lo.cast("date").cast("timestamp_ntz")
     tod = F.lit(0).cast("long") if normalize else F.timestamp_diff("MICROSECOND", midnight, lo)
 
-    events = (v.select(_first_month_end_on_or_after(F.col("first"), tod).alias("month"),
-                       F.lit(1).alias("dk"), F.lit(0).alias("dc"))
-              .unionByName(v.select(
-                  _first_month_end_on_or_after(F.timestamp_add("DAY", F.lit(churn_days + 1), F.col("last")), tod)
-                  .alias("month"), F.lit(0).alias("dk"), F.lit(1).alias("dc")))
+    known = _first_month_end_on_or_after(F.col("first"), tod)
+    churned = _first_month_end_on_or_after(F.timestamp_add("DAY", F.lit(churn_days + 1), F.col("last")), tod)
+    events = (v.select(F.inline(F.array(
+        F.struct(known.alias("month"), F.lit(1).alias("dk"), F.lit(0).alias("dc")),
+        F.struct(churned.alias("month"), F.lit(0).alias("dk"), F.lit(1).alias("dc")))))
               .groupBy("month").agg(F.sum("dk").alias("dk"), F.sum("dc").alias("dc")))
     spine = (spark.range(1).select(F.explode(F.sequence(month_start(lo), month_start(hi),
                                                         F.expr("INTERVAL 1 MONTH"))).alias("month"))

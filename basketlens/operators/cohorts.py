@@ -38,7 +38,7 @@ def person_months(orders: DataFrame) -> DataFrame:
 def cohort_assign(orders: DataFrame, salts: int = 16) -> DataFrame:
     """Every delivered order with its person's cohort month and month offset.
 
-    The cohort (one row per person, from the person-month grain) is joined
+    The cohort (one row per person, the least month of its orders) is joined
     back on the person.  Orders of persons who hold 1/256 of them or more are
     dealt to ``salts`` groups, and only the rows of those persons (256 at
     most) are repeated for each group.
@@ -46,7 +46,7 @@ def cohort_assign(orders: DataFrame, salts: int = 16) -> DataFrame:
     o = (_delivered(orders).select("order_id", PERSON, "order_purchase_timestamp", "order_revenue")
          .withColumn("order_month", month_start("order_purchase_timestamp")))
     heavy = heavy_values(o, PERSON)
-    cohorts = (person_months(orders).groupBy(PERSON).agg(F.min("cohort_month").alias("cohort_month"))
+    cohorts = (o.groupBy(PERSON).agg(F.min("order_month").alias("cohort_month"))
                .withColumn("_salt", F.explode(all_salts(heavy, PERSON, salts))))
     return (o.withColumn("_salt", salt(heavy, PERSON, "order_id", salts))
             .join(cohorts, [PERSON, "_salt"], "inner").drop("_salt")
