@@ -8,8 +8,8 @@ into equal stretches gives shards that all match the mixture.
 Both exact ranks (within a source, and over all rows) are found without a
 window over a whole source: rows fall into equal slices of the random order
 (then of the fraction), slices are counted, and a row's rank is the count
-of the slices before its own plus its rank inside it.  A slice holds about
-1/``slices`` of a source, however large that source is.
+of the slices before its own plus its rank inside it.  There are as many slices
+as keep one at about ``slice_rows`` rows, however large the table or a source is.
 
 Only DataFrame functions are used.
 """
@@ -31,7 +31,8 @@ def _earlier(counts: DataFrame, by: list, at: str) -> DataFrame:
             .withColumn("total", F.sum("n").over(whole)))
 
 
-def stratified_shards(df: DataFrame, shards: int = 16, seed: int = 7, slices: int = 1024) -> DataFrame:
+def stratified_shards(df: DataFrame, shards: int = 16, seed: int = 7, slices: int | None = None,
+                      slice_rows: int = 100_000) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row of ``df`` (doc_id, text, source).
 
     ``size`` is the UTF-8 bytes of the text plus 1.  Law ``rows``: shard row
@@ -40,6 +41,7 @@ def stratified_shards(df: DataFrame, shards: int = 16, seed: int = 7, slices: in
     repeated rows are rows like others (rows that agree in id, size and
     checksum are interchangeable).  An empty table gives an empty result.
     """
+    slices = slices or max(1024, df.count() // slice_rows)
     rows = df.select(
         column(df, "doc_id", "bigint").alias("doc_id"),
         F.coalesce(column(df, "source", "string"), F.lit(NULL_SOURCE)).alias("stratum"),
