@@ -5,7 +5,7 @@ writes it as Parquet into the shared folder and reads it again for the next
 stage.  All but the last keep the columns of ``documents``.  Null texts have
 no language and go in the first stage.  Rows without an id cannot be told
 apart by it: they all stay in the second stage and match nothing in the
-fourth.  Of rows that repeat an id, the second stage keeps one.
+fourth.  Of rows that repeat an id, the second stage keeps one of each text.
 """
 
 from __future__ import annotations
@@ -13,24 +13,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.llm import decontaminate, language, neardup, packing, repeats
-from basketlens.llm.catalog import TOKENIZER_FILE, TOKENIZERS
+from basketlens.llm.catalog import tokenizer_path
 from basketlens.llm.common import documents, read, written
 
 MIN_SCORE = 0.5
 
 
+def spare(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter whose most likely language has a calibrated probability of MIN_SCORE at least."""
     train = documents(docs, "lang").where(F.col("doc_id").isNotNull() & (language.remainder("doc_id", 3) != 1))
     said = language.predicted(language.fit(train))(F.col("text"))
-    return (docs.withColumn("_said", said).where((F.col("_said.lang_pred") != language.UNDETERMINED)
-                                                  & (F.col("_said.score") >= MIN_SCORE)).drop("_said"))
+    name = spare(docs, "said")
+    return (docs.withColumn(name, said).where((F.col(f"{name}.lang_pred") != language.UNDETERMINED)
+                                              & (F.col(f"{name}.score") >= MIN_SCORE)).drop(name))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 5-word shingles at a similarity of 0.8."""
     kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
-    alone = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    alone = docs.join(kept, "doc_id", "left_semi").withColumn(text := spare(docs, "text_hash"), F.xxhash64("text"))
+    alone = alone.dropDuplicates(["doc_id", text])
     return alone.select(*docs.columns).unionAll(docs.where("doc_id is null"))
 
 
@@ -51,7 +60,7 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of windows of 2048 tokens."""
-    return packing.retrieval_packing(docs, f"{TOKENIZERS}/{TOKENIZER_FILE}")
+    return packing.retrieval_packing(docs, tokenizer_path())
 
 
 STAGES = [("language id", identified), ("near-duplicates", without_near_duplicates),
