@@ -10,6 +10,8 @@ fourth.  Of rows that repeat an id, the second stage keeps one of each text.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlens.llm import decontaminate, language, neardup, packing, repeats
@@ -17,6 +19,8 @@ from basketlens.llm.catalog import tokenizer_path
 from basketlens.llm.common import documents, read, written
 
 MIN_SCORE = 0.5
+#: Rows that go to a Python worker at a time: a few megabytes of ordinary documents, in the worker and in the JVM beside it.
+BATCH_ROWS = 2000
 
 
 def spare(docs: DataFrame, name: str) -> str:
@@ -63,9 +67,19 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.retrieval_packing(docs, tokenizer_path())
 
 
-STAGES = [("language id", identified), ("near-duplicates", without_near_duplicates),
-          ("repeated strings", without_repeats), ("benchmark leaks", without_leaks), ("packing", packed)]
-#: No stage can be told in SQL; tests compare each with a brute-force version.
+def in_small_batches(stage):
+    """The stage with ``BATCH_ROWS`` rows in an Arrow batch; the setting stays, as the stage's rows are made later."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, in_small_batches(stage)) for name, stage in (
+    ("language id", identified), ("near-duplicates", without_near_duplicates), ("repeated strings", without_repeats),
+    ("benchmark leaks", without_leaks), ("packing", packed))]
+#: No stage can be told in SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
