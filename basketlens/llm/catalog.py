@@ -108,4 +108,29 @@ ORACLE_SQL: dict[str, str] = {
                - coalesce(max(ends) FILTER (WHERE trained), 0) AS BIGINT) AS formatted_chars,
           count(*) FILTER (WHERE trained) AS n_examples
         FROM ended GROUP BY conv_id""",
+    "op12_phrase_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+        places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) t(k) WHERE len(w) >= k),
+        counted AS (
+          SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS a FROM places GROUP BY ALL HAVING count(*) >= 100),
+        candidates AS (SELECT * FROM counted WHERE k > 1),
+        open AS (
+          SELECT * FROM candidates c WHERE NOT EXISTS (
+            SELECT 1 FROM candidates o WHERE o.lang = c.lang AND o.k > c.k AND o.a >= c.a
+              AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+        cuts AS (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM open),
+        scored AS (
+          SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, t.n, c.j,
+            CAST(CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+          FROM cuts c JOIN total t ON t.lang = c.lang
+          JOIN counted l ON l.lang = c.lang AND l.k = c.j AND l.phrase = array_to_string(c.w[: c.j], ' ')
+          JOIN counted r ON r.lang = c.lang AND r.k = c.k - c.j AND r.phrase = array_to_string(c.w[c.j + 1 :], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
