@@ -10,9 +10,9 @@ def heavy_values(df: DataFrame, column: str, share: int = 256) -> Column:
     """Values of ``column`` on at least 1/``share`` of the rows, as a one-row scalar subquery (an array).
 
     They come from a mergeable frequent-items summary, kept map-side in a
-    bounded number of counters and merged without a shuffle of the rows.  No
-    such value is missed, as the summary is certain about every value on more
-    than 1/(12 ``share``) of them; at most ``share`` values are returned.
+    bounded number of counters and merged without a shuffle of the rows.  Its
+    counts are off by 1/(4 ``share``) of the rows at most and never too low, so
+    no such value is missed; at most ``share`` values are returned.
     """
     top = F.expr(f"approx_top_k(`{column}`, {share}, {16 * share})")
     found = (df.where(F.col(column).isNotNull())
