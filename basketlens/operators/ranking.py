@@ -85,16 +85,13 @@ def quantile_scores(df: DataFrame, specs: list[tuple[str, Column, bool]], id_col
     last_rank = qcut_last_rank if method == "qcut" else ntile_last_rank
     if materialize_input:
         df = reliable_checkpoint(df)
-    n = df.count()
-    ends = [last_rank(n, label, q) for label in range(1, q)]
-    found = select_ranks(df, [(value, down) for _, value, down in specs], id_col, [ends] * len(specs))
+    found = select_ranks(df, [(value, down) for _, value, down in specs], id_col,
+                         lambda n: [[last_rank(n, label, q) for label in range(1, q)]] * len(specs))
     kinds = [f.dataType for f in df.select(*[v for _, v, _ in specs]).schema.fields]
     id_kind = df.schema[id_col].dataType
     for i, (out, value, down) in enumerate(specs):
-        # a score that ends before the first row has no pair, and every row is after it
-        passed = [F.lit(1) if end < 1 else
-                  _is_after(value, F.col(id_col), F.lit(at).cast(kinds[i]), F.lit(at_id).cast(id_kind), down).cast("int")
-                  for end, (at, at_id) in zip(ends, found[i])]
+        passed = [_is_after(value, F.col(id_col), F.lit(at).cast(kinds[i]), F.lit(at_id).cast(id_kind), down).cast("int")
+                  for at, at_id in found[i]]
         df = df.withColumn(out, sum(passed, F.lit(1)))
     return df
 

@@ -10,6 +10,7 @@ ranks x bins rows, so what reaches the driver does not grow with the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BINS = 2048
-READ_OUT = 1024
+READ_OUT = 4096
 
 
 @dataclass
@@ -69,8 +70,10 @@ def _bin(b: Bracket, value: Column, kind: T.DataType, id_: Column, id_kind: T.Da
     return F.when(x.isNotNull(), key)
 
 
-def select_ranks(df: DataFrame, specs: list[tuple[Column, bool]], id_col: str, ranks: list[list[int]]) -> list[list[tuple]]:
-    """For each ``(value, descending)`` of ``specs`` the exact (value, id) pairs at its 1-based ``ranks``.
+def select_ranks(df: DataFrame, specs: list[tuple[Column, bool]], id_col: str,
+                 ranks: list[list[int]] | Callable[[int], list[list[int]]]) -> list[list[tuple]]:
+    """For each ``(value, descending)`` of ``specs`` the exact (value, id) pairs at its 1-based ``ranks``,
+    given as such or as a function of the number of rows.
 
     Order: value (nulls first ascending, last descending), then id ascending
     (null first).  Values are numbers, ids whole numbers or strings.  ``df``
@@ -82,6 +85,7 @@ def select_ranks(df: DataFrame, specs: list[tuple[Column, bool]], id_col: str, r
     kinds = [f.dataType for f in df.select(*[v for v, _ in specs]).schema.fields]
     ends = df.agg(F.count(F.lit(1)).alias("n"), *[f(v).alias(f"{name}{i}") for i, (v, _) in enumerate(specs)
                                                   for name, f in (("lo", F.min), ("hi", F.max), ("some", F.count))]).first()
+    ranks = ranks(ends.n) if callable(ranks) else ranks
     open_ = {}
     for i, rs in enumerate(ranks):
         some, nulls = ends[f"some{i}"], ends.n - ends[f"some{i}"]
@@ -108,7 +112,7 @@ def select_ranks(df: DataFrame, specs: list[tuple[Column, bool]], id_col: str, r
         groups = (hit.groupBy("c").agg(
             F.count(F.lit(1)).alias("n"),
             *[f(f"_v{i}").alias(f"{name}{i}") for i in range(len(specs)) for name, f in (("lo", F.min), ("hi", F.max))],
-            F.min("_id").alias("lo_id"), F.max("_id").alias("hi_id")).collect())
+            F.min("_id").alias("lo_id"), F.max("_id").alias("hi_id"), F.count("_id").alias("ids")).collect())
         of: dict[int, list] = {k: [] for k in range(len(brackets))}
         for g in groups:
             of[g.c.k].append(g)
@@ -135,8 +139,16 @@ def select_ranks(df: DataFrame, specs: list[tuple[Column, bool]], id_col: str, r
                 del open_[key]
             elif b.fixed:
                 open_[key] = Bracket(b.spec, rank, g.n, None, True, b.at, (low, high), _common(low, high))
+            elif low == high:  # one value: the ends of its ids are known already
+                ids = None if g.lo_id is None else (g.lo_id, g.hi_id)
+                if ids and ids[0] == ids[1] and g.lo_id is not None and g.ids == g.n:
+                    done[key] = (low, g.lo_id)
+                    del open_[key]
+                else:
+                    open_[key] = Bracket(b.spec, rank, g.n, None, True, low, None if g.ids < g.n else ids,
+                                         "" if g.ids < g.n else _common(*ids))
             else:
-                open_[key] = _of_values(b.spec, rank, g.n, low, high)
+                open_[key] = Bracket(b.spec, rank, g.n, (low, high))
     return [[done.get((i, r), (None, None)) for r in rs] for i, rs in enumerate(ranks)]
 
 
