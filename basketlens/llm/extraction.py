@@ -1,13 +1,20 @@
 """Main text of web pages, with a host suffix array for text that markup does not settle.
 
-A page is read into blocks.  Markup settles most of them: text inside an
-``article`` or ``main`` element is content, and text in menus, headers,
-footers, sidebars, notices, adverts, forms and comments is not.  Pages
-without such an element are unsettled.  For the hosts of those pages the
-token streams of all pages are laid end to end, their suffixes are ordered
-by host and first ``run`` tokens, and neighbours in that order that agree in
-all ``run`` tokens and stand on different pages are repeats.  Tokens of an
-unsettled page that such a repeat covers are boilerplate; its unique runs stay.
+A page is read into blocks.  Markup and the host suffix order decide about
+them together.  Markup tells text inside an ``article`` or ``main`` element
+from text in menus, headers, footers, sidebars, notices, adverts, forms and
+comments.  The token streams of a host's distinct pages are laid end to end,
+their suffixes are ordered by host and first ``run`` tokens, and neighbours in
+that order that agree there and stand on different pages are repeats.
+
+* Pages without such an element: all suffixes are taken, and tokens that a
+  repeat covers are boilerplate; unique runs stay.
+* Pages with one: the suffixes that begin a block of it are taken, to the end
+  of the block in which they have ``run`` tokens.  What stands so on more than
+  half of the host's distinct pages (three at least) is a notice, and goes.
+  Fewer copies are no evidence there: headings, quoted and syndicated passages
+  repeat as well.  Nor are they where they make up more than half of the
+  words, for then the article itself has copies.
 
 The suffix order is kept to that depth only: suffixes that agree in fewer
 tokens are never asked for, so ordering by a hash of the first ``run`` tokens
@@ -204,8 +211,24 @@ def page_blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def _parsed(trust_markup: bool):
-    def run(frames):
+def _block_suffixes(blocks: list[str], run: int, powers: Powers) -> tuple[list[int], list[int]]:
+    """Of each block the hash of the stream from there to the first block end after ``run`` tokens, and that block's number.
+
+    A stream that ends before has no such suffix: its block's number is -1.
+    """
+    tokens, block = _tokens(blocks, powers)
+    prefix = powers.sums(tokens)
+    begins = np.searchsorted(block, np.arange(len(blocks)))
+    enough = begins + run <= len(tokens)
+    last = np.where(enough, block[np.minimum(begins + run, len(tokens)) - 1] if len(tokens) else 0, -1)
+    ends = np.append(begins, len(tokens))[np.where(enough, last + 1, 0)]
+    hashed = powers.spans(prefix, begins, np.maximum(begins, ends))
+    return hashed.view(np.int64).tolist(), last.tolist()
+
+
+def _parsed(trust_markup: bool, run: int):
+    def parse(frames):
+        powers = Powers()
         for frame in frames:
             rows = []
             for page in frame.html:
@@ -213,13 +236,14 @@ def _parsed(trust_markup: bool):
                 content = [t for t, main, bad in blocks if main and not bad]
                 if trust_markup and content:
                     others = [t for t, main, _ in blocks if not main]
-                    rows.append(("\n\n".join(content), others, [False] * len(others)))
+                    rows.append(("\n\n".join(content), others, [False] * len(others), *_block_suffixes(content, run, powers)))
                 else:
                     keep = [not bad or not trust_markup for _, _, bad in blocks]
-                    rows.append((None, [t for t, _, _ in blocks], keep))
-            frame["text"], frame["blocks"], frame["open"] = zip(*rows) if rows else ((), (), ())
-            yield frame[["page_id", "url", "host", "page_key", "text", "blocks", "open"]]
-    return run
+                    rows.append((None, [t for t, _, _ in blocks], keep, None, None))
+            names = ["text", "blocks", "open", "suffixes", "reach"]
+            made = pd.DataFrame(rows, columns=names, dtype=object, index=frame.index)
+            yield pd.concat([frame[["page_id", "url", "host", "page_key"]], made], axis=1)
+    return parse
 
 
 def _suffixes(length: int):
@@ -273,13 +297,32 @@ def _unique_runs(length: int):
     return run
 
 
+def _without_notices(frames):
+    for frame in frames:
+        texts = []
+        for text, suffixes, reach, common in zip(frame.text, frame.suffixes, frame.reach, frame.common):
+            blocks, common = text.split("\n\n"), set(common)
+            covered = [False] * len(blocks)
+            for k, (suffix, last) in enumerate(zip(suffixes, reach)):
+                if last >= 0 and suffix in common:
+                    covered[k: last + 1] = [True] * (last + 1 - k)
+            n_words = [len(b.split()) for b in blocks]
+            if 2 * sum(n for n, c in zip(n_words, covered) if c) <= sum(n_words):
+                text = "\n\n".join(b for b, c in zip(blocks, covered) if not c)
+            texts.append(text)
+        frame["text"] = texts
+        yield frame[["page_id", "url", "text"]]
+
+
 def main_text(df: DataFrame, run: int = 8, trust_markup: bool = True) -> DataFrame:
     """page_id, url, text and n_chars for every row of ``df`` (page_id, url, html).
 
     Character references are decoded, white space in a block becomes one
     space, blocks are joined by two line feeds.  Null or empty html gives an
     empty text.  Pages with the same html count as one page, so copies of a
-    page are no evidence of boilerplate.  Null urls share one host.  With
+    page are no evidence of boilerplate.  A block of an article goes only where
+    most pages of the host have it, with what follows up to ``run`` tokens.
+    Null urls share one host.  With
     ``trust_markup=False`` the suffix array alone decides about every block.
     """
     page = F.coalesce(column(df, "html", "string"), F.lit(""))
@@ -288,8 +331,8 @@ def main_text(df: DataFrame, run: int = 8, trust_markup: bool = True) -> DataFra
                       F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z]+://([^/?#]+)", 1)), F.lit("")).alias("host"),
                       F.xxhash64(page).alias("page_key"), page.alias("html"))
     kind = ("page_id string, url string, host string, page_key bigint, text string, "
-            "blocks array<string>, open array<boolean>")
-    parsed = written(pages.mapInPandas(_parsed(trust_markup), kind))
+            "blocks array<string>, open array<boolean>, suffixes array<bigint>, reach array<int>")
+    parsed = written(pages.mapInPandas(_parsed(trust_markup, run), kind))
     unsettled = parsed.where(F.col("text").isNull())
     streams = parsed.join(unsettled.select("host").distinct(), "host", "left_semi").dropDuplicates(["host", "page_key"])
     suffixes = streams.select("host", "page_key", "blocks").mapInPandas(
@@ -300,5 +343,14 @@ def main_text(df: DataFrame, run: int = 8, trust_markup: bool = True) -> DataFra
                .agg(F.collect_list("at").alias("repeats")))
     mended = (unsettled.join(covered, ["host", "page_key"], "left").select("page_id", "url", "blocks", "open", "repeats")
               .mapInPandas(_unique_runs(run), "page_id string, url string, text string"))
-    whole = parsed.where(F.col("text").isNotNull()).select("page_id", "url", "text").unionAll(mended)
+    settled = parsed.where(F.col("text").isNotNull())
+    # distinct pages of each host and of each of its suffixes; three pages at least, so that two copies are no majority
+    pages_of = settled.groupBy("host").agg(F.count_distinct("page_key").alias("pages"))
+    starts = settled.select("host", "page_key", F.explode(F.arrays_zip("suffixes", "reach")).alias("x")).where("x.reach >= 0")
+    often = (starts.groupBy("host", F.col("x.suffixes").alias("suffix")).agg(F.count_distinct("page_key").alias("n"))
+             .where("n >= 3").join(pages_of, "host").where("2 * n > pages"))
+    common = written(often.groupBy("host").agg(F.collect_list("suffix").alias("common")))
+    cleaned = settled.join(common, "host").select("page_id", "url", "text", "suffixes", "reach", "common").mapInPandas(
+        _without_notices, "page_id string, url string, text string")
+    whole = (settled.join(common, "host", "left_anti").select("page_id", "url", "text").unionAll(cleaned).unionAll(mended))
     return whole.withColumn("page_id", F.col("page_id").cast("bigint")).withColumn("n_chars", F.length("text").cast("bigint"))

@@ -99,6 +99,22 @@ def test_extraction_by_host_suffixes(spark):
     assert got[4].count("home") == 2 and got[5] == ""
 
 
+def test_extraction_drops_notices_that_most_articles_of_a_host_hold(spark):
+    notice = "this site lives on the gifts of its readers please give today"
+    say = lambda k: f"article {k} " + " ".join(f"w{k}x{j}" for j in range(30))
+    page = lambda *blocks: "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    quoted = "the same long passage that two of the articles of a host quote"
+    data = {f"http://h/{k}": (page("Our appeal", notice, "Summary", say(k), *([quoted] if k < 2 else [])),
+                              "\n\n".join(["Summary", say(k), *([quoted] if k < 2 else [])])) for k in range(4)}
+    data["http://h/4"] = (page("Summary", say(4)), "\n\n".join(["Summary", say(4)]))
+    # the same page under many addresses is one page, and copies of an article in other frames are articles
+    data |= {f"http://same/{k}": (page(notice, say(1)), f"{notice}\n\n{say(1)}") for k in range(4)}
+    data |= {f"http://copies/{k}": (page(say(9), f"copy {k}"), f"{say(9)}\n\ncopy {k}") for k in range(5)}
+    df = spark.createDataFrame([(1, url, html) for url, (html, _) in data.items()], "page_id bigint, url string, html string")
+    got = {r.url: r.text for r in extraction.main_text(df).collect()}
+    assert got == {url: text for url, (_, text) in data.items()}
+
+
 def brute_katz(rows, train):
     toks = {i: [w.lower() for w in words_of(r["text"])] + ["END"] for i, r in enumerate(rows)}
     uni, bi, ctx = Counter(), Counter(), Counter()
