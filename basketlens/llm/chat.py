@@ -1,12 +1,13 @@
 """Prefix-target expansion of conversations into training examples.
 
-Every assistant turn becomes one example: the turns before it are context,
-its text alone is trained on.  All contexts of a conversation are prefixes
-of one formatted string, so that string is stored once, as one ``segment``
-row per turn with its offsets, and an example is a pair of offsets into it:
-``[0, target_start)`` is context, ``[target_start, target_end)`` is the
-trained reply.  Writing each context out would take the square of the
-conversation's length; ``example_texts`` does so where that is wanted.
+Every assistant turn becomes one example, written out whole: the turns before
+it are its context, its text alone is trained on.  The loss mask is a pair of
+offsets into the example's text: ``[target_start, target_end)`` is the trained
+reply.  The examples of a conversation together are as long as the sum of its
+prefixes, so a conversation of ``n`` turns gives rows whose lengths grow with
+``n``; they are made one after another and never held together.  Turns after
+the last reply are in no example; they are kept as rows that are not trained
+on, so that the output holds every turn.
 
 A segment reads ``### role: text</turn>`` and a line feed.  Inside roles and
 texts a backslash precedes each backslash, each ``#`` and the slash of each
@@ -62,66 +63,63 @@ def segments(df: DataFrame, assistant: str = "assistant") -> DataFrame:
                        F.coalesce(F.col("role") == F.lit(assistant), F.lit(False)).alias("trained"))
 
 
-def examples(parts: DataFrame) -> DataFrame:
-    """One row per assistant turn: its own segment, the context before it and the loss mask as offsets.
+def training_rows(parts: DataFrame) -> DataFrame:
+    """conv_id, place, trained, text, target_start, target_end: the examples, and the turns after the last as they stand.
 
-    The example is the formatted string up to the end of ``reply``; all before
-    ``reply`` is context.
+    An example's text is all segments of its conversation up to and with its
+    own, so its context is in it.
     """
-    return parts.where("trained").select(
-        "conv_id", "place", F.col("segment").alias("reply"), F.col("begins").alias("context_chars"), "target_start", "target_end",
-        (F.col("begins") + F.length("segment")).alias("example_chars"))
+    turns = Window.partitionBy("conv_id")
+    before = turns.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.max(F.when(F.col("trained"), F.col("place"))).over(turns), F.lit(0))
+    text = (F.when(F.col("trained"), F.array_join(F.collect_list("segment").over(before), ""))
+            .when(F.col("place") > last, F.col("segment")))
+    return (parts.withColumn("text", text).where("text is not null")
+            .select("conv_id", "place", "trained", "text", "target_start", "target_end"))
 
 
-def example_texts(parts: DataFrame) -> DataFrame:
-    """Examples written out: conv_id, place, text and the loss mask.  Grows with the square of a conversation."""
-    before = Window.partitionBy("conv_id").orderBy("place")
-    return (parts.withColumn("text", F.array_join(F.collect_list("segment").over(before), ""))
-            .where("trained").select("conv_id", "place", "text", "target_start", "target_end"))
+def examples(parts: DataFrame) -> DataFrame:
+    """One row per assistant turn: conv_id, place, the text of its context and reply, and the loss mask as offsets."""
+    return training_rows(parts).where("trained").drop("trained")
 
 
-def read_back(parts: DataFrame) -> DataFrame:
-    """conv_id, place, role, text and where the segment ends, from the stored segments alone."""
-    body = F.expr(f"left(segment, length(segment) - {len(CLOSE)})")
-    pattern = rf"(?s)^{OPEN}((?:[^\\:]++|\\.)*+){AFTER_ROLE}(.*)$"
-    return parts.select(
-        "conv_id", "place", unescape(F.regexp_extract(body, pattern, 1)).alias("role"),
-        unescape(F.regexp_extract(body, pattern, 2)).alias("text"),
-        (F.col("begins") + F.length("segment")).alias("ends"))
+def example_texts(parts: DataFrame) -> DataFrame:
+    """The same by the name it had while ``examples`` held offsets alone."""
+    return examples(parts)
 
 
-def read_losses(made: DataFrame) -> DataFrame:
-    """conv_id, place, the text under the loss mask and the length of each example, from the example rows alone."""
-    first = (F.col("target_start") - F.col("context_chars") + 1).cast("int")
-    masked = F.substring("reply", first, (F.col("target_end") - F.col("target_start")).cast("int"))
-    return made.select("conv_id", "place", unescape(masked).alias("loss_text"), "example_chars")
+def read_turns(text: Column) -> Column:
+    """Array of (role, text) of the turns in a formatted string."""
+    pattern = rf"(?s)^{OPEN}((?:[^\\:]++|\\.)*+){AFTER_ROLE}(.*)$"
+    bodies = F.split(text, CLOSE, -1)
+    return F.transform(F.slice(bodies, F.lit(1), F.size(bodies) - 1), lambda x: F.struct(
+        unescape(F.regexp_extract(x, pattern, 1)).alias("role"), unescape(F.regexp_extract(x, pattern, 2)).alias("text")))
 
 
 def conversation_digests(df: DataFrame) -> DataFrame:
     """Per conversation: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples.
 
-    The turns are read back from the segments, the loss text and the examples'
-    lengths from the example rows.  ``formatted_chars`` is the
-    length of all the conversation's examples, contexts counted in each, and
-    of the turns after the last example.  A conversation without assistant
-    turn has no example: its turns are read from its segments and its loss
-    text is empty.
+    All is read back from the texts of the training rows: the turns from the
+    last example, whose context and reply are all turns up to there, and the
+    rows after it; the loss text from every example under its mask.
+    ``formatted_chars`` is the length of all these texts, contexts counted in
+    each example.  A conversation without assistant turn has no example: its
+    loss text is empty.
     The two digests are of one conversation's whole text, which therefore
     meets in one row.
     """
-    parts = segments(df)
-    turns = read_back(parts).select("conv_id", "place", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("turn"), "ends",
-                                    F.lit(None).cast("string").alias("loss"), F.lit(None).cast("bigint").alias("example"))
-    losses = read_losses(examples(parts)).select("conv_id", "place", F.lit(None).cast("string").alias("turn"),
-                                                 F.lit(None).cast("bigint").alias("ends"),
-                                                 F.col("loss_text").alias("loss"), F.col("example_chars").alias("example"))
-    whole = turns.unionAll(losses).groupBy("conv_id").agg(
-        F.count("ends").alias("n_turns"), F.count("example").alias("n_examples"),
-        F.sort_array(F.collect_list(F.when(F.col("turn").isNotNull(), F.struct("place", "turn")))).alias("turns"),
-        F.sort_array(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("place", "loss")))).alias("losses"),
-        (F.coalesce(F.sum("example"), F.lit(0)) + F.max("ends") - F.coalesce(F.max("example"), F.lit(0)))
-        .cast("bigint").alias("formatted_chars"))
-    text, loss = F.array_join("turns.turn", ""), F.array_join("losses.loss", "")
-    return whole.select("conv_id", "n_turns", F.sha2(text, 256).alias("turns_sha256"),
-                        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+    made = training_rows(segments(df))
+    masked = F.substring("text", (F.col("target_start") + 1).cast("int"), (F.col("target_end") - F.col("target_start")).cast("int"))
+    made = made.select("conv_id", "place", "trained", "text", F.length("text").cast("bigint").alias("chars"),
+                       F.when(F.col("trained"), unescape(masked)).alias("loss"))
+    in_order = lambda value, kept: F.array_join(F.sort_array(F.collect_list(
+        F.when(kept, F.struct("place", F.col(value).alias("x"))))).getField("x"), "")
+    whole = made.groupBy("conv_id").agg(
+        F.max_by("text", F.when(F.col("trained"), F.col("place"))).alias("last"), in_order("text", ~F.col("trained")).alias("rest"),
+        in_order("loss", F.col("trained")).alias("loss"), F.sum("chars").alias("formatted_chars"),
+        F.count_if("trained").alias("n_examples"))
+    whole = whole.withColumn("turns", read_turns(F.concat(F.coalesce("last", F.lit("")), "rest")))
+    text = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return whole.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"),
+                        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                         "formatted_chars", "n_examples")

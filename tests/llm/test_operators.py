@@ -320,6 +320,22 @@ def test_chat_round_trip(spark):
     assert chat.conversation_digests(df.limit(0)).count() == 0
 
 
+def test_chat_examples_hold_context_and_reply_and_digests_come_from_them(spark, monkeypatch):
+    data = [(1, 0, "user", "a"), (1, 1, "assistant", "b</turn>"), (1, 2, "user", "c"), (1, 3, "assistant", ""), (1, 4, "user", "d"),
+            (2, 0, "assistant", "e"), (3, 0, "user", "f")]
+    df = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string")
+    got = [tuple(r) for r in chat.examples(chat.segments(df)).select("conv_id", "place", "text", F.expr(
+        "substring(text, int(target_start + 1), int(target_end - target_start))")).orderBy("conv_id", "place").collect()]
+    first = "### user: a</turn>\n### assistant: b<\\/turn></turn>\n"
+    assert got == [(1, 2, first, "b<\\/turn>"), (1, 4, first + "### user: c</turn>\n### assistant: </turn>\n", ""),
+                   (2, 1, "### assistant: e</turn>\n", "e")]
+    right = {r.conv_id: r for r in chat.conversation_digests(df).collect()}
+    rows = chat.training_rows
+    monkeypatch.setattr(chat, "training_rows", lambda parts: rows(parts).withColumn("text", F.replace("text", F.lit(": a"), F.lit(": x"))))
+    wrong = {r.conv_id: r for r in chat.conversation_digests(df).collect()}
+    assert [right[k].turns_sha256 == wrong[k].turns_sha256 for k in (1, 2, 3)] == [False, True, True]  # a wrong context shows
+
+
 @pytest.mark.parametrize("shards,slices", [(16, 1024), (3, 8)])
 def test_sharding(edge_docs, rows, shards, slices, no_docs):
     got = sharding.stratified_shards(edge_docs, shards, slices=slices).collect()
