@@ -10,6 +10,7 @@ from basketlens.operators.skew import heavy_values, salt
 
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 REJECT = "_rejected_line"
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def _csv(spark: SparkSession, schema: T.StructType, timestamp_format: str, multi_line: bool):
@@ -50,7 +51,13 @@ def split_raw(spark: SparkSession, path: str, schema: T.StructType, folder: str,
             .option("columnPruning", False).csv(path)
             .withColumn("_file", F.when(F.col(REJECT).isNotNull(), F.col("_metadata.file_path")))
             .withColumn("_is_rejected", F.col(REJECT).isNotNull()))
-    rows.write.mode("overwrite").partitionBy("_is_rejected").parquet(folder)
+    # a task keeps both files open: it would sort its rows by the partition column otherwise
+    before = spark.conf.get(OPEN_WRITERS, None)
+    spark.conf.set(OPEN_WRITERS, 2)
+    try:
+        rows.write.mode("overwrite").partitionBy("_is_rejected").parquet(folder)
+    finally:
+        spark.conf.unset(OPEN_WRITERS) if before is None else spark.conf.set(OPEN_WRITERS, before)
     stored = spark.read.schema(T.StructType([*with_line.fields, T.StructField("_file", T.StringType()),
                                              T.StructField("_is_rejected", T.BooleanType())])).parquet(folder)
     return (stored.where(~F.col("_is_rejected")).select(*[f.name for f in schema.fields]),

@@ -8,6 +8,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from basketlens.functions.dates import elapsed_days
 from basketlens.operators import churn, clean, ranking, revenue, sentiment, themes
@@ -50,6 +51,18 @@ def test_split_raw_good_rows_and_rejects_are_all_lines(spark, tmp_path):
     assert {r.file.rsplit("/", 1)[1] for r in got} == {"f0.csv", "f1.csv"}
 
 
+def test_split_raw_keeps_both_files_open_so_that_no_task_sorts_its_rows(spark, tmp_path, monkeypatch):
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (seen.append(spark.conf.get(name)), write(w, *a, **k))[1])
+    path = tmp_path / "items.csv"
+    path.write_text("\n".join([",".join(f.name for f in RAW_ORDER_ITEMS.fields), "o1,1,p,s,,1.00,1.00", "o2,x,p,s,,1.00,1.00"] * 3))
+    before = spark.conf.get(name)
+    rows, rejects = files.split_raw(spark, str(path), RAW_ORDER_ITEMS, str(tmp_path / "out"))
+    # of the three headers Spark skips the first
+    assert rows.count() == 3 and rejects.count() == 5
+    assert seen == ["2"] and spark.conf.get(name) == before
+
+
 def test_split_raw_with_newlines_in_fields(spark, tmp_path):
     path = tmp_path / "items.csv"
     path.write_text(",".join(f.name for f in RAW_ORDER_ITEMS.fields) + '\no1,1,"a\nb",s,,1.00,\no2,1,p,s,,bad,\n')
