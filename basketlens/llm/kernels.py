@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 CHUNK_BYTES = 2 << 20
+PART_BYTES = 512 << 10  # of text in ``chunked``: arrays of some 80 bytes for each byte stand beside it
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -60,7 +61,7 @@ class Powers:
         return mix((prefix[size:] - prefix[:n]) * self.down[:n] + np.uint64(size))
 
 
-def chunked(texts: list, limit: int = CHUNK_BYTES):
+def chunked(texts: list, limit: int = PART_BYTES):
     """Yield (first, last, encoded texts) for runs of texts of about ``limit`` bytes; None counts as empty."""
     at, held, size = 0, [], 0
     for i, text in enumerate(texts):

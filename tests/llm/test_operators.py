@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import (backoff, chat, decontaminate, extraction, language, neardup, packing, quality, repeats,
                             sharding)
+from basketlens.llm.kernels import Powers, chunked
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
@@ -336,6 +337,18 @@ def test_chat_examples_hold_context_and_reply_and_digests_come_from_them(spark,
     assert [right[k].turns_sha256 == wrong[k].turns_sha256 for k in (1, 2, 3)] == [False, True, True]  # a wrong context shows
 
 
+@pytest.mark.parametrize("size,anchor,words", [(400, 240, False), (51, 30, True)])
+def test_repeats_hold_little_memory_beside_a_batch_of_texts(size, anchor, words):
+    import tracemalloc
+    texts = [" ".join(f"w{k * j % 9973}" for j in range(400)) for k in range(2000)]
+    tracemalloc.start()
+    powers = Powers()
+    n = sum(len(repeats.anchor_runs(parts, powers, size, anchor, words)[0]) for _, _, parts in chunked(texts))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > len(texts) and most < 64 << 20
+
+
 @pytest.mark.parametrize("shards,slices", [(16, 1024), (3, 8)])
 def test_sharding(edge_docs, rows, shards, slices, no_docs):
     got = sharding.stratified_shards(edge_docs, shards, slices=slices).collect()
