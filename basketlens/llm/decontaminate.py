@@ -1,16 +1,19 @@
 """Benchmark passages in documents, by a count of shared character pieces and exact edit distance.
 
-An item is cut into segments of up to 64 characters.  Where it lies within
-its limit of edits, one of its ``n`` segments lies within an ``n``-th of that
-limit.  A segment of ``m`` characters has ``m // 4`` pieces of 4 characters.
-An edit touches one piece at most, so within ``k`` edits all but ``k`` pieces
-stand unchanged, and no two of them are shifted against each other by more
-than ``k`` characters.  Bands of shifts that meet fewer pieces hold no match.
-In the others the segment's edit distance is taken, and where that is within
-its limit, the whole item's.  Nothing is sampled: whatever lies within the
-limit is found.
-
-Pieces are looked up by a hash, and bands count every meeting, so collisions
+An item is cut into pieces of 4 characters and these into segments of up to
+15.  The segments' limits are shares of the item's limit of edits: one less
+in sum, for each segment but one, so that where the item lies within its
+limit some segment lies within its own.  An edit touches one piece at most,
+so within ``k`` edits all but ``k`` pieces of a segment stand unchanged, and
+no two of them are shifted against each other by more than ``k`` characters.
+The meetings of pieces and text are sorted by segment and shift; where too
+few lie within ``k`` shifts there is no match.  Of the others, the cheapest
+chain is taken: between two pieces that stand there are as many edits at
+least as pieces left out or as characters they are shifted.  Where that is
+within the limit the segment's edit distance is taken, and then the whole
+item's.  Nothing is sampled: whatever lies within the limit is found.
+
+Pieces are looked up by a hash, and every meeting is counted, so collisions
 and repeated pieces can only add places, never lose one.
 """
 
@@ -24,11 +27,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import column, documents
 
-SEGMENT = 64  # characters of an item whose distance fits a machine word
-BAND = 4  # bits of a band's shifts: it is no narrower than a segment has pieces
 PIECE = 4  # at an edit share of 0.2 the longest pieces of which some are always left
-STRETCH = 1 << 16  # characters of text counted at a time
-MEETINGS = 1 << 20  # meetings of pieces held at a time
+SEGMENT = 15  # pieces of a segment: with the characters left over its distance fits a machine word
+INDEX = 4  # bits of a piece's number in its segment
+NEAR = 3  # bits of the shifts that are compared as one place
+CHAIN = 32  # meetings of a place up to which chains are taken
+STRETCH = 1 << 16  # characters of text met at a time
+MEETINGS = 1 << 20  # meetings of pieces sorted at a time
+PLACES = 2048  # segments compared at a time
 FACTORS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
 
 
@@ -82,29 +88,66 @@ def byte_codes(codes: np.ndarray) -> np.ndarray:
     return (codes ^ (codes >> np.uint32(8)) ^ (codes >> np.uint32(16))).astype(np.uint8)
 
 
+def shares(whole: int, n: int) -> list[int]:
+    """``whole`` in ``n`` parts as equal as can be."""
+    return [whole * (j + 1) // n - whole * j // n for j in range(n)]
+
+
+def segments_of(text: str, limit: int) -> list[tuple[int, str, int, int]]:
+    """(place, text, limit, pieces that must be left) of the segments of an item.
+
+    The limits and one each add up to one more than the item's: with more
+    edits in every segment, there are more than ``limit`` in the item.
+    """
+    pieces = len(text) // PIECE
+    n = max(1, -(-pieces // SEGMENT))
+    out, at = [], 0
+    for own, need in zip(shares(pieces, n), shares(pieces - (limit + 1 - n), n)):
+        end = at + own * PIECE if len(out) < n - 1 else len(text)
+        out.append((at, text[at:end], own - need, need))
+        at = end
+    return out
+
+
+def chain_costs(piece: np.ndarray, shift: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Least edits by the cheapest chain of some of the meetings in each column, in order of their piece.
+
+    ``pieces`` is the number of pieces of each column's segment.  A chain
+    takes a piece once; every piece it leaves out has an edit, and so has every
+    character by which two that follow each other are shifted.
+    """
+    cost = piece.copy()  # none of those before it stands
+    for j in range(1, len(piece)):
+        between = piece[j] - piece[:j] - 1
+        step = np.maximum(np.abs(shift[j] - shift[:j]), between) + cost[:j]
+        step[between < 0] = np.iinfo(step.dtype).max
+        np.minimum(cost[j], step.min(axis=0), out=cost[j])
+    return (cost - piece).min(axis=0) + pieces - 1
+
+
 class Pieces:
-    """Pieces of the segments, met in bands of shifts, and the segments' distances (bit-parallel, many at a time)."""
-
-    def __init__(self, texts: list[str], limit: list[int], offset: list[int], first: list[int], item_limit: list[int]):
-        """Segments in order of their items; ``first`` is each item's first segment, ``offset`` a segment's place there."""
-        self.limit, self.offset = np.array(limit, np.int64), np.array(offset, np.int64)
-        self.pieces = np.array([len(t) // PIECE for t in texts], np.int64)
-        self.items, self.counts = np.array(first), np.diff([*first, len(texts)])
-        self.item_of = np.repeat(np.arange(len(first)), self.counts)
-        self.item_need = np.add.reduceat(self.pieces, self.items) - np.array(item_limit)
-        # a range of limit + 1 shifts lies in so many bands wherever it begins
-        self.wide = max(2, (max(item_limit) + (1 << BAND) - 1 >> BAND) + 1)
-        self.need = self.pieces - self.limit
-        self.longest = max(a + len(t) for a, t in zip(offset, texts))
-        self.steps = (3 << BAND) + max(map(len, texts)) + 2 * int(self.limit.max())
+    """Pieces of the segments, met in ranges of shifts, and the segments' distances (bit-parallel, many at a time)."""
+
+    def __init__(self, segments: list[tuple[int, int, str, int, int]]):
+        """Of (item, place, text, limit, pieces that must be left); one below no edits is not needed to find its item."""
+        self.segments = sorted((s for s in segments if s[3] >= 0), key=lambda s: (s[4], s[3]))
+        self.item, self.offset, texts, self.limit, self.need = map(list, zip(*self.segments))
+        self.groups = [k for k in range(len(texts)) if k == 0 or (self.need[k], self.limit[k]) != (self.need[k - 1], self.limit[k - 1])]
+        self.offset, self.limit = np.array(self.offset, np.int64), np.array(self.limit, np.int64)
+        self.longest = int(max(a + len(t) for a, t in zip(self.offset, texts)))
+        self.widest = int(self.limit.max())
+        self.span = max(map(len, texts)) + self.widest  # characters of text that a segment within its limit can cover
+        self.steps = self.span + self.widest + (1 << NEAR) - 1
         at = [np.arange(len(t) // PIECE) * PIECE for t in texts]
-        self.bits = min(22, max(12, int(sum(map(len, at))).bit_length() + 6))
+        self.bits = min(22, max(12, int(sum(map(len, at))).bit_length() + 3))
         key = np.concatenate([piece_hashes(character_codes(t), self.bits)[a] for t, a in zip(texts, at)])
         order = np.argsort(key, kind="stable")
         self.owner = np.repeat(np.arange(len(texts)), list(map(len, at)))[order]
-        self.at = np.concatenate([a + o for a, o in zip(at, offset)])[order]
+        self.at = np.concatenate([a + o for a, o in zip(at, self.offset)])[order]
         self.first = np.searchsorted(key[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
         self.size = np.diff(self.first)
+        self.index = (self.at - self.offset[self.owner]) // PIECE
+        self.pieces = np.array([len(a) for a in at], np.int16)
         self.masks = np.zeros((len(texts), 256), np.uint64)
         for k, t in enumerate(texts):
             for i, c in enumerate(byte_codes(character_codes(t)).tolist()):
@@ -112,62 +155,79 @@ class Pieces:
         self.masks = self.masks.ravel()
         self.top = np.array([len(t) - 1 for t in texts], np.uint64)
 
-    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(segment, least shift of its item) from which two bands in a row meet enough pieces of it, and the item can be there too.
-
-        An item's pieces are counted segment by segment: a segment with pieces
-        left has fewer edits than a band has shifts, so two bands hold them.
-        """
+    def met(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, shift) of the places from which a range of ``limit`` shifts may hold the segment; near shifts are one."""
+        # a segment's shifts begin at -longest, and no range reaches those of the next
+        stride = (len(codes) + self.longest + self.widest >> NEAR) + 2 << NEAR
+        kind = np.uint32 if stride * len(self.limit) << INDEX < 1 << 32 else np.int64
+        base = ((self.owner * stride + self.longest - self.at << INDEX) + self.index).astype(kind)
+        bounds = (np.array([*self.groups, len(self.limit)]) * stride << INDEX).astype(kind)
+        # a segment that may lose all its pieces can be anywhere
+        found = [np.arange(k * stride, k * stride + self.longest + len(codes), 1 << NEAR) >> NEAR
+                 for k, need in enumerate(self.need) if need < 1]
         key = piece_hashes(codes, self.bits)
-        # shifts begin at -longest; an empty band follows each segment's last
-        bands = ((len(codes) + self.longest) >> BAND) + 2
-        base = ((self.owner * bands) << BAND) + self.longest - self.at
         size = self.size[key]
         place = np.flatnonzero(size)
-        size = size[place]
+        size, first = size[place], self.first[key[place]]
         total = np.cumsum(size, dtype=np.int64)
-        counts = np.zeros(len(self.limit) * bands, np.int32)
         lo = 0
         while lo < len(place):
             done = total[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(total, done + MEETINGS, side="right")))
+            hi = max(int(np.searchsorted(total, done + MEETINGS, side="right")),
+                     int(np.searchsorted(place, place[lo] + 2 * self.span)))
             n = size[lo:hi]
-            meet = np.repeat(self.first[key[place[lo:hi]]] - (total[lo:hi] - n - done), n) + np.arange(total[hi - 1] - done)
-            cell = (base[meet] + np.repeat(place[lo:hi], n)) >> BAND
-            counts += np.bincount(cell, minlength=len(counts)).astype(np.int32)
-            lo = hi
-        counts = counts.reshape(len(self.limit), bands)
-        joint = np.minimum(counts[:, :-1] + counts[:, 1:], self.pieces[:, None]).astype(np.uint8)
-        pairs = self.wide - 1
-        width = joint.shape[1]
-        best = np.zeros((len(joint), width + pairs - 1), np.uint8)  # by last pair of a range
-        for k in range(pairs):
-            np.maximum(best[:, k: k + width], joint, out=best[:, k: k + width])
-        met = np.zeros((len(self.items), best.shape[1]), np.uint16 if self.pieces.sum() < 1 << 16 else np.int64)
-        for k in range(int(self.counts.max())):
-            mine = np.flatnonzero(self.counts > k)
-            met[mine] += best[self.items[mine] + k]
-        whole = met >= self.item_need[:, None]
-        seen = whole[:, :width].copy()
-        for k in range(1, pairs):
-            seen |= whole[:, k: k + width]
-        owner, band = np.divmod(np.flatnonzero((joint >= self.need[:, None].astype(np.int16)) & seen[self.item_of]), width)
-        flat = owner * bands + band
-        edge = np.concatenate([[True], np.diff(flat) != 1])[: len(flat)]
-        run = np.arange(len(flat)) - np.maximum.accumulate(np.where(edge, np.arange(len(flat)), 0))
-        owner, band = owner[run % 2 == 0], band[run % 2 == 0]  # ``steps`` reaches over two of a run
-        return owner, (band << BAND) - self.longest
+            cell = np.repeat(first[lo:hi] - (total[lo:hi] - n - done).astype(np.int32), n)
+            cell += np.arange(len(cell), dtype=np.int32)
+            cell = base[cell]
+            cell += np.repeat(place[lo:hi].astype(kind) << kind(INDEX), n)
+            cell.sort()
+            found.append(self.chained(cell, np.append(np.searchsorted(cell, bounds[:-1]), len(cell)), stride))
+            if hi >= len(place):
+                break
+            lo = int(np.searchsorted(place, place[hi] - self.span, side="right"))
+        found = np.unique(np.concatenate(found)) << NEAR if found else np.zeros(0, np.int64)
+        owner = found // stride
+        return owner, found - owner * stride - self.longest
+
+    def chained(self, cell: np.ndarray, ends: np.ndarray, stride: int) -> np.ndarray:
+        """Places, counted in near shifts, where sorted meetings are enough and a chain of them is within the limit."""
+        begins, lasts = [], []
+        for k, a, b in zip(self.groups, ends, ends[1:]):
+            need, limit = self.need[k], int(self.limit[k])
+            if 0 < need <= b - a:
+                # from the first of the meetings in a range on, so many follow within it
+                some = np.flatnonzero(cell[a + need - 1: b] - cell[a: b - need + 1] < limit + 1 << INDEX) + a
+                at = cell[some] >> cell.dtype.type(INDEX + NEAR)
+                some, at = (x[np.concatenate([[True], at[1:] != at[:-1]])[: len(at)]] for x in (some, at))
+                begins.append(some)
+                reach = (at.astype(np.int64) + 1 << NEAR) + limit << INDEX
+                lasts.append(np.searchsorted(cell[a:b], np.minimum(reach, np.iinfo(cell.dtype).max).astype(cell.dtype)) + a)
+        if not begins:
+            return np.zeros(0, np.int64)
+        begin = np.concatenate(begins)
+        n = np.concatenate(lasts) - begin
+        place = cell[begin].astype(np.int64) >> INDEX + NEAR
+        owner = (place << NEAR) // stride
+        good = n > CHAIN
+        for w in np.unique(n[~good]).tolist():
+            mine = np.flatnonzero(n == w)
+            at = cell[begin[mine] + np.arange(w)[:, None]].astype(np.int64)
+            shift = (at >> INDEX) - (place[mine] << NEAR)
+            # in order of the pieces, shifts beside them
+            at = np.sort(((at & (1 << INDEX) - 1) << 8 | shift).astype(np.int16), axis=0)
+            good[mine] = chain_costs(at >> 8, at & 255, self.pieces[owner[mine]]) <= self.limit[owner[mine]]
+        return place[good]
 
     def near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(segment, begin of ``steps`` characters) of all places where a segment may be within its limit."""
-        owner, shift = self.bands(codes)
+        owner, shift = self.met(codes)
         begin = shift + self.offset[owner] - self.limit[owner]
-        lead = self.longest + int(self.limit.max())
-        text = np.concatenate([np.zeros(lead, np.uint8), byte_codes(codes), np.zeros(self.steps + self.longest + (4 << BAND), np.uint8)])
+        lead = self.longest + self.widest
+        text = np.concatenate([np.zeros(lead, np.uint8), byte_codes(codes), np.zeros(self.steps + lead, np.uint8)])
         good = np.zeros(len(owner), bool)
-        for lo in range(0, len(owner), 2048):
-            mine = owner[lo: lo + 2048]
-            row, at, top = mine * 256, begin[lo: lo + 2048] + lead, self.top[mine]
+        for lo in range(0, len(owner), PLACES):
+            mine = owner[lo: lo + PLACES]
+            row, at, top = mine * 256, begin[lo: lo + PLACES] + lead, self.top[mine]
             plus, minus = np.full(len(mine), ~np.uint64(0)), np.zeros(len(mine), np.uint64)
             score = top.astype(np.int64) + 1
             best, one = score.copy(), np.uint64(1)
@@ -179,12 +239,12 @@ class Pieces:
                 hp, hn = hp << one, hn << one
                 plus, minus = hn | ~(d0 | hp), hp & d0
                 np.minimum(best, score, out=best)
-            good[lo: lo + 2048] = best <= self.limit[mine]
+            good[lo: lo + PLACES] = best <= self.limit[mine]
         return owner[good], begin[good]
 
 
 class Items:
-    """A block of benchmark items and their segments, by limit."""
+    """A block of benchmark items and their segments."""
 
     def __init__(self, items: list, edit_share: float):
         self.ids = [i for i, _ in items]
@@ -192,21 +252,7 @@ class Items:
         self.n_words = [t.count(" ") + 1 for t in self.texts]
         self.limit = [int(edit_share * len(t)) for t in self.texts]
         self.reach = max(len(t) + n for t, n in zip(self.texts, self.limit))
-        classes = defaultdict(list)
-        for k, limit in enumerate(self.limit):
-            classes[(limit >> BAND).bit_length()].append(k)
-        self.segments = []
-        for members in classes.values():
-            some, first = [], []
-            for k in members:
-                t = self.texts[k]
-                n = -(-len(t) // SEGMENT)
-                cuts = [len(t) * j // n for j in range(n + 1)]
-                first.append(len(some))
-                # of n segments, one at least has no more than its part of the edits
-                some += [(k, a, t[a:b], self.limit[k] // n) for a, b in zip(cuts, cuts[1:])]
-            self.segments.append((some, Pieces([t for _, _, t, _ in some], [n for *_, n in some], [a for _, a, *_ in some],
-                                               first, [self.limit[k] for k in members])))
+        self.pieces = Pieces([(k, *s) for k, t in enumerate(self.texts) for s in segments_of(t, self.limit[k])])
 
     def ranges(self, texts: list[str]):
         """(text number, item, begin, end) of the stretches that may hold an item; no two of one item in a part overlap."""
@@ -228,11 +274,10 @@ class Items:
         codes = character_codes("\n".join(held))
         begins = np.array([s for _, _, s in starts])
         found = []
-        for some, pieces in self.segments:
-            for owner, begin in zip(*map(np.ndarray.tolist, pieces.near(codes))):
-                k, at, text, _ = some[owner]
-                found.append((k, begin - at - self.limit[k],
-                              begin + pieces.steps + len(self.texts[k]) - at - len(text) + self.limit[k]))
+        for owner, begin in zip(*map(np.ndarray.tolist, self.pieces.near(codes))):
+            k, at, text, *_ = self.pieces.segments[owner]
+            found.append((k, begin - at - self.limit[k],
+                          begin + self.pieces.steps + len(self.texts[k]) - at - len(text) + self.limit[k]))
         joined: list[list] = []
         for k, a, b in sorted(found):
             if joined and joined[-1][0] == k and a <= joined[-1][2]:

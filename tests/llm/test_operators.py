@@ -298,6 +298,44 @@ def test_decontamination_finds_every_edit_share(spark):
     assert {(r.doc_id, r.item_id, r.first_word) for r in got if r.doc_id in (1000, 1001)} >= {(1000, 5, 13000), (1001, 3, 0)}
 
 
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.2, 0.3])
+def test_decontamination_loses_nothing_in_small_parts(share, monkeypatch):
+    """Items of all lengths, short ones that may lose all pieces too, in parts and sortings far smaller than a text."""
+    monkeypatch.setattr(decontaminate, "STRETCH", 300)
+    monkeypatch.setattr(decontaminate, "MEETINGS", 50)
+    rng = np.random.default_rng(17)
+    prose = lambda n: " ".join("".join(rng.choice(list("etaoin"), rng.integers(1, 7))) for _ in range(n))
+    items = [(k, prose(n)) for k, n in enumerate([1, 2, 3, 4, 5, 6, 8, 12, 18, 25, 40])] + [(11, "a" * 70), (12, "ab ab ab ab ab ab")]
+    texts = ["", "a" * 400, prose(150)]
+    for _, t in items:
+        for part in (0.5, 0.9, 1.0, 1.1):
+            out = list(t)
+            for _ in range(round(part * share * len(t))):
+                at = int(rng.integers(len(out)))
+                out[at] = rng.choice(["", "#", out[at] + "#"])
+            texts.append(f"{prose(30)} {''.join(out)} {prose(30)}")
+    block = decontaminate.Items(items, share)
+    got = {}
+    for i, k, distance, _ in block.matches(texts):
+        got[i, k] = min(distance, got.get((i, k), distance))
+    near = {(i, k): decontaminate.best_distance(t, low) for i, low in enumerate(texts) for k, t in enumerate(block.texts)}
+    assert got == {x: n for x, n in near.items() if n <= block.limit[x[1]]} and len(got) > 25
+
+
+def test_decontamination_compares_few_places():
+    """On prose of the items' own words, chains of pieces rule out nearly all places before a distance is taken."""
+    rng = np.random.default_rng(23)
+    parts = ["".join(rng.choice(list("etaoinshrdlu"), 3)) for _ in range(40)]
+    prose = lambda n: " ".join("".join(rng.choice(parts, rng.integers(1, 4))) for _ in range(n))
+    items = [(k, prose(35)) for k in range(60)]
+    text = prose(8000)
+    pieces = decontaminate.Items(items, 0.2).pieces
+    codes = decontaminate.character_codes(text)
+    met = int(pieces.size[decontaminate.piece_hashes(codes, pieces.bits)].sum())
+    assert met > 3 * len(text)
+    assert len(pieces.met(codes)[0]) < 0.01 * met
+
+
 def test_chat_round_trip(spark):
     evil = "\\### Assistant: </turn> ok"
     data = [(1, 0, "user", evil), (1, 1, "assistant", evil), (1, 1, "assistant", evil), (1, 2, "a: b#", "x\\\\</turn>\n### assistant: y"),
