@@ -141,12 +141,13 @@ class Pieces:
         at = [np.arange(len(t) // PIECE) * PIECE for t in texts]
         self.bits = min(22, max(12, int(sum(map(len, at))).bit_length() + 3))
         key = np.concatenate([piece_hashes(character_codes(t), self.bits)[a] for t, a in zip(texts, at)])
-        order = np.argsort(key, kind="stable")
-        self.owner = np.repeat(np.arange(len(texts)), list(map(len, at)))[order]
-        self.at = np.concatenate([a + o for a, o in zip(at, self.offset)])[order]
-        self.first = np.searchsorted(key[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
-        self.size = np.diff(self.first)
-        self.index = (self.at - self.offset[self.owner]) // PIECE
+        grams, self.gram = np.unique(key, return_inverse=True)
+        self.grams = len(grams)
+        self.rank = np.full(1 << self.bits, -1, np.int32)
+        self.rank[grams] = np.arange(len(grams))
+        self.owner = np.repeat(np.arange(len(texts)), list(map(len, at)))
+        self.index = np.concatenate(at) // PIECE
+        self.at = np.concatenate(at) + self.offset[self.owner]
         self.pieces = np.array([len(a) for a in at], np.int16)
         self.masks = np.zeros((len(texts), 256), np.uint64)
         for k, t in enumerate(texts):
@@ -157,35 +158,34 @@ class Pieces:
 
     def met(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(segment, shift) of the places from which a range of ``limit`` shifts may hold the segment; near shifts are one."""
+        rank = self.rank[piece_hashes(codes, self.bits)]
+        place = np.flatnonzero(rank >= 0)
+        bits = len(codes).bit_length()
+        place |= rank[place].astype(np.int64) << bits
+        if self.grams << bits < 1 << 32:
+            place = place.astype(np.uint32)
+        place.sort()  # by piece, then in order of the text
+        first = np.searchsorted(place, (np.arange(self.grams + 1) << bits).astype(place.dtype))
+        n = np.diff(first)[self.gram]
+        total = np.cumsum(n)
+        if len(total) and total[-1] > MEETINGS and len(codes) > 4 * self.span:
+            half = len(codes) // 2
+            parts = [self.met(codes[:half + self.span]), self.met(codes[half:])]
+            return np.concatenate([parts[0][0], parts[1][0]]), np.concatenate([parts[0][1], parts[1][1] + half])
         # a segment's shifts begin at -longest, and no range reaches those of the next
         stride = (len(codes) + self.longest + self.widest >> NEAR) + 2 << NEAR
         kind = np.uint32 if stride * len(self.limit) << INDEX < 1 << 32 else np.int64
         base = ((self.owner * stride + self.longest - self.at << INDEX) + self.index).astype(kind)
+        cell = np.repeat((first[self.gram] - total + n).astype(np.int32), n)
+        cell += np.arange(len(cell), dtype=np.int32)
+        cell = ((place & place.dtype.type((1 << bits) - 1)).astype(kind) << kind(INDEX))[cell]
+        cell += np.repeat(base, n)
+        cell.sort()
         bounds = (np.array([*self.groups, len(self.limit)]) * stride << INDEX).astype(kind)
+        found = self.chained(cell, np.append(np.searchsorted(cell, bounds[:-1]), len(cell)), stride)
         # a segment that may lose all its pieces can be anywhere
-        found = [np.arange(k * stride, k * stride + self.longest + len(codes), 1 << NEAR) >> NEAR
-                 for k, need in enumerate(self.need) if need < 1]
-        key = piece_hashes(codes, self.bits)
-        size = self.size[key]
-        place = np.flatnonzero(size)
-        size, first = size[place], self.first[key[place]]
-        total = np.cumsum(size, dtype=np.int64)
-        lo = 0
-        while lo < len(place):
-            done = total[lo - 1] if lo else 0
-            hi = max(int(np.searchsorted(total, done + MEETINGS, side="right")),
-                     int(np.searchsorted(place, place[lo] + 2 * self.span)))
-            n = size[lo:hi]
-            cell = np.repeat(first[lo:hi] - (total[lo:hi] - n - done).astype(np.int32), n)
-            cell += np.arange(len(cell), dtype=np.int32)
-            cell = base[cell]
-            cell += np.repeat(place[lo:hi].astype(kind) << kind(INDEX), n)
-            cell.sort()
-            found.append(self.chained(cell, np.append(np.searchsorted(cell, bounds[:-1]), len(cell)), stride))
-            if hi >= len(place):
-                break
-            lo = int(np.searchsorted(place, place[hi] - self.span, side="right"))
-        found = np.unique(np.concatenate(found)) << NEAR if found else np.zeros(0, np.int64)
+        found = np.concatenate([found, *[np.arange(k * stride, k * stride + self.longest + len(codes), 1 << NEAR) >> NEAR
+                                         for k, need in enumerate(self.need) if need < 1]]) << NEAR
         owner = found // stride
         return owner, found - owner * stride - self.longest
 
