@@ -10,8 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.llm import (backoff, chat, decontaminate, extraction, language, neardup, packing, quality, repeats,
-                            sharding)
+from basketlens.llm import (backoff, catalog as corpus, chat, decontaminate, extraction, language, neardup, packing,
+                            quality, repeats, sharding)
 from basketlens.llm.kernels import Powers, chunked
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
@@ -220,6 +220,41 @@ def test_pipeline_cuts_runs_of_over_50_words(spark):
     assert [len(got[200 + n].split()) for n in passages] == [100, 50, 50, 50]
 
 
+def test_repeats_tell_passages_of_over_50_words_apart(spark, tmp_path):
+    """op4 against brute force: passages under 400 bytes stay in the contract's columns and are told in columns of their own."""
+    rng = np.random.default_rng(9)
+    prose = lambda n: ["".join(rng.choice(list("abcdefgh"), rng.integers(1, 8))) + "é"[: k % 2] for k in range(n)]
+    passages = {n: prose(n) for n in (50, 51, 62)}
+    whole = prose(120)
+    data = [(100 * k + n, " ".join(prose(30) + p + prose(20))) for k in range(2) for n, p in passages.items()]
+    data += [(1, "\n\t".join(passages[51])), (2, "x" * 450), (3, "y " + "x" * 450), (4, " a" * 60 + "\n"), (5, None), (6, ""),
+             (7, " ".join(whole)), (8, " ".join(prose(5) + whole + passages[62])), (8, " ".join(prose(60))), (None, " ".join(passages[62][:55]))]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus.op4_suffix_repeats(spark, str(tmp_path)).collect()
+    raws, cover = brute_repeats([{"text": t} for _, t in data], 400, False)
+    spans = [[m.span() for m in re.finditer(rb"[^ \t-\r]+", raw)] for raw in raws]
+    at = defaultdict(list)
+    for i, raw in enumerate(raws):
+        for k in range(len(spans[i]) - 50):
+            at[tuple(raw[a:b] for a, b in spans[i][k: k + 51])].append((i, k))
+    runs = [np.zeros(len(s), bool) for s in spans]
+    for i, k in (x for places in at.values() if len(places) > 1 for x in places):
+        runs[i][k: k + 51] = True
+    stretches = lambda c: int((np.diff(np.append(0, c).astype(int)) == 1).sum())
+    expected = []
+    for (doc_id, text), raw, cut, run, words in zip(data, raws, cover, runs, spans):
+        left = lambda c: bytes(np.frombuffer(raw, np.uint8)[~c]).decode("utf-8", "ignore")  # noqa: B023, E731
+        both = cut.copy()
+        for k in np.flatnonzero(run):
+            both[words[k][0]: words[k + 1][0] if k + 1 < len(run) and run[k + 1] else words[k][1]] = True
+        expected.append((doc_id, len(raw), int(cut.sum()), stretches(cut), hashlib.sha256(bytes(np.frombuffer(raw, np.uint8)[~cut])).hexdigest(),
+                         left(cut) if text is not None else None, stretches(run), int(run.sum()), left(both) if text is not None else None))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    told = {r.doc_id: (r.n_removed, r.n_passages, r.n_passage_words) for r in got if r.doc_id in (50, 51, 62, 162)}
+    assert told == {50: (0, 0, 0), 51: (0, 1, 51), 62: (0, 1, 62), 162: (0, 1, 62)}
+
+
 def edit(a, b):
     """Least edit distance of a to any substring of b."""
     row = [0] * (len(b) + 1)
